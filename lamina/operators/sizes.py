@@ -1,0 +1,20 @@
+"""Broadcast only what was measured to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL_SIDE_ROWS = 500_000
+
+
+def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
+    """`df` with a broadcast hint if it has at most `max_rows` rows, else as it is.
+
+    Runs a job that stops after `max_rows + 1` rows. Without the hint the join
+    shuffles both sides, which is the right plan for a side this large. Meant for
+    narrow rows (a key or two), so the row count bounds the bytes.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
