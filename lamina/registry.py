@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lamina.operators import column_profile
 from lamina.plans import batch_run, bronze, catalog, delivery, gold, quality, scd2, silver
 from lamina.schemas import (
-    AGG_EVENTS_HOURLY, DIM_USERS, EXPORT_DAILY, EXPORT_HOURLY, RPT_DAILY_SUMMARY, STG_EVENTS, TableSpec,
+    DIM_USERS, EXPORT_DAILY, EXPORT_HOURLY, RPT_DAILY_SUMMARY, STG_EVENTS, TableSpec,
 )
 from lamina.session import fresh_folder
 from lamina.sources import event_feed
@@ -244,18 +244,8 @@ def incremental_replay(spark: SparkSession, folder: str) -> DataFrame:
     return store.read(RPT_DAILY_SUMMARY).drop("_updated_at")
 
 
-def incremental_replay_users(spark: SparkSession, folder: str) -> DataFrame:
-    """User versions after applying all weekly deliveries one by one."""
-    store = Store(spark, fresh_folder(spark, "replay"))
-    batch_run.replay(store, _weekly_feed(spark, folder))
-    return store.read(DIM_USERS).select(
-        "user_name", "primary_category", "primary_source", "total_events", "total_value", "is_revenue_user",
-        "valid_from", "valid_to", "is_current",
-    )
-
-
 def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
-    """Hourly figures after a streaming query applied all weekly deliveries."""
+    """User versions after a streaming query applied all weekly deliveries one by one."""
     root = fresh_folder(spark, "stream")
     store = Store(spark, f"{root}/tables")
     source = (
@@ -264,7 +254,7 @@ def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
     )
     feed_rows = event_feed.deliveries(event_feed.with_instants(source), "week")
     feed.start(store, feed_rows, f"{root}/checkpoint").awaitTermination()
-    return store.read(AGG_EVENTS_HOURLY).drop("_updated_at")
+    return store.read(DIM_USERS).select(*scd2.DIM_COLUMNS)
 
 
 def queries() -> dict[str, Query]:
@@ -303,6 +293,5 @@ def queries() -> dict[str, Query]:
         "run_log_current": run_log_current,
         "benchmark_compare": benchmark_compare,
         "incremental_replay": incremental_replay,
-        "incremental_replay_users": incremental_replay_users,
         "stream_replay": stream_replay,
     }

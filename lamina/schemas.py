@@ -30,6 +30,8 @@ class TableSpec:
     sort_by: tuple[str, ...] = ()
     tags: tuple[str, ...] = ()
     metrics: tuple[str, ...] = ()
+    #: Partitions are small whatever the input looks like: aggregates and hash buckets.
+    small_partitions: bool = False
     nullable: tuple[str, ...] = field(default=())
 
     @property
@@ -116,6 +118,7 @@ DIM_USERS = TableSpec(
     contract="latest", keys=("user_name", "valid_from"), version="valid_to",
     partition_by=("user_bucket",), sort_by=("user_name", "valid_from"),
     tags=("dimension", "history"), metrics=("total_events", "total_value"),
+    small_partitions=True,
 )
 
 USER_ACTIVITY = TableSpec(
@@ -135,6 +138,7 @@ USER_ACTIVITY = TableSpec(
         ("user_bucket", INT, "Hash bucket of user_name"),
     ),
     partition_by=("applied_batch", "user_bucket"), sort_by=("user_name",), tags=("activity", "append-only"),
+    small_partitions=True,
 )
 
 _HOURLY = (
@@ -169,21 +173,25 @@ AGG_EVENTS_HOURLY = TableSpec(
     "gold", "agg_events_hourly", "Hourly figures by category and channel", _HOURLY,
     contract="latest", keys=HOURLY_KEYS, version="_updated_at",
     partition_by=("event_date",), sort_by=HOURLY_KEYS[1:], tags=("aggregate", "hourly"), metrics=HOURLY_MEASURES,
+    small_partitions=True,
 )
 RPT_DAILY_SUMMARY = TableSpec(
     "gold", "rpt_daily_summary", "Daily figures", _DAILY,
     contract="latest", keys=DAILY_KEYS, version="_updated_at",
     partition_by=("event_date",), tags=("aggregate", "daily"), metrics=DAILY_MEASURES,
+    small_partitions=True,
 )
 AGG_EVENTS_HOURLY_HISTORY = TableSpec(
     "gold", "agg_events_hourly_history", "Hourly figures as they stood before a delivery changed them",
     _HOURLY + _SNAPSHOT, partition_by=("_snapshot_batch",), sort_by=HOURLY_KEYS,
     tags=("audit", "append-only"), metrics=HOURLY_MEASURES,
+    small_partitions=True,
 )
 RPT_DAILY_SUMMARY_HISTORY = TableSpec(
     "gold", "rpt_daily_summary_history", "Daily figures as they stood before a delivery changed them",
     _DAILY + _SNAPSHOT, partition_by=("_snapshot_batch",), sort_by=DAILY_KEYS,
     tags=("audit", "append-only"), metrics=DAILY_MEASURES,
+    small_partitions=True,
 )
 
 SERVING_HOURLY = TableSpec(
@@ -191,12 +199,14 @@ SERVING_HOURLY = TableSpec(
     _HOURLY[:-1] + (("updated_at", TS, "Last time the row was written"),),
     contract="latest", keys=HOURLY_KEYS, version="updated_at",
     partition_by=("event_date",), sort_by=HOURLY_KEYS[1:], tags=("delivery",), metrics=HOURLY_MEASURES,
+    small_partitions=True,
 )
 SERVING_DAILY = TableSpec(
     "serving", "rpt_daily_summary", "Daily figures as consumers see them",
     _DAILY[:-1] + (("updated_at", TS, "Last time the row was written"),),
     contract="latest", keys=DAILY_KEYS, version="updated_at",
     partition_by=("event_date",), tags=("delivery",), metrics=DAILY_MEASURES,
+    small_partitions=True,
 )
 
 # The export names its folders by day and two-digit hour, so the hour is text there.
@@ -204,10 +214,12 @@ EXPORT_HOURLY = TableSpec(
     "export", "agg_events_hourly", "Hourly figures as Parquet files by day and hour",
     (_HOURLY[0], ("event_hour", STRING, "Hour of the day, 00 to 23"), *_HOURLY[2:]),
     keys=HOURLY_KEYS, partition_by=("event_date", "event_hour"), sort_by=HOURLY_KEYS[2:],
+    small_partitions=True,
 )
 EXPORT_DAILY = TableSpec(
     "export", "rpt_daily_summary", "Daily figures as Parquet files by day", _DAILY,
     keys=DAILY_KEYS, partition_by=("event_date",),
+    small_partitions=True,
 )
 
 _TAGS = T.ArrayType(STRING)

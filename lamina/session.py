@@ -8,21 +8,35 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "lamina", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
+def build_session(
+    app: str = "lamina", master: str | None = None, conf: dict[str, str] | None = None
+) -> SparkSession:
     """A session with the settings the jobs assume; `conf` adds to them or overrides them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
+    defaults = {
         "spark.ui.enabled": "false",
-        **(conf or {}),
+        # Recording the Python line of every column expression takes longer than building the plans.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
-    for key, value in settings.items():
+    for key, value in {**defaults, **(conf or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings that can be made on a running session."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Opening a file costs more than the few rows of a small partition, so small
+    # writes are spread over the cores as well.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
+    # Folders of partitions are listed in parallel, a few per core.
+    listers = 2 * spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(listers))
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -10,6 +10,7 @@ complete are published from it, the others are computed anew. One writer at a ti
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterable
 from urllib.parse import unquote
 
@@ -22,6 +23,7 @@ from lamina.session import shared_folder
 # A partition, or all partitions below a prefix: values of the first partition columns.
 Scope = tuple
 _FEW = 16
+_PLAIN = re.compile(r"[\w.-]+")
 
 
 class Store:
@@ -29,6 +31,12 @@ class Store:
         self.spark = spark
         self.root = root.rstrip("/")
         self.user_buckets = user_buckets
+        jvm = spark._jvm
+        # Looked up once, as every step of such a name is a call to the JVM.
+        self._new_path = jvm.org.apache.hadoop.fs.Path
+        self._stat2paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths
+        self._names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        self._hadoop = spark._jsc.hadoopConfiguration()
         owner = hashlib.sha256(self.root.encode()).hexdigest()[:16]
         self.staging_root = f"{shared_folder(spark)}/lamina/staging/{owner}"
 
@@ -38,37 +46,40 @@ class Store:
         return f"{self.root}/{spec.layer}/{spec.name}"
 
     def scope_path(self, spec: TableSpec, scope: Scope) -> str:
-        parts = [self._folder(column, value) for column, value in zip(spec.partition_by, scope)]
-        return "/".join([self.path(spec), *parts])
+        return "/".join([self.path(spec), *self._folders(spec, scope)])
+
+    def _folders(self, spec: TableSpec, values: Iterable) -> list[str]:
+        return [self._folder(column, value) for column, value in zip(spec.partition_by, values)]
 
     def _folder(self, column: str, value) -> str:
-        names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        return names.getPartitionPathString(column, None if value is None else str(value))
+        text = None if value is None else str(value)
+        if text and _PLAIN.fullmatch(text):
+            return f"{column}={text}"
+        return self._names.getPartitionPathString(column, text)
 
-    def _fs(self, path: str):
-        handle = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return handle.getFileSystem(self.spark._jsc.hadoopConfiguration()), handle
+    def _open(self, path: str):
+        """The path and its file system; tables and staging may lie on different ones."""
+        handle = self._new_path(path)
+        return handle.getFileSystem(self._hadoop), handle
 
     def exists(self, path: str) -> bool:
-        fs, handle = self._fs(path)
+        fs, handle = self._open(path)
         return fs.exists(handle)
 
     def drop_folder(self, path: str) -> None:
-        fs, handle = self._fs(path)
+        fs, handle = self._open(path)
         fs.delete(handle, True)
 
     def _leaves(self, path: str, depth: int) -> list[str]:
-        """Partition folders `depth` levels below `path`, as full paths."""
-        fs, handle = self._fs(path)
+        """Partition folders `depth` levels below `path`."""
+        if depth == 0:
+            return [path] if self.exists(path) else []
+        fs, handle = self._open(path)
         if not fs.exists(handle):
             return []
-        if depth == 0:
-            return [handle.toUri().getPath()]
-        found: list[str] = []
-        for status in fs.listStatus(handle):
-            if status.isDirectory() and "=" in status.getPath().getName():
-                found += self._leaves(status.getPath().toString(), depth - 1)
-        return found
+        names = [p.getName() for p in self._stat2paths(fs.listStatus(handle))]
+        below = [f"{path}/{name}" for name in names if "=" in name and name[0] not in "._"]
+        return below if depth == 1 else [leaf for folder in below for leaf in self._leaves(folder, depth - 1)]
 
     def first_level(self, spec: TableSpec) -> list[str]:
         """Values of the first partition column, from the folder names."""
@@ -90,12 +101,12 @@ class Store:
         return reader.parquet(*paths).select(*spec.column_names)
 
     def _existing(self, spec: TableSpec, scopes: list[Scope]) -> list[str]:
-        wanted = {self._plain(self.scope_path(spec, s)): self.scope_path(spec, s) for s in scopes}
+        wanted = [self.scope_path(spec, s) for s in scopes]
         if len(wanted) <= _FEW:
-            return [path for path in wanted.values() if self.exists(path)]
+            return [path for path in wanted if self.exists(path)]
         # One listing is cheaper than a question per folder.
         there = set(self._leaves(self.path(spec), len(scopes[0])))
-        return [path for plain, path in wanted.items() if plain in there]
+        return [path for path in wanted if path in there]
 
     def read_latest(self, spec: TableSpec) -> DataFrame:
         """Current rows of a latest-wins table that is written by appending."""
@@ -118,22 +129,19 @@ class Store:
 
     def publish(self, spec: TableSpec, staged: DataFrame, scopes: Iterable[Scope]) -> None:
         """Make `staged` the whole content of `scopes`; partitions it has no rows for disappear."""
-        scopes = list(scopes)
-        arranged(staged.select(*spec.column_names), spec).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(*spec.partition_by).parquet(self.path(spec))
         written = {
-            self._plain(self.scope_path(spec, tuple(row)))
+            self.scope_path(spec, tuple(row))
             for row in staged.select(*spec.partition_by).distinct().collect()
         }
+        if written:
+            arranged(staged.select(*spec.column_names), spec, len(written)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy(*spec.partition_by).parquet(self.path(spec))
         for scope in scopes:
             for leaf in self._leaves(self.scope_path(spec, scope), len(spec.partition_by) - len(scope)):
                 if leaf not in written:
                     self.drop_folder(leaf)
 
-    def _plain(self, path: str) -> str:
-        return self._fs(path)[1].toUri().getPath()
-
     def append(self, spec: TableSpec, df: DataFrame) -> None:
         """Add rows to a log table."""
         writer = df.select(*spec.column_names).coalesce(1).write.mode("append")
@@ -158,15 +166,18 @@ class Store:
             self.spark.catalog.refreshTable(name)
 
 
-def arranged(df: DataFrame, spec: TableSpec) -> DataFrame:
+def arranged(df: DataFrame, spec: TableSpec, partitions: int | None = None) -> DataFrame:
     """Rows brought together by partition and sorted for data skipping.
 
-    The rebalance lets AQE join small partitions into one file and split a partition that
-    holds a large share of the rows over several tasks.
+    Small partitions are hashed to one task each. Elsewhere a partition may hold a large
+    share of the rows, and the rebalance lets AQE split it over several tasks.
     """
-    if not spec.partition_by:
-        return df
-    return df.hint("rebalance", *spec.partition_by).sortWithinPartitions(*spec.partition_by, *spec.sort_by)
+    if spec.small_partitions and partitions:
+        tasks = min(partitions, 2 * df.sparkSession.sparkContext.defaultParallelism)
+        gathered = df.repartition(tasks, *spec.partition_by)
+    else:
+        gathered = df.hint("rebalance", *spec.partition_by)
+    return gathered.sortWithinPartitions(*spec.partition_by, *spec.sort_by)
 
 
 def _quoted(text: str) -> str:
