@@ -208,7 +208,7 @@ def _apply_facts(run: Run, record: dict) -> tuple[list[date], DataFrame]:
         before = store.read(FACT_EVENTS, older)
         content = stamped.unionByName(before.join(corrected, "event_id", "left_anti"))
         taken = before.select(*columns).join(corrected, "event_id", "left_semi")
-        activity = activity.unionByName(scd2.user_activity(taken, run.batch_time(F.col("batch_id")), sign=-1))
+        activity = activity.unionByName(scd2.user_activity(taken, run.batch_time(F.col("batch_id")), taken_away=True))
     activity = activity.withColumn("applied_batch", F.lit(batch_id)).withColumn(
         "user_bucket", user_bucket(F.col("user_name"), store.user_buckets)
     )

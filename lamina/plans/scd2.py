@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions import OPEN_END, exact_part, money, rest_part, user_key
+from lamina.schemas import EXACT
 
 ACTIVITY_KEYS = ("user_name", "batch_id", "batch_ts", "event_date", "category", "source", "value_rest")
 DIM_COLUMNS = [
@@ -23,24 +24,28 @@ DIM_COLUMNS = [
 ]
 # What the stored table holds on top, so that totals can be added to exactly.
 PARTS = ["value_exact", "value_rest"]
-_EXACT = "decimal(38,10)"
+_EXACT = EXACT.simpleString()
 
 
-def user_activity(facts: DataFrame, batch_ts: Column, sign: int = 1) -> DataFrame:
-    """Events per user, delivery, day, category and channel; `sign=-1` for events taken away.
+def user_activity(facts: DataFrame, batch_ts: Column, taken_away: bool = False) -> DataFrame:
+    """Events per user, delivery, day, category and channel, negative for events taken away.
 
     The map side combines rows of a hot user into one per combination, so no user
     is ever gathered row by row.
     """
     value = F.col("value")
+
+    def signed(amount: Column) -> Column:
+        return F.negative(amount) if taken_away else amount
+
     return (
         facts.withColumn("batch_ts", batch_ts)
         .withColumn("value_rest", rest_part(value))
         .groupBy(*ACTIVITY_KEYS)
         .agg(
-            (F.count("*") * sign).alias("n"),
-            (F.coalesce(F.sum(exact_part(value)), F.lit(0)) * sign).cast(_EXACT).alias("value_exact"),
-            (F.sum("is_revenue_event") * sign).cast("long").alias("revenue_n"),
+            signed(F.count("*")).alias("n"),
+            signed(F.coalesce(F.sum(exact_part(value)).cast(_EXACT), F.lit(0).cast(_EXACT))).alias("value_exact"),
+            signed(F.sum("is_revenue_event")).alias("revenue_n"),
         )
     )
 
@@ -61,9 +66,9 @@ def net_activity(changes: DataFrame) -> DataFrame:
 def user_profiles(activity: DataFrame) -> DataFrame:
     """One row per user and delivery: counts, days, and the most frequent category and channel.
 
-    Among equally frequent values the alphabetically first one is taken. Everything
-    below is grouped within user_name, so the repartition of the already combined rows
-    is the only shuffle, and it also serves the windows of `user_versions`.
+    Among equally frequent values the alphabetically first one is taken. All groupings below
+    are within a user's delivery, so the repartition of the already combined rows is the
+    only shuffle. It spreads a hot user over that user's deliveries.
     """
     facet = F.explode(
         F.array(
@@ -72,7 +77,7 @@ def user_profiles(activity: DataFrame) -> DataFrame:
         )
     )
     per_label = (
-        activity.repartition("user_name")
+        activity.repartition("user_name", "batch_id")
         .select("*", facet.alias("f"))
         .groupBy("user_name", "batch_id", "batch_ts", "f.facet", "f.label")
         .agg(

@@ -47,8 +47,13 @@ def clean_events(raw: DataFrame) -> DataFrame:
 
 
 def current_facts(cleaned_rows: DataFrame) -> DataFrame:
-    """One row per event: the newest delivery wins."""
-    return keep_latest(cleaned_rows, FACT_EVENTS.keys, FACT_EVENTS.version)
+    """One row per event: the newest delivery wins.
+
+    Copies within one delivery have no order; the latest, then the largest, then any fixed
+    one of them is taken. The hash stands for the text columns, so that they don't have to travel.
+    """
+    any_fixed = F.xxhash64("user_name", "category", "source")
+    return keep_latest(cleaned_rows, FACT_EVENTS.keys, FACT_EVENTS.version, ["event_time", "value", any_fixed])
 
 
 def facts_from_raw(raw: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from lamina.plans import batch_run, bronze, catalog, delivery, gold, quality, sc
 from lamina.schemas import (
     DIM_USERS, EXPORT_DAILY, EXPORT_HOURLY, RPT_DAILY_SUMMARY, STG_EVENTS, TableSpec,
 )
-from lamina.session import fresh_folder
+from lamina.session import fresh_folder, written
 from lamina.sources import event_feed
 from lamina.sources.store import Store
 from lamina.streaming import feed
@@ -35,15 +35,15 @@ def facts(spark: SparkSession, folder: str) -> DataFrame:
     return silver.facts_from_raw(raw(spark, folder))
 
 
-def versions(spark: SparkSession, folder: str, carry_totals: bool = True) -> DataFrame:
+def versions(facts_df: DataFrame, carry_totals: bool = True) -> DataFrame:
     """User dimension by daily deliveries."""
-    by_day = facts(spark, folder).withColumn("batch_id", F.substring("batch_id", 1, len(BATCH_DAY)))
+    by_day = facts_df.withColumn("batch_id", F.substring("batch_id", 1, len(BATCH_DAY)))
     activity = scd2.user_activity(by_day, event_feed.delivery_time(F.col("batch_id")))
     return scd2.user_versions(scd2.user_profiles(activity), carry_totals)
 
 
 def users(spark: SparkSession, folder: str, carry_totals: bool = True) -> DataFrame:
-    return versions(spark, folder, carry_totals).select(*scd2.DIM_COLUMNS)
+    return versions(facts(spark, folder), carry_totals).select(*scd2.DIM_COLUMNS)
 
 
 def ingest_new_batches_only(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,7 +96,7 @@ def serving_upsert_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def delivery_validation(spark: SparkSession, folder: str) -> DataFrame:
-    now, served = facts(spark, folder), served_facts(spark, folder)
+    now, served = written(facts(spark, folder), "facts"), written(served_facts(spark, folder), "facts")
     return delivery.validate(
         gold.hourly_kpis(now), gold.daily_kpis(now), gold.hourly_kpis(served), gold.daily_kpis(served)
     )
@@ -115,12 +115,13 @@ def delivery_mismatches_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def layer_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    now = facts(spark, folder)
+    """The tables built from all deliveries. The facts feed four of them and are written once."""
+    now = written(facts(spark, folder), "facts")
     return {
         "bronze.stg_events": raw(spark, folder),
         "silver.fact_events": now,
         "silver.quarantine_events": silver.rejected_rows(raw(spark, folder)),
-        "silver.dim_users": users(spark, folder),
+        "silver.dim_users": versions(now).select(*scd2.DIM_COLUMNS),
         "gold.agg_events_hourly": gold.hourly_kpis(now),
         "gold.rpt_daily_summary": gold.daily_kpis(now),
     }
@@ -268,7 +269,7 @@ def queries() -> dict[str, Query]:
         "dim_users_scd2": users,
         "dim_users_scd2_reset": lambda s, d: users(s, d, carry_totals=False),
         "dim_users_current": lambda s, d: users(s, d).where("is_current = 1"),
-        "dim_users_change_counts": lambda s, d: scd2.version_changes(versions(s, d)),
+        "dim_users_change_counts": lambda s, d: scd2.version_changes(versions(facts(s, d))),
         "gold_hourly_full": lambda s, d: gold.hourly_kpis(facts(s, d)),
         "gold_daily_full": lambda s, d: gold.daily_kpis(facts(s, d)),
         "gold_hourly_for_batch": lambda s, d: gold.hourly_kpis_for_batch(facts(s, d), BATCH),

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 STRING, LONG, INT, DOUBLE = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
 DATE, TS = T.DateType(), T.TimestampType()
-# Money is added up exactly in this type, see lamina.functions.money.
-EXACT = T.DecimalType(38, 10)
+# Money is added up exactly in this type, see lamina.functions.money. With 38 digits Spark
+# would have to cut decimals when adding two of them.
+EXACT = T.DecimalType(37, 10)
 
 
 @dataclass(frozen=True)

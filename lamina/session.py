@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -53,3 +53,10 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{shared_folder(spark)}/lamina/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """`df` as a table in the shared folder, for results that several parts of a query read."""
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
