@@ -14,7 +14,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import date, datetime, timezone
+from datetime import date, datetime
 
 import pyspark
 from pyspark import inheritable_thread_target
@@ -22,13 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions import user_bucket
-from lamina.plans import bronze, catalog, delivery, gold, scd2, silver
+from lamina.plans import bronze, catalog, delivery, gold, scd2, serve, silver
 from lamina.schemas import (
     AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, BENCHMARK_LOG, COLUMN_REGISTRY, DATA_LINEAGE, DIM_USERS,
     EXPORT_DAILY, EXPORT_HOURLY, FACT_EVENTS, PIPELINE_RUNS, QUARANTINE_EVENTS, RPT_DAILY_SUMMARY,
     RPT_DAILY_SUMMARY_HISTORY, SERVING_DAILY, SERVING_HOURLY, STG_EVENTS, TABLE_REGISTRY, USER_ACTIVITY,
-    VALIDATION_LOG, TableSpec,
+    TableSpec,
 )
+from lamina.session import now
 from lamina.sources.event_feed import delivery_time
 from lamina.sources.store import Store
 
@@ -38,28 +39,20 @@ class RowsLost(RuntimeError):
     """Raw rows are neither facts nor set aside."""
 
 
-class DeliveryMismatch(RuntimeError):
-    """The serving tables differ from gold."""
-
-
-def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
-
-
 @dataclass
 class Run:
     store: Store
     batch_id: str
     batch_time: Callable[[Column], Column]
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
-    at: datetime = field(default_factory=_now)
+    at: datetime = field(default_factory=now)
     counts: dict[str, int] = field(default_factory=dict)
     timings: list[dict] = field(default_factory=list)
 
     @contextmanager
     def step(self, name: str, layer: str):
         """Times a step; rows_in and rows_out may be put into the yielded record."""
-        record = {"task_name": name, "layer": layer, "rows_in": 0, "rows_out": 0, "started_at": _now()}
+        record = {"task_name": name, "layer": layer, "rows_in": 0, "rows_out": 0, "started_at": now()}
         start = time.monotonic()
         status = "failed"
         try:
@@ -68,7 +61,7 @@ class Run:
         finally:
             seconds = time.monotonic() - start
             record.update(
-                status=status, ended_at=_now(), duration_ms=int(seconds * 1000),
+                status=status, ended_at=now(), duration_ms=int(seconds * 1000),
                 rows_per_second=record["rows_out"] / seconds if seconds > 0 else 0.0,
             )
             self.timings.append(record)
@@ -84,7 +77,7 @@ class Run:
 
 def setup(store: Store) -> None:
     """Record all tables, columns and data flows in the catalog; adds only what changed."""
-    at = _now()
+    at = now()
     for spec, records in (
         (TABLE_REGISTRY, catalog.table_records), (COLUMN_REGISTRY, catalog.column_records),
         (DATA_LINEAGE, catalog.lineage_records),
@@ -103,7 +96,7 @@ def run_batch(
     store: Store, feed: DataFrame, batch_id: str, batch_time: Callable[[Column], Column] = delivery_time
 ) -> dict[str, int]:
     """Store the delivery `batch_id` from `feed` and apply it."""
-    bronze.ingest(store, feed.where(F.col("batch_id") == batch_id), _now())
+    bronze.ingest(store, feed.where(F.col("batch_id") == batch_id), now())
     return apply_batch(store, batch_id, batch_time)
 
 
@@ -152,10 +145,10 @@ def _transform(run: Run) -> None:
 
     # The two sets of figures don't depend on each other.
     with ThreadPoolExecutor(2) as pool:
-        for done in [pool.submit(inheritable_thread_target(job)) for job in (hourly, daily)]:
+        for done in [pool.submit(inheritable_thread_target(store.spark)(job)) for job in (hourly, daily)]:
             done.result()
     with run.step("validate_delivery", "validation"):
-        _validate(run, scopes)
+        serve.check_delivery(store, run.run_id, scopes)
 
 
 def _quarantine(run: Run, record: dict) -> None:
@@ -287,31 +280,9 @@ def _refresh_gold(
         store.publish(serving, staged.withColumnRenamed("_updated_at", "updated_at"), scopes)
 
 
-def _validate(run: Run, scopes: list[tuple]) -> None:
-    """Compare gold and serving for the touched days, log the comparison, then fail on a difference."""
-    store = run.store
-    hourly, daily = store.read(AGG_EVENTS_HOURLY, scopes), store.read(RPT_DAILY_SUMMARY, scopes)
-    served_hourly, served_daily = store.read(SERVING_HOURLY, scopes), store.read(SERVING_DAILY, scopes)
-    report = delivery.validate(hourly, daily, served_hourly, served_daily)
-    # One row per hour of the touched days.
-    found = report.withColumn("run_id", F.lit(run.run_id)).withColumn("validated_at", F.lit(_now())).select(
-        *VALIDATION_LOG.column_names
-    ).collect()
-    store.append(VALIDATION_LOG, store.spark.createDataFrame(found, VALIDATION_LOG.schema))
-    problems = [
-        f"{r['event_date']} {r['event_hour']:02d}h totals" for r in found if r["overall_status"] == "fail"
-    ]
-    differing = delivery.mismatches(hourly, served_hourly).select("event_date", "mismatch").unionByName(
-        delivery.daily_mismatches(daily, served_daily).select("event_date", "mismatch")
-    )
-    problems += [f"{r['event_date']} {r['mismatch']} row" for r in differing.limit(10).collect()]
-    if problems:
-        raise DeliveryMismatch(f"{run.batch_id}: " + "; ".join(problems[:10]))
-
-
 def _log_run(run: Run, status: str) -> None:
     """A failed run is logged with what it counted before it failed."""
-    done = None if status == "running" else _now()
+    done = None if status == "running" else now()
     count_columns = [c for c, dtype, _ in PIPELINE_RUNS.columns if dtype.typeName() == "long"]
     record = {
         "run_id": run.run_id, "batch_id": run.batch_id, "status": status, "started_at": run.at, "completed_at": done,
@@ -329,7 +300,7 @@ def _log_timings(run: Run) -> None:
     """Measurements are an extra: failing to store them never fails the run."""
     shared = {
         "run_id": run.run_id, "framework": "spark", "framework_version": pyspark.__version__, "batch_id": run.batch_id,
-        "extra": catalog.as_json(run.counts), "_recorded_at": _now(),
+        "extra": catalog.as_json(run.counts), "_recorded_at": now(),
     }
     try:
         rows = [tuple({**t, **shared}[c] for c in BENCHMARK_LOG.column_names) for t in run.timings]
@@ -340,7 +311,7 @@ def _log_timings(run: Run) -> None:
 
 def replay(store: Store, feed: DataFrame, batch_time: Callable[[Column], Column] = delivery_time) -> list[str]:
     """Store all new deliveries of `feed` in one pass, then apply what is not applied yet in order."""
-    bronze.ingest(store, feed, _now())
+    bronze.ingest(store, feed, now())
     batches = sorted(store.first_level(STG_EVENTS))
     for batch_id in batches:
         apply_batch(store, batch_id, batch_time)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,11 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def now() -> datetime:
+    """The present in UTC, as Spark takes it with the session time zone set above."""
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a local one only where the cluster names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lamina.plans import bronze
-from lamina.plans.batch_run import _now, apply_batch
+from lamina.plans.batch_run import apply_batch
 from lamina.schemas import STG_EVENTS
+from lamina.session import now
 from lamina.sources.event_feed import delivery_time
 from lamina.sources.store import Store
 
@@ -39,7 +40,7 @@ def apply_micro_batch(store: Store, batch_time: Callable[[Column], Column] = del
         for batch_id in sorted(known & counted.keys()):
             if store.read(STG_EVENTS, [(batch_id,)]).count() != counted[batch_id]:
                 raise SplitDelivery(batch_id)
-        bronze.ingest(store, rows, _now())
+        bronze.ingest(store, rows, now())
         for batch_id in sorted(counted):
             apply_batch(store, batch_id, batch_time)
 
