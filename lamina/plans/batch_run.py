@@ -11,10 +11,11 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import reduce
 
 import pyspark
 from pyspark import inheritable_thread_target
@@ -69,10 +70,8 @@ class Run:
     def staged(self, step: str, df: DataFrame) -> DataFrame:
         return self.store.staged(self.batch_id, step, df)
 
-    def write_whole(self, spec: TableSpec, step: str, df: DataFrame, scopes: list[tuple]) -> DataFrame:
-        staged = self.staged(step, df)
-        self.store.publish(spec, staged, scopes)
-        return staged
+    def write_whole(self, spec: TableSpec, step: str, df: DataFrame, scopes: list[tuple]) -> None:
+        self.store.publish(spec, self.staged(step, df), scopes)
 
 
 def setup(store: Store) -> None:
@@ -121,145 +120,146 @@ def apply_batch(
 
 
 def _transform(run: Run) -> None:
-    store, batch_id = run.store, run.batch_id
-    with run.step("quarantine_rows", "silver") as record:
-        _quarantine(run, record)
-    with run.step("transform_silver", "silver") as record:
-        dates, activity = _apply_facts(run, record)
-    with run.step("update_dim_users", "silver") as record:
-        _apply_users(run, record, activity)
-
-    scopes = [(d,) for d in dates]
-
-    def hourly() -> None:
-        _refresh_gold(
-            run, "hourly", gold.hourly_kpis, AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, EXPORT_HOURLY,
-            SERVING_HOURLY, scopes,
-        )
-
-    def daily() -> None:
-        _refresh_gold(
-            run, "daily", gold.daily_kpis, RPT_DAILY_SUMMARY, RPT_DAILY_SUMMARY_HISTORY, EXPORT_DAILY,
-            SERVING_DAILY, scopes,
-        )
-
-    # The two sets of figures don't depend on each other.
-    with ThreadPoolExecutor(2) as pool:
-        for done in [pool.submit(inheritable_thread_target(store.spark)(job)) for job in (hourly, daily)]:
-            done.result()
+    """All steps; those that don't need each other's results run side by side."""
+    with ThreadPoolExecutor(4) as pool:
+        def start(job: Callable, *arguments) -> Future:
+            return pool.submit(inheritable_thread_target(run.store.spark)(job), *arguments)
+
+        accounted = start(_quarantine, run)
+        days, activity = _apply_facts(run, accounted)
+        scopes = [(d,) for d in days]
+        rest = [start(_apply_users, run, activity), start(_refresh_hourly, run, scopes), start(_refresh_daily, run, scopes)]
+        for job in rest:
+            job.result()
     with run.step("validate_delivery", "validation"):
-        serve.check_delivery(store, run.run_id, scopes)
+        serve.check_delivery(run.store, run.run_id, scopes)
 
 
-def _quarantine(run: Run, record: dict) -> None:
+def _quarantine(run: Run) -> None:
     """Set rejected rows aside and prove that no row of the delivery is lost."""
     store, scope = run.store, [(run.batch_id,)]
-    raw = store.read(STG_EVENTS, scope)
-    rejected = silver.rejected_rows(raw).withColumn("_quarantined_at", F.lit(run.at))
-    run.write_whole(QUARANTINE_EVENTS, "rejected", rejected, scope)
-    parts = {"bronze": raw, "valid": silver.clean_events(raw), "quarantined": store.read(QUARANTINE_EVENTS, scope)}
-    counted = None
-    for name, df in parts.items():
-        one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n")
-        counted = one if counted is None else counted.unionByName(one)
-    n = {row["part"]: row["n"] for row in counted.collect()}
-    if n["bronze"] != n["valid"] + n["quarantined"]:
-        raise RowsLost(f"{run.batch_id}: {n['bronze']} rows, {n['valid']} valid, {n['quarantined']} set aside")
-    run.counts.update(bronze_rows=n["bronze"], quarantined_rows=n["quarantined"])
-    record.update(rows_in=n["bronze"], rows_out=n["quarantined"])
-
-
-def _apply_facts(run: Run, record: dict) -> tuple[list[date], DataFrame]:
+    with run.step("quarantine_rows", "silver") as record:
+        raw = store.read(STG_EVENTS, scope)
+        rejected = silver.rejected_rows(raw).withColumn("_quarantined_at", F.lit(run.at))
+        run.write_whole(QUARANTINE_EVENTS, "rejected", rejected, scope)
+        parts = {"bronze": raw, "valid": silver.clean_events(raw), "aside": store.read(QUARANTINE_EVENTS, scope)}
+        counted = reduce(DataFrame.unionByName, [
+            df.agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n") for name, df in parts.items()
+        ])
+        n = {row["part"]: row["n"] for row in counted.collect()}
+        if n["bronze"] != n["valid"] + n["aside"]:
+            raise RowsLost(f"{run.batch_id}: {n['bronze']} rows, {n['valid']} valid, {n['aside']} set aside")
+        run.counts.update(bronze_rows=n["bronze"], quarantined_rows=n["aside"])
+        record.update(rows_in=n["bronze"], rows_out=n["aside"])
+
+
+def _apply_facts(run: Run, accounted: Future) -> tuple[list[date], DataFrame]:
     """Add the delivery's events and take out the versions they replace.
 
-    Returns the touched days and the signed changes of user activity.
+    Returns the touched days and the signed changes of user activity. Nothing is published
+    before the rows are accounted for.
     """
     store, batch_id = run.store, run.batch_id
-    incoming = run.staged(
-        "incoming", silver.current_facts(silver.clean_events(store.read(STG_EVENTS, [(batch_id,)])))
-    )
-    # The one look at the whole table: two narrow columns, joined with the delivery's keys.
-    # The staged keys have a known size, so Spark broadcasts them or filters by them as fits.
-    known = store.read(FACT_EVENTS).select("event_id", "event_date", "batch_id")
-    known_elsewhere = known.where(F.col("batch_id") != batch_id)
-    hits = run.staged("hits", known_elsewhere.join(incoming.select("event_id"), "event_id", "left_semi"))
-    hit_parts = [
-        (r["event_date"], r["batch_id"]) for r in hits.select("event_date", "batch_id").distinct().collect()
-    ]
-    older = [p for p in hit_parts if p[1] < batch_id]
-    winners = incoming
-    if len(older) < len(hit_parts):
-        newer = hits.where(F.col("batch_id") > batch_id).select("event_id")
-        winners = incoming.join(newer, "event_id", "left_anti").select(*incoming.columns)
-
-    corrected = hits.where(F.col("batch_id") < batch_id).select("event_id")
-    columns = silver.FACT_COLUMNS
-    stamped = winners.withColumn("_loaded_at", F.lit(run.at)).select(*FACT_EVENTS.column_names)
-    activity = scd2.user_activity(winners, run.batch_time(F.col("batch_id")))
-    content = stamped
-    if older:
-        before = store.read(FACT_EVENTS, older)
-        content = stamped.unionByName(before.join(corrected, "event_id", "left_anti"))
-        taken = before.select(*columns).join(corrected, "event_id", "left_semi")
-        activity = activity.unionByName(scd2.user_activity(taken, run.batch_time(F.col("batch_id")), taken_away=True))
-    activity = activity.withColumn("applied_batch", F.lit(batch_id)).withColumn(
-        "user_bucket", user_bucket(F.col("user_name"), store.user_buckets)
-    )
-    # Both are staged before either is published, as they need the table as it was.
-    facts = run.staged("facts", content)
-    activity = run.staged("activity", activity.select(*USER_ACTIVITY.column_names))
-    own_dates = [
-        (r["event_date"], r["n"])
-        for r in facts.where(F.col("batch_id") == batch_id).groupBy("event_date").agg(F.count("*").alias("n")).collect()
-    ]
-    own = [(d, batch_id) for d, _ in own_dates]
-    store.publish(FACT_EVENTS, facts, own + older)
-    store.publish(USER_ACTIVITY, activity, [(batch_id,)])
-    run.counts["silver_rows"] = sum(n for _, n in own_dates)
-    record.update(rows_in=run.counts["bronze_rows"], rows_out=run.counts["silver_rows"])
-    return sorted({p[0] for p in own + older}), activity
-
-
-def _apply_users(run: Run, record: dict, activity: DataFrame) -> None:
+    with run.step("transform_silver", "silver") as record:
+        incoming = run.staged(
+            "incoming", silver.current_facts(silver.clean_events(store.read(STG_EVENTS, [(batch_id,)])))
+        )
+        # The one look at the whole table: narrow columns, joined with the delivery's keys.
+        # The staged keys have a known size, so Spark broadcasts them or filters by them as fits.
+        elsewhere = store.read(FACT_EVENTS).select("event_id", "event_date", "batch_id").where(F.col("batch_id") != batch_id)
+        hits = run.staged("hits", elsewhere.join(incoming.select("event_id"), "event_id", "left_semi"))
+        hit_parts = [tuple(r) for r in hits.select("event_date", "batch_id").distinct().collect()]
+        older = [p for p in hit_parts if p[1] < batch_id]
+        winners = incoming
+        if len(older) < len(hit_parts):
+            newer = hits.where(F.col("batch_id") > batch_id).select("event_id")
+            winners = incoming.join(newer, "event_id", "left_anti").select(*incoming.columns)
+
+        content = winners.withColumn("_loaded_at", F.lit(run.at)).select(*FACT_EVENTS.column_names)
+        batch_ts = run.batch_time(F.col("batch_id"))
+        activity = scd2.user_activity(winners, batch_ts)
+        if older:
+            corrected = hits.where(F.col("batch_id") < batch_id).select("event_id")
+            before = store.read(FACT_EVENTS, older)
+            content = content.unionByName(before.join(corrected, "event_id", "left_anti"))
+            taken = before.select(*silver.FACT_COLUMNS).join(corrected, "event_id", "left_semi")
+            activity = activity.unionByName(scd2.user_activity(taken, batch_ts, taken_away=True))
+        activity = activity.withColumn("applied_batch", F.lit(batch_id)).withColumn(
+            "user_bucket", user_bucket(F.col("user_name"), store.user_buckets)
+        )
+        # Both are staged before either is published, as they need the table as it was.
+        facts = run.staged("facts", content)
+        activity = run.staged("activity", activity.select(*USER_ACTIVITY.column_names))
+        accounted.result()
+        sizes = {
+            (r["event_date"], r["batch_id"]): r["n"]
+            for r in facts.groupBy("event_date", "batch_id").agg(F.count("*").alias("n")).collect()
+        }
+        own = [p for p in sizes if p[1] == batch_id]
+        store.publish(FACT_EVENTS, facts, [*own, *older], sizes)
+        run.counts["silver_rows"] = sum(sizes[p] for p in own)
+        record.update(rows_in=run.counts["bronze_rows"], rows_out=run.counts["silver_rows"])
+    return sorted({p[0] for p in [*own, *older]}), activity
+
+
+def _apply_users(run: Run, activity: DataFrame) -> None:
     """Advance the versions of the delivery's users; rebuild those whose past was corrected.
 
     A delivery that is older than one already applied changes the past of all its users.
     """
     store, batch_id = run.store, run.batch_id
-    late = any(b > batch_id for b in store.first_level(USER_ACTIVITY))
-    past = activity if late else activity.where("n < 0")
-    rebuilt_users = run.staged("rebuilt_users", past.select("user_name", "user_bucket").distinct())
-    buckets = [(r["user_bucket"],) for r in activity.select("user_bucket").distinct().collect()]
-    rebuilt_buckets = [r["user_bucket"] for r in rebuilt_users.select("user_bucket").distinct().collect()]
-
-    versions = store.read(DIM_USERS, buckets)
-    profiled = activity.where("n > 0")
-    if rebuilt_buckets:
-        names = rebuilt_users.select("user_name")
-        versions = versions.join(names, "user_name", "left_anti")
-        profiled = profiled.join(names, "user_name", "left_anti")
-    profiles = scd2.user_profiles(profiled.select(*scd2.ACTIVITY_KEYS, "n", "value_exact", "revenue_n"))
-    moved = scd2.advance_versions(versions.where("is_current = 1"), profiles)
-    closed = versions.where("is_current = 0").withColumn("change", F.lit(None).cast("string"))
-    result = moved.unionByName(closed.select(*moved.columns))
-    if rebuilt_buckets:
-        history = store.read(USER_ACTIVITY).where(F.col("user_bucket").isin(rebuilt_buckets))
-        whole = scd2.user_versions(
-            scd2.user_profiles(scd2.net_activity(history.join(names, "user_name", "left_semi")))
-        )
-        first = F.when(F.col("version_no") == 1, "new").otherwise("changed")
-        change = F.when(F.col("valid_from") == run.batch_time(F.lit(batch_id)), first)
-        result = result.unionByName(whole.withColumn("change", change).select(*moved.columns))
-    result = result.withColumn("user_bucket", user_bucket(F.col("user_name"), store.user_buckets))
-    staged = run.write_whole(DIM_USERS, "users", result, buckets)
-    changes = {r["change"]: r["n"] for r in staged.groupBy("change").agg(F.count("*").alias("n")).collect()}
-    run.counts.update(dim_users_new=changes.get("new", 0), dim_users_updated=changes.get("changed", 0))
-    record.update(rows_in=run.counts["silver_rows"], rows_out=changes.get("new", 0) + changes.get("changed", 0))
+    with run.step("update_dim_users", "silver") as record:
+        store.publish(USER_ACTIVITY, activity, [(batch_id,)])
+        late = any(b > batch_id for b in store.first_level(USER_ACTIVITY))
+        buckets = {
+            r["user_bucket"]: late or r["corrected"]
+            for r in activity.groupBy("user_bucket").agg(F.max(F.col("n") < 0).alias("corrected")).collect()
+        }
+        scopes, rebuilt_buckets = [(b,) for b in buckets], [b for b, rebuilt in buckets.items() if rebuilt]
+        versions = store.read(DIM_USERS, scopes)
+        profiled = activity.where("n > 0")
+        if rebuilt_buckets:
+            names = (activity if late else activity.where("n < 0")).select("user_name").distinct()
+            versions = versions.join(names, "user_name", "left_anti")
+            profiled = profiled.join(names, "user_name", "left_anti")
+        profiles = scd2.user_profiles(profiled.select(*scd2.ACTIVITY_KEYS, "n", "value_exact", "revenue_n"))
+        moved = scd2.advance_versions(versions.where("is_current = 1"), profiles)
+        closed = versions.where("is_current = 0").withColumn("change", F.lit(None).cast("string"))
+        result = moved.unionByName(closed.select(*moved.columns))
+        if rebuilt_buckets:
+            history = store.read(USER_ACTIVITY).where(F.col("user_bucket").isin(rebuilt_buckets))
+            whole = scd2.user_versions(
+                scd2.user_profiles(scd2.net_activity(history.join(names, "user_name", "left_semi")))
+            )
+            kind = F.when(F.col("version_no") == 1, "new").otherwise("changed")
+            change = F.when(F.col("valid_from") == run.batch_time(F.lit(batch_id)), kind)
+            result = result.unionByName(whole.withColumn("change", change).select(*moved.columns))
+        result = result.withColumn("user_bucket", user_bucket(F.col("user_name"), store.user_buckets))
+        staged = run.staged("users", result)
+        groups = staged.groupBy("user_bucket", "change").agg(F.count("*").alias("n")).collect()
+        store.publish(DIM_USERS, staged, scopes, {(r["user_bucket"],) for r in groups})
+        new, changed = (sum(r["n"] for r in groups if r["change"] == kind) for kind in ("new", "changed"))
+        run.counts.update(dim_users_new=new, dim_users_updated=changed)
+        record.update(rows_in=run.counts["silver_rows"], rows_out=new + changed)
+
+
+def _refresh_hourly(run: Run, scopes: list[tuple]) -> None:
+    _refresh(
+        run, "hourly", gold.hourly_kpis, AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, EXPORT_HOURLY, SERVING_HOURLY,
+        scopes, delivery.export_layout,
+    )
+
+
+def _refresh_daily(run: Run, scopes: list[tuple]) -> None:
+    _refresh(
+        run, "daily", gold.daily_kpis, RPT_DAILY_SUMMARY, RPT_DAILY_SUMMARY_HISTORY, EXPORT_DAILY, SERVING_DAILY,
+        scopes, lambda rows: rows,
+    )
 
 
-def _refresh_gold(
+def _refresh(
     run: Run, label: str, kpis: Callable[[DataFrame], DataFrame], table: TableSpec, history: TableSpec,
-    export: TableSpec, serving: TableSpec, scopes: list[tuple],
+    export: TableSpec, serving: TableSpec, scopes: list[tuple], export_form: Callable[[DataFrame], DataFrame],
 ) -> None:
     """Snapshot, recompute, export and serve the figures of the touched days."""
     store = run.store
@@ -270,14 +270,23 @@ def _refresh_gold(
         run.write_whole(history, f"snapshot_{label}", before, [(run.batch_id,)])
     with run.step(f"aggregate_{label}", "gold") as record:
         fresh = kpis(store.read(FACT_EVENTS, scopes)).withColumn("_updated_at", F.lit(run.at))
-        staged = run.write_whole(table, label, fresh.select(*table.column_names), scopes)
-        record["rows_out"] = run.counts[f"gold_{label}_rows"] = staged.count()
-    with run.step(f"export_{label}", "export"):
-        store.publish(export, delivery.export_layout(staged) if label == "hourly" else staged, scopes)
-    with run.step(f"serve_{label}", "export"):
+        staged = run.staged(label, fresh.select(*table.column_names))
+        exported = export_form(staged)
+        sizes = {
+            tuple(r[c] for c in export.partition_by): r["n"]
+            for r in exported.groupBy(*export.partition_by).agg(F.count("*").alias("n")).collect()
+        }
+        days = {p[:1] for p in sizes}
+        store.publish(table, staged, scopes, days)
+        record["rows_out"] = run.counts[f"gold_{label}_rows"] = sum(sizes.values())
+    with run.step(f"export_{label}", "export") as record:
+        store.publish(export, exported, scopes, sizes)
+        record["rows_out"] = sum(sizes.values())
+    with run.step(f"serve_{label}", "export") as record:
         # Whole days are delivered, so the merge by key comes down to putting the
         # day's rows in place; keys that gold no longer has go too.
-        store.publish(serving, staged.withColumnRenamed("_updated_at", "updated_at"), scopes)
+        store.publish(serving, staged.withColumnRenamed("_updated_at", "updated_at"), scopes, days)
+        record["rows_out"] = sum(sizes.values())
 
 
 def _log_run(run: Run, status: str) -> None:

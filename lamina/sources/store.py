@@ -127,12 +127,16 @@ class Store:
     def clear_staging(self, batch_id: str) -> None:
         self.drop_folder(self._staging(batch_id))
 
-    def publish(self, spec: TableSpec, staged: DataFrame, scopes: Iterable[Scope]) -> None:
-        """Make `staged` the whole content of `scopes`; partitions it has no rows for disappear."""
-        written = {
-            self.scope_path(spec, tuple(row))
-            for row in staged.select(*spec.partition_by).distinct().collect()
-        }
+    def publish(
+        self, spec: TableSpec, staged: DataFrame, scopes: Iterable[Scope], partitions: Iterable[Scope] | None = None
+    ) -> None:
+        """Make `staged` the whole content of `scopes`; partitions it has no rows for disappear.
+
+        `partitions` are the ones `staged` has rows for, where the caller knows them.
+        """
+        if partitions is None:
+            partitions = map(tuple, staged.select(*spec.partition_by).distinct().collect())
+        written = {self.scope_path(spec, p) for p in partitions}
         if written:
             arranged(staged.select(*spec.column_names), spec, len(written)).write.mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic"

@@ -71,10 +71,10 @@ def applied(spark):
 
     publish = Store.publish
 
-    def breaks_at_users(self, spec, staged, scopes):
+    def breaks_at_users(self, spec, *arguments):
         if spec is DIM_USERS:
             raise RuntimeError("executors lost")
-        publish(self, spec, staged, scopes)
+        publish(self, spec, *arguments)
 
     Store.publish = breaks_at_users
     try:
