@@ -66,7 +66,7 @@ def main() -> None:
     rows = event_feed.table(spark, folder, "events").count()
     print(json.dumps({
         "metric": "headline queries, sum of medians", "value": round(sum(seconds.values()), 3), "unit": "sec",
-        "queries": seconds, "sf": float(Path(folder).name.removeprefix("sf")), "cpus": int(cpus),
+        "queries": seconds, "sf": Path(folder).name.removeprefix("sf"), "cpus": int(cpus),
         "events": rows, "fact_rows_per_second": round(rows / seconds["silver_fact_current"]),
     }))
 

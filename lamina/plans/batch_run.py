@@ -113,8 +113,9 @@ def apply_batch(
         _log_run(run, "failed")
         _log_timings(run)
         raise
-    _log_run(run, "success")
-    _log_timings(run)
+    with ThreadPoolExecutor(2) as pool:
+        logged = [pool.submit(_log_run, run, "success"), pool.submit(_log_timings, run)]
+    logged[0].result()
     store.clear_staging(batch_id)
     return run.counts
 
@@ -128,11 +129,12 @@ def _transform(run: Run) -> None:
         accounted = start(_quarantine, run)
         days, activity = _apply_facts(run, accounted)
         scopes = [(d,) for d in days]
-        rest = [start(_apply_users, run, activity), start(_refresh_hourly, run, scopes), start(_refresh_daily, run, scopes)]
-        for job in rest:
-            job.result()
-    with run.step("validate_delivery", "validation"):
-        serve.check_delivery(run.store, run.run_id, scopes)
+        users = start(_apply_users, run, activity)
+        for figures in [start(_refresh_hourly, run, scopes), start(_refresh_daily, run, scopes)]:
+            figures.result()
+        with run.step("validate_delivery", "validation"):
+            serve.check_delivery(run.store, run.run_id, scopes)
+        users.result()
 
 
 def _quarantine(run: Run) -> None:

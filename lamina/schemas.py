@@ -135,11 +135,11 @@ USER_ACTIVITY = TableSpec(
         ("value_exact", EXACT, "Exact part of the amount"),
         ("value_rest", DOUBLE, "Amount of each event where it is no finite decimal, else 0"),
         ("revenue_n", LONG, "Revenue events"),
-        ("applied_batch", STRING, "Delivery that caused the change"),
         ("user_bucket", INT, "Hash bucket of user_name"),
+        ("applied_batch", STRING, "Delivery that caused the change"),
     ),
-    partition_by=("applied_batch", "user_bucket"), sort_by=("user_name",), tags=("activity", "append-only"),
-    small_partitions=True,
+    # Sorted by bucket, so that a reader of some buckets skips the row groups of the others.
+    partition_by=("applied_batch",), sort_by=("user_bucket", "user_name"), tags=("activity", "append-only"),
 )
 
 _HOURLY = (

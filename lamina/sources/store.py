@@ -23,14 +23,18 @@ from lamina.session import shared_folder
 # A partition, or all partitions below a prefix: values of the first partition columns.
 Scope = tuple
 _FEW = 16
+_BUCKETS = "_user_buckets-"
 _PLAIN = re.compile(r"[\w.-]+")
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str, user_buckets: int = 16):
+    """`user_buckets` is how many partitions the user dimension has. It is settled when the first
+    Store is opened on `root`; choose it so that a bucket of users fits a task, some
+    hundred thousand each."""
+
+    def __init__(self, spark: SparkSession, root: str, user_buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.user_buckets = user_buckets
         jvm = spark._jvm
         # Looked up once, as every step of such a name is a call to the JVM.
         self._new_path = jvm.org.apache.hadoop.fs.Path
@@ -39,6 +43,19 @@ class Store:
         self._hadoop = spark._jsc.hadoopConfiguration()
         owner = hashlib.sha256(self.root.encode()).hexdigest()[:16]
         self.staging_root = f"{shared_folder(spark)}/lamina/staging/{owner}"
+        self.user_buckets = self._settled_buckets(user_buckets)
+
+    def _settled_buckets(self, wanted: int | None) -> int:
+        """The number kept in a folder name, as users would be found in other buckets under another one."""
+        fs, root = self._open(self.root)
+        names = [p.getName() for p in self._stat2paths(fs.listStatus(root))] if fs.exists(root) else []
+        kept = [int(n.removeprefix(_BUCKETS)) for n in names if n.startswith(_BUCKETS)]
+        if kept and wanted not in (None, kept[0]):
+            raise ValueError(f"{self.root} has {kept[0]} user buckets, not {wanted}")
+        if not kept:
+            kept = [wanted or 16]
+            fs.mkdirs(self._new_path(f"{self.root}/{_BUCKETS}{kept[0]}"))
+        return kept[0]
 
     # -- folders ---------------------------------------------------------------
 
