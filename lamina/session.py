@@ -57,12 +57,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{shared_folder(spark)}/lamina/{label}-{uuid.uuid4().hex}"
+    """A new folder in the shared folder, deleted when the application ends."""
+    path = f"{shared_folder(spark)}/lamina/{label}-{uuid.uuid4().hex}"
+    handle = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = handle.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(handle)
+    fs.deleteOnExit(handle)
+    return path
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """`df` as a table in the shared folder, for results that several parts of a query read."""
-    path = fresh_folder(df.sparkSession, label)
+    path = f"{fresh_folder(df.sparkSession, label)}/rows"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

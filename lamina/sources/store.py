@@ -176,6 +176,8 @@ class Store:
             self.spark.sql(f"create database if not exists {prefix}{layer}")
         for t in TABLES:
             name = f"{prefix}{t.layer}.{t.name}"
+            fs, folder = self._open(self.path(t))
+            fs.mkdirs(folder)
             columns = ", ".join(f"{c} {dtype.simpleString()} comment '{_quoted(text)}'" for c, dtype, text in t.columns)
             parts = f"partitioned by ({', '.join(t.partition_by)})" if t.partition_by else ""
             self.spark.sql(
