@@ -231,6 +231,7 @@ def export_daily_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def _exported(store: Store, spec: TableSpec, rows: DataFrame) -> DataFrame:
     store.publish(spec, store.staged("whole", "export", rows), [()])
+    store.clear_staging("whole")
     return store.read(spec).drop("_updated_at")
 
 
