@@ -76,23 +76,24 @@ def user_profiles(activity: DataFrame) -> DataFrame:
             F.struct(F.lit("source").alias("facet"), F.col("source").alias("label")),
         )
     )
+
+    def once(amount: Column) -> Column:
+        """Every event is in both facets; amounts are counted in one of them."""
+        return F.when(F.col("facet") == "category", amount)
+
     per_label = (
         activity.repartition("user_name", "batch_id")
-        .select("*", facet.alias("f"))
-        .groupBy("user_name", "batch_id", "batch_ts", "f.facet", "f.label")
+        .select("*", facet).select("*", "col.*")
+        .groupBy("user_name", "batch_id", "batch_ts", "facet", "label")
         .agg(
             F.sum("n").alias("n"),
-            F.sum("value_exact").cast(_EXACT).alias("value_exact"),
-            F.sum(F.col("n") * F.col("value_rest")).alias("value_rest"),
-            F.sum("revenue_n").alias("revenue_n"),
+            F.sum(once(F.col("value_exact"))).cast(_EXACT).alias("value_exact"),
+            F.sum(once(F.col("n") * F.col("value_rest"))).alias("value_rest"),
+            F.sum(once(F.col("revenue_n"))).alias("revenue_n"),
             F.min("event_date").alias("first_date"),
             F.max("event_date").alias("last_date"),
         )
     )
-    by_category = F.col("facet") == "category"
-
-    def once(column: str) -> Column:
-        return F.when(by_category, F.col(column))
 
     def top(facet_name: str) -> Column:
         ranked = F.struct((-F.col("n")).alias("rank"), F.col("label"))
@@ -101,12 +102,12 @@ def user_profiles(activity: DataFrame) -> DataFrame:
     return per_label.groupBy("user_name", "batch_id", "batch_ts").agg(
         top("category").alias("primary_category"),
         top("source").alias("primary_source"),
-        F.sum(once("n")).alias("n"),
-        F.sum(once("value_exact")).cast(_EXACT).alias("value_exact"),
-        F.sum(once("value_rest")).alias("value_rest"),
-        (F.sum(once("revenue_n")) > 0).cast("int").alias("has_revenue"),
-        F.min(once("first_date")).alias("first_date"),
-        F.max(once("last_date")).alias("last_date"),
+        F.sum(once(F.col("n"))).alias("n"),
+        F.sum("value_exact").cast(_EXACT).alias("value_exact"),
+        F.sum("value_rest").alias("value_rest"),
+        (F.sum("revenue_n") > 0).cast("int").alias("has_revenue"),
+        F.min("first_date").alias("first_date"),
+        F.max("last_date").alias("last_date"),
     )
 
 
