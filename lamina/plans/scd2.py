@@ -162,8 +162,9 @@ def _completed(versions: DataFrame) -> DataFrame:
 def advance_versions(open_versions: DataFrame, profiles: DataFrame, carry_totals: bool = True) -> DataFrame:
     """Open versions moved on by the profiles of one newer delivery.
 
-    Users without a profile pass unchanged. `change` says what happened: 'new' user, a new version ('changed'), 'kept' in the same version, or NULL
-    for a version that was closed or not touched.
+    Users without a profile pass unchanged. `change` says what happened: 'new' for a user seen
+    first, 'changed' for a new version, 'kept' for the same version with new totals, NULL for a
+    version that was closed or not touched.
     """
     old = open_versions.select(F.col("user_name").alias("_user"), F.struct(*DIM_COLUMNS, *PARTS).alias("o"))
     both = old.join(profiles, old["_user"] == profiles["user_name"], "full_outer")
