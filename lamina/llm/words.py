@@ -10,6 +10,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 _IS_WORD = np.zeros(256, bool)
@@ -49,7 +50,7 @@ def folded(text: str | None) -> str:
 
 def chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batch with about `most` bytes of text; a longer text is alone."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     at, room = 0, 0
     for i, n in enumerate(sizes):
         if i > at and room + n > most:
