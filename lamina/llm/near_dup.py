@@ -27,6 +27,8 @@ _ELEMENT = np.uint64(2**48 - 1)
 _CDF = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(13)])
 _DARTS = np.arange(1, 13, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)
 _CELLS = 1_000_000
+# Texts of a block: all those of a pivot, and those that aren't linked to it.
+_BLOCK, _LOOSE = 1024, 256
 
 
 def weighted_elements(doc: np.ndarray, shingle: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -166,17 +168,24 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _shared_buckets(pairs: DataFrame) -> DataFrame:
-    """(bucket, node, hub) of the buckets with more than one text; the hub is the least text."""
-    hubs = pairs.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub != last").drop("last")
-    return pairs.join(hubs, "bucket")
+    """(bucket, node, place) of the buckets with more than one text; place orders texts, those in the fullest buckets first.
+
+    Copies of a text share more buckets with it than with each other, so the text itself comes first.
+    """
+    many = pairs.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    rows = written(pairs.join(many, "bucket"), "buckets")
+    places = rows.groupBy("node").agg(F.sum("n").alias("n")).select("node", F.struct((-F.col("n")).alias("full"), "node").alias("place"))
+    return rows.select("bucket", "node").join(places, "node")
 
 
 def _linked(keyed: DataFrame, rows: DataFrame, inside: DataFrame) -> DataFrame:
     """(node, component) for the texts with a link.
 
-    In each bucket the first texts are compared with all others that aren't yet in their component: one in the first
-    round, then 4, 16, 64 more, while the texts after them lie in several components. So no pair of a bucket is left out
-    unless it is in one component already, and pairs inside a group of copies aren't listed.
+    The pivot of a text is the first text of its buckets. First all texts are compared with their pivots, which links most
+    copies. Then texts that aren't linked to their pivot are compared with all texts of the same pivot, in blocks. Texts of
+    different pivots are compared where they share a bucket: the first text of a bucket with the others, then 16, 256, 4096
+    more, while the texts after them differ in pivot and component. So no pair of a bucket is left out unless it is in one
+    component already, and pairs inside a group of copies aren't listed.
     """
     reps = rows.groupBy("node").agg(F.min("doc_id").alias("rep"))
     needed = inside.select("node").distinct().join(reps, "node")
@@ -186,38 +195,111 @@ def _linked(keyed: DataFrame, rows: DataFrame, inside: DataFrame) -> DataFrame:
         .dropDuplicates(["node"])
     )
     sets = written(found.mapInArrow(_sets, "node binary, elements binary"), "sets")
-    pairs = inside.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    edges = written(_checked(pairs, sets), "links")
+    hubs = inside.groupBy("bucket").agg(F.min("place").alias("hub"))
+    nearest = inside.join(hubs, "bucket").groupBy("node").agg(F.min("hub").alias("hub"))
+    pivots = written(nearest.select("node", F.col("hub.node").alias("pivot")), "pivots")
+    edges = written(_checked(pivots.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")), sets), "links")
     labels = components(edges)
-    done, step = 1, 4
+    more = written(_within_pivots(pivots, labels, sets), "links")
+    if not more.isEmpty():
+        edges = edges.union(more)
+        labels = components(edges)
+    inside = written(inside.join(pivots, "node"), "buckets")
+    done, step = 0, 1
     while True:
-        known = inside.select("bucket", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        ranked = known.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("node")))
-        open_buckets = _open(known, ranked, done)
-        hubs = written(
-            ranked.where(F.col("rank") <= done + step).join(open_buckets, "bucket")
-            .where(F.col("rank") > done).select("bucket", F.col("node").alias("a"), F.col("component").alias("own")),
-            "hubs",
-        )
+        known = inside.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        hubs = written(_next_hubs(known, done, step), "hubs")
         if hubs.isEmpty():
             return labels
         pairs = (
-            known.join(hubs, "bucket").where("node > a and component != own")
-            .select("a", F.col("node").alias("b")).distinct()
+            known.join(hubs, "bucket").where("place > hub and component != own and pivot != other")
+            .select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
         )
         more = written(_checked(pairs, sets), "links")
         if not more.isEmpty():
             edges = edges.union(more)
             labels = components(edges)
-        done, step = done + step, step * 4
+        done, step = done + step, max(16, step * 16)
 
 
-def _open(known: DataFrame, ranked: DataFrame, done: int) -> DataFrame:
-    """Buckets whose texts after the first `done` lie in more than one component."""
-    last = ranked.where(F.col("rank") <= done).groupBy("bucket").agg(F.max("node").alias("last"))
+def _within_pivots(pivots: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join components, between texts not linked to their pivot and texts of the same pivot.
+
+    Texts of a pivot are dealt to blocks by their hash; every block of the former meets every block of the latter.
+    """
+    known = pivots.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    center = known.where("node = pivot").select("pivot", F.col("component").alias("center"))
+    known = known.where("node != pivot").join(center, "pivot", "left").withColumn("loose", ~F.col("component").eqNullSafe(F.col("center")))
+    sizes = known.groupBy("pivot").agg(F.count("*").alias("n"), F.count_if("loose").alias("n_loose")).where("n > 1 and n_loose > 0")
+    counts = sizes.select("pivot", F.ceil(F.col("n") / _BLOCK).cast("int").alias("rights"), F.ceil(F.col("n_loose") / _LOOSE).cast("int").alias("lefts"))
+    rows = written(known.join(counts, "pivot").join(sets, "node"), "blocks")
+    place = F.xxhash64("node")
+
+    def dealt(some: DataFrame, own: str, other: str) -> DataFrame:
+        mine = F.pmod(place, F.col(f"{own}s")).cast("int").alias(own)
+        return some.select("pivot", "node", "component", "elements", mine, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)).alias(other))
+
+    keys = ["pivot", "left", "right"]
+    left, right = dealt(rows.where("loose"), "left", "right"), dealt(rows, "right", "left")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_joining, "a binary, b binary")
+
+
+def _shared(one: list[bytes], other: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sizes, sizes, common elements of each pair) of two blocks of texts."""
+    sides = []
+    for blobs in (one, other):
+        parts = [np.frombuffer(b, np.uint64) for b in blobs]
+        sides.append((np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.concatenate([*parts, np.zeros(0, np.uint64)]), np.array([len(p) for p in parts])))
+    common = np.intersect1d(np.unique(sides[0][1]), np.unique(sides[1][1]))
+    total = np.zeros((len(one), len(other)), np.float32)
+    for at in range(0, len(common), 4096):
+        some = common[at : at + 4096]
+        tables = []
+        for row, element, size in sides:
+            column = np.minimum(np.searchsorted(some, element), len(some) - 1)
+            hit = some[column] == element
+            table = np.zeros((len(size), len(some)), np.float32)
+            table[row[hit], column[hit]] = 1
+            tables.append(table)
+        total += tables[0] @ tables[1].T
+    return sides[0][2], sides[1][2], total
+
+
+def _joining(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Links between two blocks; of those that join the same components one is enough."""
+    if not left.num_rows or not right.num_rows:
+        return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
+    a, b = left.column("node").to_pylist(), right.column("node").to_pylist()
+    ca, cb = left.column("component").to_pylist(), right.column("component").to_pylist()
+    n, m, common = _shared(left.column("elements").to_pylist(), right.column("elements").to_pylist())
+    close = common >= SIMILARITY * (n[:, None] + m[None, :] - common) - 1e-3
+    root: dict[bytes, bytes] = {}
+
+    def top(x: bytes) -> bytes:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    links = []
+    for i, j in zip(*np.nonzero(close)):
+        x, y = top(ca[i]), top(cb[j])
+        if x != y and common[i, j] / (n[i] + m[j] - common[i, j]) >= SIMILARITY - 1e-9:
+            root[max(x, y)] = min(x, y)
+            links.append((a[i], b[j]))
+    return pa.table({"a": pa.array([x for x, _ in links], pa.binary()), "b": pa.array([y for _, y in links], pa.binary())})
+
+
+def _next_hubs(known: DataFrame, done: int, step: int) -> DataFrame:
+    """(bucket, hub, own, other): the next texts of the buckets whose texts after the first `done` lie in several components
+    and have several pivots."""
+    ranked = known.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("place"))).where(F.col("rank") <= done + step)
+    last = ranked.where(F.col("rank") == done).select("bucket", F.col("place").alias("last"))
+    rest = known.join(last, "bucket").where("place > last") if done else known
+    several = [f(c).alias(f"{n}_{c}") for c in ("component", "pivot") for n, f in (("low", F.min), ("high", F.max))]
+    open_ones = rest.groupBy("bucket").agg(*several).where("low_component != high_component and low_pivot != high_pivot")
     return (
-        known.join(last, "bucket").where("node > last").groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket")
+        ranked.where(F.col("rank") > done).join(open_ones.select("bucket"), "bucket")
+        .select("bucket", F.col("place").alias("hub"), F.col("component").alias("own"), F.col("pivot").alias("other"))
     )
 
 
