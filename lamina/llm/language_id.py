@@ -229,7 +229,9 @@ def calibrated(model: Model, texts: list[str | None], langs: list[str]) -> Model
     grid = [2.0**e for e in range(-2, 9)]
     loss = [-np.log(np.maximum(_posterior(entropy, g)[at, own], 1e-12)).mean() for g in grid]
     mine = entropy[at, own]
-    limit = np.array([np.quantile(mine[own == i], 1 - REJECT_SHARE) if (own == i).any() else np.inf for i in range(len(model.names))])
+    # A language without such texts takes the limit of all.
+    of = [mine[own == i] if (own == i).any() else mine for i in range(len(model.names))]
+    limit = np.array([np.quantile(m, 1 - REJECT_SHARE) for m in of])
     return model._replace(sharpness=grid[int(np.argmin(loss))], limit=limit)
 
 

@@ -69,14 +69,21 @@ def normalised(sentence: Column) -> Column:
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, identifiers, licenses, n_known), one row per input row.
 
-    Sentences end at . ! ? before white space, at blank lines and at the end. `identifiers` are joined by spaces in text
+    Sentences end at . ! ? before white space, at blank lines and at the end; of an unknown sentence over several lines each
+    line is looked up. `identifiers` are joined by spaces in text
     order, `licenses` by commas, each once, in the order of the rules. A NULL or empty text has none. Other columns are not
     read; an empty table gives an empty one.
     """
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     parts = F.filter(F.split(F.col("text"), BOUNDARY), lambda s: s.rlike(SIGN))
-    found = F.when(F.col("text").rlike(SIGN), F.transform(parts, lambda s: F.try_element_at(known, normalised(s))))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.concat_ws(" ", F.filter(found, lambda i: i.isNotNull())).alias("identifiers"))
+
+    def look_up(sentence: Column) -> Column:
+        whole = F.try_element_at(known, normalised(sentence))
+        lines = F.transform(F.split(sentence, "\n"), lambda x: F.try_element_at(known, normalised(x)))
+        return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.filter(lines, lambda i: i.isNotNull()))
+
+    found = F.when(F.col("text").rlike(SIGN), F.flatten(F.transform(parts, look_up)))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.concat_ws(" ", found).alias("identifiers"))
     line = F.concat(F.lit(" "), F.col("identifiers"), F.lit(" "))
     named = F.array(*[F.when(F.contains(line, F.lit(f" {' '.join(ids)} ")), name) for name, ids in RULES])
     n_known = F.when(F.col("identifiers") == "", 0).otherwise(F.size(F.split("identifiers", " "))).cast("long")

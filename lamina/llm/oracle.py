@@ -117,13 +117,18 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {TOP}"""
 
 def _licenses() -> str:
     known = "MAP {" + ", ".join(f"{_q(s)}: {_q(i)}" for s, i in licenses.SENTENCES.items()) + "}"
+
+    def norm(x: str) -> str:
+        return f"trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'))"
+
     rules = ", ".join(f"CASE WHEN contains(line, {_q(' ' + ' '.join(ids) + ' ')}) THEN {_q(name)} END" for name, ids in licenses.RULES)
     order = list(dict.fromkeys(name for name, _ in licenses.RULES))
     return f"""
 WITH parts AS (
   SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), {_q(licenses.BOUNDARY)}), lambda s: regexp_matches(s, {_q(licenses.SIGN)})) AS parts FROM documents),
 found AS (
-  SELECT doc_id, list_filter(list_transform(parts, lambda s: ({known})[trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))]), lambda i: i IS NOT NULL) AS ids
+  SELECT doc_id, flatten(list_transform(parts, lambda s: CASE WHEN ({known})[{norm("s")}] IS NOT NULL THEN [({known})[{norm("s")}]]
+         ELSE list_filter(list_transform(string_split(s, chr(10)), lambda x: ({known})[{norm("x")}]), lambda i: i IS NOT NULL) END)) AS ids
   FROM parts),
 lined AS (SELECT doc_id, ids, ' ' || coalesce(array_to_string(ids, ' '), '') || ' ' AS line FROM found),
 named AS (SELECT *, list_filter([{rules}], lambda n: n IS NOT NULL) AS names FROM lined)

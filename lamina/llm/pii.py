@@ -81,7 +81,7 @@ def admissible(kind: int, text: str) -> bool:
     """Could this be data of that kind, if written in another way than the patterns ask for?"""
     if kind == 0:
         name, at, host = text.partition("@")
-        return bool(at and name.strip() and "." in host.strip(".") and not re.search(r"[\s@]", text))
+        return bool(at and name.strip() and "." in host.strip(".") and not re.search(r"[\s@]", name + host))
     digits = _digits(text)
     if kind == 1:
         parts = re.split(r"[^0-9]+", text)
