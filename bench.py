@@ -50,7 +50,10 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("bench", f"local[{cpus}]", {
-        "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": cpus,
+        # The tables are so small here that the default would leave all of them to one core.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+        "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
     })
     spark.sparkContext.setLogLevel("ERROR")
     seconds: dict[str, float] = {}

@@ -41,10 +41,17 @@ def column_profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
     )
     if not exact_distinct:
         return summary.select(*columns)
+    def text(name: str):
+        value = F.col(name)
+        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            # 0.0 and -0.0 are one value.
+            value = F.when(value == 0, F.lit(0.0).cast(df.schema[name].dataType)).otherwise(value)
+        return value.cast("string")
+
     values = df.select(
         F.explode(
             F.array(*[
-                F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in df.columns
+                F.struct(F.lit(c).alias("column_name"), text(c).alias("value")) for c in df.columns
             ])
         ).alias("cell")
     ).select("cell.column_name", "cell.value")

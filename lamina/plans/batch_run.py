@@ -91,6 +91,12 @@ def is_applied(store: Store, batch_id: str) -> bool:
     return not runs.where("status = 'success'").isEmpty()
 
 
+def unfinished(store: Store) -> list[str]:
+    """Deliveries that began, staged something and did not succeed; at most one unless runs overlap."""
+    begun = [b for b in store.staged_batches() if not store.read(PIPELINE_RUNS, [(b,)]).isEmpty()]
+    return sorted(b for b in begun if not is_applied(store, b))
+
+
 def run_batch(
     store: Store, feed: DataFrame, batch_id: str, batch_time: Callable[[Column], Column] = delivery_time
 ) -> dict[str, int]:
@@ -102,9 +108,15 @@ def run_batch(
 def apply_batch(
     store: Store, batch_id: str, batch_time: Callable[[Column], Column] = delivery_time
 ) -> dict[str, int]:
-    """Bring a stored delivery through silver, gold and serving. Applied deliveries are skipped."""
+    """Bring a stored delivery through silver, gold and serving. Applied deliveries are skipped.
+
+    A delivery that failed on its way is finished first: what it has staged is right only for the tables as they were.
+    """
     if is_applied(store, batch_id):
         return {}
+    for other in unfinished(store):
+        if other != batch_id:
+            apply_batch(store, other, batch_time)
     run = Run(store, batch_id, batch_time)
     _log_run(run, "running")
     try:

@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.operators import small_side
 from lamina.plans.silver import RAW_NAMES
 from lamina.schemas import STG_EVENTS
 from lamina.sources.store import Store, arranged
@@ -31,7 +30,7 @@ def stored_batches(store: Store) -> DataFrame:
 
 def new_rows(feed: DataFrame, known_batches: DataFrame) -> DataFrame:
     """Rows of deliveries that are not among the known ones."""
-    return feed.join(small_side(known_batches), "batch_id", "left_anti").select(*feed.columns)
+    return feed.join(known_batches, "batch_id", "left_anti").select(*feed.columns)
 
 
 def ingest(store: Store, feed: DataFrame, at: datetime) -> None:

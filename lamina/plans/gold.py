@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions import exact_part, money, money_sum, rest_part
-from lamina.operators import small_side
 from lamina.schemas import DAILY_KEYS, HOURLY_KEYS
 
 
@@ -80,7 +79,7 @@ def snapshot(gold: DataFrame, touched_dates: DataFrame, batch_id: str) -> DataFr
     its size is still checked.
     """
     return (
-        gold.join(small_side(touched_dates.select(*DAILY_KEYS).distinct()), list(DAILY_KEYS), "left_semi")
+        gold.join(touched_dates.select(*DAILY_KEYS).distinct(), list(DAILY_KEYS), "left_semi")
         .select(*gold.columns)
         .withColumn("_snapshot_batch", F.lit(batch_id))
     )

@@ -31,9 +31,6 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    # Opening a file costs more than the few rows of a small partition, so small
-    # writes are spread over the cores as well.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
     # Folders of partitions are listed in parallel, a few per core.
     listers = 2 * spark.sparkContext.defaultParallelism
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(listers))

@@ -141,6 +141,11 @@ class Store:
     def _staging(self, batch_id: str) -> str:
         return f"{self.staging_root}/{self._folder('batch', batch_id)}"
 
+    def staged_batches(self) -> list[str]:
+        """What has a staging folder."""
+        names = [leaf.rsplit("/", 1)[1] for leaf in self._leaves(self.staging_root, 1)]
+        return [unquote(name.split("=", 1)[1]) for name in names]
+
     def clear_staging(self, batch_id: str) -> None:
         self.drop_folder(self._staging(batch_id))
 

@@ -217,3 +217,24 @@ def test_delivery_by_hand(spark, store):
     assert serve.export_hour(store, day, 10).endswith("event_date=2024-01-01/event_hour=10")
     assert serve.export_day(store, day).endswith("event_date=2024-01-01")
     assert content(store.read(EXPORT_HOURLY), "_updated_at") == exported
+
+
+@pytest.mark.parametrize("broken", [FACT_EVENTS, AGG_EVENTS_HOURLY, SERVING_DAILY], ids=lambda spec: spec.table_id)
+def test_a_failed_delivery_is_finished_before_a_later_one(spark, store, monkeypatch, broken):
+    """D2 fails while publishing; a delivery that corrects the same events comes before D2 is run again."""
+    batch_run.run_batch(store, feed_of(spark, D1), D1)
+    publish = type(store).publish
+
+    def breaks(self, spec, *arguments):
+        if spec is broken:
+            raise RuntimeError("executors lost")
+        publish(self, spec, *arguments)
+
+    monkeypatch.setattr(type(store), "publish", breaks)
+    with pytest.raises(RuntimeError, match="executors lost"):
+        batch_run.run_batch(store, feed_of(spark, D2), D2)
+    monkeypatch.undo()
+    assert batch_run.unfinished(store) == [D2]
+    batch_run.run_batch(store, feed_of(spark, NOON), NOON)
+    assert batch_run.unfinished(store) == [] and batch_run.run_batch(store, feed_of(spark, D2), D2) == {}
+    check(spark, store, D1, NOON, D2)
