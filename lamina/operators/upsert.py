@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def upsert_by_key(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """`target` with `rows` put in: same key replaces, new key adds.
 
-    A key that appears twice in `rows` fails the job, as there is no right winner.
+    A key that appears twice in `rows` fails the job, as there is no right winner. Both sides meet in one grouping by key,
+    so each is computed once; NULL keys are equal to each other.
     """
     keys = list(keys)
-    copies = F.count("*").over(Window.partitionBy(*keys))
+    both = target.withColumn("_new", F.lit(0)).unionByName(rows.withColumn("_new", F.lit(1)))
+    merged = both.groupBy(*keys).agg(
+        *[F.max_by(c, "_new").alias(c) for c in target.columns if c not in keys], F.sum("_new").alias("_copies")
+    )
     named = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
-    guard = F.when(copies > 1, F.raise_error(F.concat(F.lit("upsert got a key twice: "), named)).cast("int"))
-    checked = rows.withColumn("_guard", F.coalesce(guard, F.lit(0))).where("_guard = 0").drop("_guard")
-    return target.join(rows.select(*keys), keys, "left_anti").select(*target.columns).unionByName(checked)
+    twice = F.raise_error(F.concat(F.lit("upsert got a key twice: "), named)).cast("boolean")
+    return merged.where(F.when(F.col("_copies") > 1, twice).otherwise(F.lit(True))).select(*target.columns)

@@ -14,8 +14,16 @@ from lamina.sources.store import Store, arranged
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
+class SplitDelivery(RuntimeError):
+    """Another number of rows came for a delivery that was stored before."""
+
+
 def parsed(feed: DataFrame) -> DataFrame:
-    """Rows with `event_time` as a timestamp. Text that is no time fails the delivery as a whole."""
+    """Rows with `event_time` as a timestamp. Text that is no time fails the delivery as a whole, and so does a row that
+    names no delivery: it could be neither found again nor told from others."""
+    nameless = F.raise_error(F.concat(F.lit("no batch_id in event "), F.coalesce("event_id", F.lit("")))).cast("string")
+    named = F.when(F.coalesce(F.col("batch_id"), F.lit("")) == "", nameless).otherwise(F.col("batch_id"))
+    feed = feed.withColumn("batch_id", named)
     if feed.schema["event_time"].dataType.typeName() != "string":
         return feed
     bad = F.raise_error(F.concat(F.lit("no event_time in event "), F.coalesce("event_id", F.lit("")))).cast("timestamp")
@@ -33,9 +41,22 @@ def new_rows(feed: DataFrame, known_batches: DataFrame) -> DataFrame:
     return feed.join(known_batches, "batch_id", "left_anti").select(*feed.columns)
 
 
+def refuse_split(store: Store, feed: DataFrame, known_batches: DataFrame) -> None:
+    """Raises if a stored delivery comes again with another number of rows, which would be lost without a word."""
+    again = feed.join(known_batches, "batch_id", "left_semi").groupBy("batch_id").agg(F.count("*").alias("n"))
+    came = {r["batch_id"]: r["n"] for r in again.collect()}
+    if came:
+        stored = store.read(STG_EVENTS, [(b,) for b in came]).groupBy("batch_id").agg(F.count("*").alias("n"))
+        split = sorted(r["batch_id"] for r in stored.collect() if r["n"] != came[r["batch_id"]])
+        if split:
+            raise SplitDelivery(", ".join(split))
+
+
 def ingest(store: Store, feed: DataFrame, at: datetime) -> None:
     """Store every delivery in `feed` that is not stored yet. A delivery comes whole or not at all."""
-    fresh = new_rows(parsed(feed).select(*RAW_NAMES), stored_batches(store))
+    known, raw = stored_batches(store), parsed(feed).select(*RAW_NAMES)
+    refuse_split(store, raw, known)
+    fresh = new_rows(raw, known)
     rows = fresh.withColumn("_ingested_at", F.lit(at)).select(*STG_EVENTS.column_names)
     arranged(rows, STG_EVENTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         *STG_EVENTS.partition_by

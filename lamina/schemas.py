@@ -186,13 +186,11 @@ AGG_EVENTS_HOURLY_HISTORY = TableSpec(
     "gold", "agg_events_hourly_history", "Hourly figures as they stood before a delivery changed them",
     _HOURLY + _SNAPSHOT, partition_by=("_snapshot_batch",), sort_by=HOURLY_KEYS,
     tags=("audit", "append-only"), metrics=HOURLY_MEASURES,
-    small_partitions=True,
 )
 RPT_DAILY_SUMMARY_HISTORY = TableSpec(
     "gold", "rpt_daily_summary_history", "Daily figures as they stood before a delivery changed them",
     _DAILY + _SNAPSHOT, partition_by=("_snapshot_batch",), sort_by=DAILY_KEYS,
     tags=("audit", "append-only"), metrics=DAILY_MEASURES,
-    small_partitions=True,
 )
 
 SERVING_HOURLY = TableSpec(

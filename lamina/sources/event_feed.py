@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_TIME_IN_ID = (
+    r"(\d{4}-\d{2}-\d{2})(?:[T _](\d{2})(?::(\d{2})(?::(\d{2})(?:\.\d+)?)?)?(Z|[+-]\d{2}:\d{2})?)?"
+)
 # Size of a delivery, and how its batch_id writes the start: batch_2024-01-20 11 or batch_2024-01-20.
 PERIODS = {"hour": "yyyy-MM-dd HH", "day": "yyyy-MM-dd", "week": "yyyy-MM-dd"}
 
@@ -57,6 +60,16 @@ def deliveries(events_df: DataFrame, period: str = "hour") -> DataFrame:
 
 
 def delivery_time(batch_id):
-    """Logical time of a delivery named by day or hour."""
-    text = F.substring(batch_id, 7, 13)
-    return F.to_timestamp(F.concat(text, F.when(F.length(text) == 10, F.lit(" 00")).otherwise(F.lit(""))), "yyyy-MM-dd HH")
+    """Logical time of a delivery: the first date in its id with the time of day that follows, as far as it is given.
+
+    Without an offset the time is UTC. An id that holds no date raises.
+    """
+    def part(group: int, absent: str):
+        found = F.regexp_extract(batch_id, _TIME_IN_ID, group)
+        return F.when(found == "", absent).otherwise(found)
+
+    missing = F.raise_error(F.concat(F.lit("no date in delivery id "), batch_id)).cast("string")
+    day = F.regexp_extract(batch_id, _TIME_IN_ID, 1)
+    clock = F.concat_ws(":", part(2, "00"), part(3, "00"), part(4, "00"))
+    text = F.concat(F.when(day == "", missing).otherwise(day), F.lit(" "), clock, part(5, "Z"))
+    return F.to_timestamp(text, "yyyy-MM-dd HH:mm:ssXXX")

@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,8 @@ from lamina.session import shared_folder
 
 # A partition, or all partitions below a prefix: values of the first partition columns.
 Scope = tuple
-_FEW = 16
+# Questions to the file system at the same time.
+_ASKERS = 16
 _BUCKETS = "_user_buckets-"
 _PLAIN = re.compile(r"[\w.-]+")
 
@@ -119,11 +121,8 @@ class Store:
 
     def _existing(self, spec: TableSpec, scopes: list[Scope]) -> list[str]:
         wanted = [self.scope_path(spec, s) for s in scopes]
-        if len(wanted) <= _FEW:
-            return [path for path in wanted if self.exists(path)]
-        # One listing is cheaper than a question per folder.
-        there = set(self._leaves(self.path(spec), len(scopes[0])))
-        return [path for path in wanted if path in there]
+        with ThreadPoolExecutor(_ASKERS) as pool:
+            return [path for path, there in zip(wanted, pool.map(self.exists, wanted)) if there]
 
     def read_latest(self, spec: TableSpec) -> DataFrame:
         """Current rows of a latest-wins table that is written by appending."""
@@ -201,7 +200,7 @@ def arranged(df: DataFrame, spec: TableSpec, partitions: int | None = None) -> D
     share of the rows, and the rebalance lets AQE split it over several tasks.
     """
     if spec.small_partitions and partitions:
-        tasks = min(partitions, 2 * df.sparkSession.sparkContext.defaultParallelism)
+        tasks = min(partitions, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         gathered = df.repartition(tasks, *spec.partition_by)
     else:
         gathered = df.hint("rebalance", *spec.partition_by)

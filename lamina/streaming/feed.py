@@ -9,19 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lamina.plans import bronze
 from lamina.plans.batch_run import apply_batch
-from lamina.schemas import STG_EVENTS
+from lamina.plans.bronze import SplitDelivery
 from lamina.session import now
 from lamina.sources.event_feed import delivery_time
 from lamina.sources.store import Store
 
-
-class SplitDelivery(RuntimeError):
-    """More rows came for a delivery that was stored before."""
+__all__ = ["SplitDelivery", "apply_micro_batch", "start"]
 
 
 def apply_micro_batch(store: Store, batch_time: Callable[[Column], Column] = delivery_time):
@@ -32,17 +29,9 @@ def apply_micro_batch(store: Store, batch_time: Callable[[Column], Column] = del
     by the source, which would lose rows, so that fails.
     """
     def handle(rows: DataFrame, _epoch: int) -> None:
-        counted = {
-            r["batch_id"]: r["n"]
-            for r in rows.groupBy("batch_id").agg(F.count("*").alias("n")).collect()
-        }
-        known = set(store.first_level(STG_EVENTS))
-        for batch_id in sorted(known & counted.keys()):
-            if store.read(STG_EVENTS, [(batch_id,)]).count() != counted[batch_id]:
-                raise SplitDelivery(batch_id)
         bronze.ingest(store, rows, now())
-        for batch_id in sorted(counted):
-            apply_batch(store, batch_id, batch_time)
+        for row in sorted(rows.select("batch_id").distinct().collect()):
+            apply_batch(store, row["batch_id"], batch_time)
 
     return handle
 

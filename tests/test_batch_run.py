@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina.functions import user_bucket
-from lamina.plans import batch_run, delivery, gold, silver
+from lamina.plans import batch_run, bronze, delivery, gold, silver
 from lamina.schemas import (
     AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, BENCHMARK_LOG, COLUMN_REGISTRY, DATA_LINEAGE, DIM_USERS, EXPORT_DAILY,
     EXPORT_HOURLY, FACT_EVENTS, PIPELINE_RUNS, QUARANTINE_EVENTS, RPT_DAILY_SUMMARY, RPT_DAILY_SUMMARY_HISTORY,
@@ -177,8 +177,6 @@ def test_catalog_is_registered_once(spark, store):
 
 
 def test_bad_time_stops_the_delivery(spark, store):
-    from lamina.plans import bronze
-
     rows = feed_of(spark, D1).withColumn("event_time", F.lit("2024-01-01 25:00:00"))
     with pytest.raises(Exception, match="(?i)could not be parsed|CANNOT_PARSE_TIMESTAMP"):
         bronze.ingest(store, rows, batch_run.now())
@@ -238,3 +236,45 @@ def test_a_failed_delivery_is_finished_before_a_later_one(spark, store, monkeypa
     batch_run.run_batch(store, feed_of(spark, NOON), NOON)
     assert batch_run.unfinished(store) == [] and batch_run.run_batch(store, feed_of(spark, D2), D2) == {}
     check(spark, store, D1, NOON, D2)
+
+
+@pytest.mark.parametrize("batch_id", [None, ""])
+def test_rows_without_a_delivery_fail_before_anything_is_stored(spark, store, batch_id):
+    rows = feed_of(spark, D1).withColumn("batch_id", F.when(F.col("event_id") == "e2", batch_id).otherwise(F.col("batch_id")))
+    with pytest.raises(Exception, match="no batch_id in event e2"):
+        batch_run.replay(store, rows)
+    assert batch_run.replay(store, feed_of(spark, D1)) == [D1]
+    check(spark, store, D1)
+
+
+def test_a_delivery_that_grew_is_refused(spark, store):
+    batch_run.replay(store, feed_of(spark, D1))
+    grown = feed_of(spark, D1, D2).union(feed_of(spark, D1).where("event_id = 'e3'"))
+    with pytest.raises(bronze.SplitDelivery, match=D1):
+        batch_run.replay(store, grown)
+    assert store.first_level(STG_EVENTS) == [D1]
+
+
+def test_applied_deliveries_cost_no_jobs_of_their_own(spark, store, monkeypatch):
+    def jobs_of_another_replay(*batches):
+        batch_run.replay(store, feed_of(spark, *batches))
+        with monkeypatch.context() as patched:
+            patched.setattr(batch_run, "apply_batch", lambda *_: pytest.fail("applied again"))
+            spark.sparkContext.setJobGroup(f"replay of {len(batches)}", "")
+            assert batch_run.replay(store, feed_of(spark, *batches)) == list(batches)
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"replay of {len(batches)}"))
+
+    assert jobs_of_another_replay(D1) == jobs_of_another_replay(D1, D2, LAST)
+
+
+def test_two_deliveries_within_an_hour(spark, store):
+    early, late = "run__2024-01-05T11:00:00+00:00", "run__2024-01-05T11:30:00+00:00"
+    rows = raw_rows(
+        spark, ("e1", "ann", "view", "web", 1.0, "2024-01-05 10:00", early), ("e2", "ann", "click", "api", 2.0, "2024-01-05 11:10", late),
+        ("e3", "ann", "click", "api", 2.0, "2024-01-05 11:20", late),
+    )
+    batch_run.replay(store, rows)
+    versions = store.read(DIM_USERS).orderBy("valid_from").collect()
+    assert [str(v["valid_from"]) for v in versions] == ["2024-01-05 11:00:00", "2024-01-05 11:30:00"]
+    assert len({v["user_key"] for v in versions}) == 2

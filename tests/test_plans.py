@@ -13,7 +13,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - RUNS_JOBS))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - RUNS_JOBS))
 def test_no_pairs_and_no_python(spark, name):
     plan = plan_of(entry.queries()[name](spark, SMALL))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "CollectLimit"):

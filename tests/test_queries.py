@@ -3,12 +3,14 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracle_sql
 from checks.compare import differences, duck
+from lamina import registry
 from tests.conftest import SMALL
 
 # These apply five deliveries each; test_batch_run covers the same ground on few rows.
 SLOW = {"incremental_replay", "stream_replay"}
-NAMES = sorted(set(entry.queries()) - SLOW)
+NAMES = sorted(set(registry.queries()) - SLOW)
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +19,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(oracle_sql.statements())
 
 
 @pytest.mark.parametrize("name", NAMES)

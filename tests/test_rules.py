@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lamina.functions import money_sum
 from lamina.operators import column_profile, keep_latest, upsert_by_key
 from lamina.plans import gold, quality, silver
+from lamina.sources import event_feed
 from tests.helpers import content, raw_rows
 
 
@@ -98,6 +99,21 @@ def test_upsert(spark):
     assert content(upsert_by_key(once, rows, ["k"])) == content(once)
     with pytest.raises(Exception, match="upsert got a key twice: 3"):
         upsert_by_key(target, rows.union(rows.where("k = 3")), ["k"]).collect()
+    nothing = spark.createDataFrame([(None, None)], "k int, v string")
+    assert sorted(map(tuple, upsert_by_key(target, rows.limit(0), ["k"]).collect())) == [(1, "a"), (2, "b")]
+    assert [tuple(r) for r in upsert_by_key(spark.createDataFrame([(None, "a")], "k int, v string"), nothing, ["k"]).collect()] == [(None, None)]
+
+
+def test_time_of_a_delivery(spark):
+    times = {
+        "batch_2024-01-20": "2024-01-20 00:00:00", "batch_2024-01-20 11": "2024-01-20 11:00:00",
+        "batch_2024-01-20 11:30": "2024-01-20 11:30:00", "scheduled__2024-01-01T00:00:00+00:00": "2024-01-01 00:00:00",
+        "manual__2024-01-01T10:15:30.123456+02:00": "2024-01-01 08:15:30", "2024-02-03_09 again": "2024-02-03 09:00:00",
+    }
+    rows = spark.createDataFrame([(i,) for i in times], "id string").select("id", event_feed.delivery_time(F.col("id")).cast("string").alias("at"))
+    assert {r["id"]: r["at"] for r in rows.collect()} == times
+    with pytest.raises(Exception, match="no date in delivery id night run"):
+        spark.createDataFrame([("night run",)], "id string").select(event_feed.delivery_time(F.col("id"))).collect()
 
 
 
