@@ -15,7 +15,7 @@ ENTITIES = (
     ("&middot;", "·"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&laquo;", "«"), ("&raquo;", "»"),
     ("&euro;", "€"), ("&amp;", "&"),
 )
-HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(?:script|style|noscript|template)(?:[ \t\r\n/][^>]*)?>.*?(?:</(?:script|style|noscript|template)[ \t\r\n]*>|\z)"
+HIDDEN = r"(?is)<(?:!--.*?(?:-->|\z)|(?:script|style|noscript|template)(?:[ \t\r\n/][^>]*)?>.*?(?:</(?:script|style|noscript|template)[ \t\r\n]*>|\z))"
 BREAKS = r"(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|title|td|th|tr|ul)(?:[ \t\r\n/][^>]*)?(?:>|\z)"
 TAGS = r"</?[a-zA-Z!?][^>]*(?:>|\z)"
 TITLE = r"(?is)<title(?:[ \t\r\n][^>]*)?>(.*?)</title"
@@ -48,13 +48,20 @@ def _numbered(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&#")), F.array_join(F.transform(F.split(text, "&#"), one), "")).otherwise(text)
 
 
-def plain_text(html: Column) -> Column:
-    """Text without markup, scripts, styles and comments; lines at block elements, no blank ones."""
+def without_markup(html: Column) -> Column:
+    """Text without tags, scripts, styles and comments, with references as they are; lines at block elements."""
     text = F.regexp_replace(html, HIDDEN, "")
     text = F.regexp_replace(F.regexp_replace(text, r"[ \t\r\n\f]+", " "), BREAKS, "\n")
-    text = _numbered(F.regexp_replace(text, TAGS, ""))
+    return F.regexp_replace(text, TAGS, "")
+
+
+def plain_text(bare: Column) -> Column:
+    """`without_markup` with references decoded and no blank lines. It names its column several times, so that should
+    hold the text and not be worked out in the same step."""
+    decoded = _numbered(bare)
     for name, char in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
+        decoded = F.replace(decoded, F.lit(name), F.lit(char))
+    text = F.when(F.contains(bare, F.lit("&")), decoded).otherwise(bare)
     return F.regexp_replace(F.regexp_replace(text, r" *\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+\z", "")
 
 
@@ -87,7 +94,7 @@ def derivatives(responses: DataFrame) -> DataFrame:
     read = responses.select(
         "page_id", F.col("record_id").alias("source_id"), "target_uri", "warc_date", headers.alias("http_headers"),
         digest(payload).alias("source_payload_digest"), digest(F.concat(headers, F.lit(EOL), payload)).alias("source_block_digest"),
-        plain_text(payload).alias("text"), F.regexp_replace(F.regexp_extract(payload, TITLE, 1), r"[ \t\r\n]+", " ").alias("title"),
+        without_markup(payload).alias("bare"), F.regexp_replace(F.regexp_extract(payload, TITLE, 1), r"[ \t\r\n]+", " ").alias("title"),
         F.regexp_extract_all(payload, F.lit(LINKS), F.lit(1)).alias("links"),
     )
     facts = F.concat(
@@ -99,7 +106,7 @@ def derivatives(responses: DataFrame) -> DataFrame:
         F.array_join(F.transform(F.filter(F.split("http_headers", EOL), lambda h: h != ""), lambda h: F.concat(F.lit("source-header: "), h, F.lit(EOL))), ""),
         F.array_join(F.transform("links", lambda x: F.concat(F.lit("outlink: "), F.regexp_replace(x, r"[\r\n]+", " "), F.lit(EOL))), ""),
     )
-    both = read.withColumn("facts", facts).select(
+    both = read.withColumn("facts", facts).withColumn("text", plain_text(F.col("bare"))).select(
         "page_id", "source_id", "target_uri", "warc_date", "source_payload_digest", "source_block_digest",
         F.inline(F.array(
             F.struct(F.lit("metadata").alias("warc_type"), F.lit("application/warc-fields").alias("content_type"), F.col("facts").alias("block")),
