@@ -323,6 +323,9 @@ join sizes a on a.table_id = ancestor join sizes b on b.table_id = descendant"""
 select framework, task_name, sum(duration_ms) / count(*) as avg_ms, round(avg(case when duration_ms = 0 then 0.0
   else rows_out / (duration_ms / 1000.0) end), 4) as avg_throughput
 from task where status = 'success' group by framework, task_name""",
+        "batch_ledger": _query(
+            "select substr(batch_id, 1, 16) as batch_id, count(*) as row_count from stg group by substr(batch_id, 1, 16)"),
         "incremental_replay": _query(daily("fact")),
+        "recovery_replay": _query(daily("fact")),
         "stream_replay": _query("select * from dim", _DIM_WEEK_CTE),
     }

@@ -335,11 +335,10 @@ def _log_timings(run: Run) -> None:
 def replay(store: Store, feed: DataFrame, batch_time: Callable[[Column], Column] = delivery_time) -> list[str]:
     """Store all new deliveries of `feed` in one pass, then apply what is not applied yet in order."""
     bronze.ingest(store, feed, now())
-    batches = sorted(store.first_level(STG_EVENTS))
-    # One look at the log for all of them; those applied before cost nothing further.
-    done = store.read(PIPELINE_RUNS).where("status = 'success'").select("batch_id").distinct()
-    applied = {r["batch_id"] for r in done.collect()}
-    for batch_id in batches:
-        if batch_id not in applied:
+    # One look at the logs for all of them; those applied before cost nothing further.
+    done = store.read(PIPELINE_RUNS).where("status = 'success'").select("batch_id", F.lit(True).alias("applied")).distinct()
+    batches = sorted(bronze.stored_batches(store).join(done, "batch_id", "left").select("batch_id", "applied").collect())
+    for batch_id, applied in batches:
+        if not applied:
             apply_batch(store, batch_id, batch_time)
-    return batches
+    return [batch_id for batch_id, _ in batches]

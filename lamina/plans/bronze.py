@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.plans.silver import RAW_NAMES
-from lamina.schemas import STG_EVENTS
+from lamina.schemas import BATCH_LEDGER, STG_EVENTS
 from lamina.sources.store import Store, arranged
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -18,6 +19,10 @@ class SplitDelivery(RuntimeError):
     """Another number of rows came for a delivery that was stored before."""
 
 
+class IncompleteDelivery(RuntimeError):
+    """What was stored of a delivery is not what came."""
+
+
 def parsed(feed: DataFrame) -> DataFrame:
     """Rows with `event_time` as a timestamp. Text that is no time fails the delivery as a whole, and so does a row that
     names no delivery: it could be neither found again nor told from others."""
@@ -31,9 +36,8 @@ def parsed(feed: DataFrame) -> DataFrame:
 
 
 def stored_batches(store: Store) -> DataFrame:
-    """Ids of the deliveries already stored, from the table's folders; one short row each."""
-    ids = store.first_level(STG_EVENTS)
-    return store.spark.createDataFrame([(i,) for i in ids], "batch_id string")
+    """(batch_id, row_count) of the deliveries stored whole. A folder alone may be what a lost run left."""
+    return store.read(BATCH_LEDGER).select("batch_id", "row_count")
 
 
 def new_rows(feed: DataFrame, known_batches: DataFrame) -> DataFrame:
@@ -41,23 +45,39 @@ def new_rows(feed: DataFrame, known_batches: DataFrame) -> DataFrame:
     return feed.join(known_batches, "batch_id", "left_anti").select(*feed.columns)
 
 
-def refuse_split(store: Store, feed: DataFrame, known_batches: DataFrame) -> None:
-    """Raises if a stored delivery comes again with another number of rows, which would be lost without a word."""
-    again = feed.join(known_batches, "batch_id", "left_semi").groupBy("batch_id").agg(F.count("*").alias("n"))
-    came = {r["batch_id"]: r["n"] for r in again.collect()}
-    if came:
-        stored = store.read(STG_EVENTS, [(b,) for b in came]).groupBy("batch_id").agg(F.count("*").alias("n"))
-        split = sorted(r["batch_id"] for r in stored.collect() if r["n"] != came[r["batch_id"]])
-        if split:
-            raise SplitDelivery(", ".join(split))
+def _unlike(counts: DataFrame, other: DataFrame) -> list[str]:
+    """Deliveries of `counts` that have another number of rows in `other`, or none."""
+    theirs = other.select("batch_id", F.col("row_count").alias("theirs"))
+    differing = counts.join(theirs, "batch_id", "left").where(~F.col("row_count").eqNullSafe(F.col("theirs")))
+    return sorted(r["batch_id"] for r in differing.select("batch_id").collect())
 
 
 def ingest(store: Store, feed: DataFrame, at: datetime) -> None:
-    """Store every delivery in `feed` that is not stored yet. A delivery comes whole or not at all."""
+    """Store every delivery in `feed` that is not stored yet. A delivery comes whole or not at all.
+
+    It counts as stored once it is in the ledger, which is written last, when its stored rows are as many as came; what
+    a lost run left of it is overwritten. A delivery in the ledger that comes again with another number of rows is refused,
+    as its surplus would be lost without a word.
+    """
     known, raw = stored_batches(store), parsed(feed).select(*RAW_NAMES)
-    refuse_split(store, raw, known)
-    fresh = new_rows(raw, known)
-    rows = fresh.withColumn("_ingested_at", F.lit(at)).select(*STG_EVENTS.column_names)
-    arranged(rows, STG_EVENTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *STG_EVENTS.partition_by
-    ).parquet(store.path(STG_EVENTS))
+    attempt = f"ingest-{uuid.uuid4().hex}"
+    try:
+        came = store.staged(attempt, "came", raw.groupBy("batch_id").agg(F.count("*").alias("row_count")))
+        split = _unlike(came.join(known, "batch_id", "left_semi"), known)
+        if split:
+            raise SplitDelivery(", ".join(split))
+        fresh = new_rows(came, known)
+        names = [(r["batch_id"],) for r in fresh.select("batch_id").collect()]
+        if not names:
+            return
+        rows = new_rows(raw, known).withColumn("_ingested_at", F.lit(at)).select(*STG_EVENTS.column_names)
+        arranged(rows, STG_EVENTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *STG_EVENTS.partition_by
+        ).parquet(store.path(STG_EVENTS))
+        stored = store.read(STG_EVENTS, names).groupBy("batch_id").agg(F.count("*").alias("row_count"))
+        incomplete = _unlike(fresh, stored)
+        if incomplete:
+            raise IncompleteDelivery(", ".join(incomplete))
+        store.append(BATCH_LEDGER, fresh.withColumn("_stored_at", F.lit(at)))
+    finally:
+        store.clear_staging(attempt)

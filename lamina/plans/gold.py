@@ -52,24 +52,35 @@ def _daily_from(facts: DataFrame, extra) -> DataFrame:
     )
 
 
-def hourly_kpis_for_batch(facts: DataFrame, batch_id: str) -> DataFrame:
+def _near(facts: DataFrame, batch_id: str, own: DataFrame | None) -> DataFrame:
+    """Facts of the days that rows of the delivery lie in.
+
+    A DATE column holds at most 3,652,059 different days, which bounds the broadcast. On stored facts the days prune
+    the partitions.
+    """
+    own = facts.where(F.col("batch_id") == batch_id) if own is None else own
+    return facts.join(F.broadcast(own.select("event_date").distinct()), "event_date", "left_semi").select(*facts.columns)
+
+
+def hourly_kpis_for_batch(facts: DataFrame, batch_id: str, own: DataFrame | None = None) -> DataFrame:
     """Hourly figures of every (day, hour) that holds a current row of `batch_id`.
 
-    The figures cover the rows of all deliveries. One pass: each group notes whether the
-    delivery is in it, and the hour is judged on the few grouped rows, so the
-    facts are neither read twice nor joined.
+    The figures cover the rows of all deliveries. Other days are left out before anything is grouped; which hours
+    hold the delivery each group notes itself. `own` are the delivery's cleaned rows, current or not,
+    where they are cheaper to come by than out of `facts`.
     """
     touched = F.max("_hit").over(Window.partitionBy("event_date", "event_hour"))
     return (
-        facts.groupBy(*HOURLY_KEYS)
+        _near(facts, batch_id, own).groupBy(*HOURLY_KEYS)
         .agg(*_hourly_measures(), F.max(F.col("batch_id") == batch_id).alias("_hit"))
         .withColumn("_hit", touched).where("_hit").drop("_hit")
     )
 
 
-def daily_kpis_for_batch(facts: DataFrame, batch_id: str) -> DataFrame:
-    """Daily figures of every day that holds a current row of `batch_id`, in one pass."""
-    return _daily_from(facts, [("_hit", F.col("batch_id") == batch_id)]).where("_hit").drop("_hit")
+def daily_kpis_for_batch(facts: DataFrame, batch_id: str, own: DataFrame | None = None) -> DataFrame:
+    """Daily figures of every day that holds a current row of `batch_id`; `own` as for the hourly ones."""
+    hit = ("_hit", F.col("batch_id") == batch_id)
+    return _daily_from(_near(facts, batch_id, own), [hit]).where("_hit").drop("_hit")
 
 
 def snapshot(gold: DataFrame, touched_dates: DataFrame, batch_id: str) -> DataFrame:

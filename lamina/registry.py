@@ -64,7 +64,19 @@ def gold_before(spark: SparkSession, folder: str) -> DataFrame:
 
 def touched_dates(spark: SparkSession, folder: str) -> DataFrame:
     """Days of the delivery's rows; it is the newest delivery at that point, so all of them are current."""
-    return silver.clean_events(raw(spark, folder).where(F.col("batch_id") == BATCH)).select("event_date").distinct()
+    return own_rows(spark, folder).select("event_date").distinct()
+
+
+def own_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return silver.clean_events(raw(spark, folder).where(F.col("batch_id") == BATCH))
+
+
+def gold_hourly_for_batch(spark: SparkSession, folder: str) -> DataFrame:
+    return gold.hourly_kpis_for_batch(facts(spark, folder), BATCH, own_rows(spark, folder))
+
+
+def gold_daily_for_batch(spark: SparkSession, folder: str) -> DataFrame:
+    return gold.daily_kpis_for_batch(facts(spark, folder), BATCH, own_rows(spark, folder))
 
 
 def snapshot_hourly(spark: SparkSession, folder: str) -> DataFrame:
@@ -217,6 +229,15 @@ def bronze_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return store.read(STG_EVENTS).select(*silver.RAW_NAMES)
 
 
+def batch_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger after daily deliveries came in two goes, the second one with those of the first."""
+    store = Store(spark, fresh_folder(spark, "ledger"))
+    rows = event_feed.deliveries(event_feed.events(spark, folder), "day")
+    for part in (rows.where(F.col("batch_id") <= BATCH_DAY), rows):
+        bronze.ingest(store, part, _REGISTERED_AT)
+    return bronze.stored_batches(store)
+
+
 def export_hourly_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     store = Store(spark, fresh_folder(spark, "export"))
     rows = gold.hourly_kpis(facts(spark, folder)).withColumn("_updated_at", F.lit(_REGISTERED_AT))
@@ -246,6 +267,36 @@ def incremental_replay(spark: SparkSession, folder: str) -> DataFrame:
     return store.read(RPT_DAILY_SUMMARY).drop("_updated_at")
 
 
+class _Interrupted(RuntimeError):
+    pass
+
+
+class _BreaksAtDaily(Store):
+    """A store whose writer is lost when it publishes the daily figures."""
+
+    def publish(self, spec: TableSpec, *arguments) -> None:
+        if spec is RPT_DAILY_SUMMARY:
+            raise _Interrupted(spec.table_id)
+        super().publish(spec, *arguments)
+
+
+def recovery_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily figures where the second weekly delivery fails on its way and the third is asked for before it is repaired."""
+    store = Store(spark, fresh_folder(spark, "recovery"))
+    bronze.ingest(store, _weekly_feed(spark, folder), _REGISTERED_AT)
+    weeks = sorted(r["batch_id"] for r in bronze.stored_batches(store).collect())
+    for batch_id in weeks[:1]:
+        batch_run.apply_batch(store, batch_id)
+    for batch_id in weeks[1:2]:
+        try:
+            batch_run.apply_batch(_BreaksAtDaily(spark, store.root), batch_id)
+        except _Interrupted:
+            pass
+    for batch_id in [*weeks[2:], *weeks[1:2]]:
+        batch_run.apply_batch(store, batch_id)
+    return store.read(RPT_DAILY_SUMMARY).drop("_updated_at")
+
+
 def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
     """User versions after a streaming query applied all weekly deliveries one by one."""
     root = fresh_folder(spark, "stream")
@@ -273,8 +324,8 @@ def queries() -> dict[str, Query]:
         "dim_users_change_counts": lambda s, d: scd2.version_changes(versions(facts(s, d))),
         "gold_hourly_full": lambda s, d: gold.hourly_kpis(facts(s, d)),
         "gold_daily_full": lambda s, d: gold.daily_kpis(facts(s, d)),
-        "gold_hourly_for_batch": lambda s, d: gold.hourly_kpis_for_batch(facts(s, d), BATCH),
-        "gold_daily_for_batch": lambda s, d: gold.daily_kpis_for_batch(facts(s, d), BATCH),
+        "gold_hourly_for_batch": gold_hourly_for_batch,
+        "gold_daily_for_batch": gold_daily_for_batch,
         "snapshot_hourly": snapshot_hourly,
         "snapshot_daily": snapshot_daily,
         "serving_upsert_hourly": serving_upsert_hourly,
@@ -294,6 +345,8 @@ def queries() -> dict[str, Query]:
         "lineage_closure": lineage_closure,
         "run_log_current": run_log_current,
         "benchmark_compare": benchmark_compare,
+        "batch_ledger": batch_ledger,
         "incremental_replay": incremental_replay,
+        "recovery_replay": recovery_replay,
         "stream_replay": stream_replay,
     }

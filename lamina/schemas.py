@@ -269,6 +269,15 @@ DATA_LINEAGE = TableSpec(
     ),
     contract="latest", keys=("lineage_id",), version="updated_at", tags=("metadata",),
 )
+BATCH_LEDGER = TableSpec(
+    "catalog", "batch_ledger", "Deliveries that are stored whole, written after their rows",
+    (
+        ("batch_id", STRING, "Delivery"),
+        ("row_count", LONG, "Rows that came, the same as the rows stored"),
+        ("_stored_at", TS, "Run that stored it"),
+    ),
+    keys=("batch_id",), tags=("metadata", "runs"), metrics=("row_count",),
+)
 PIPELINE_RUNS = TableSpec(
     "catalog", "pipeline_runs", "Start and end of every run",
     (
@@ -342,7 +351,7 @@ TABLES: tuple[TableSpec, ...] = (
     STG_EVENTS, FACT_EVENTS, QUARANTINE_EVENTS, DIM_USERS, USER_ACTIVITY,
     AGG_EVENTS_HOURLY, RPT_DAILY_SUMMARY, AGG_EVENTS_HOURLY_HISTORY, RPT_DAILY_SUMMARY_HISTORY,
     SERVING_HOURLY, SERVING_DAILY,
-    TABLE_REGISTRY, COLUMN_REGISTRY, DATA_LINEAGE, PIPELINE_RUNS, VALIDATION_LOG, BENCHMARK_LOG,
+    TABLE_REGISTRY, COLUMN_REGISTRY, DATA_LINEAGE, BATCH_LEDGER, PIPELINE_RUNS, VALIDATION_LOG, BENCHMARK_LOG,
 )
 
 # The data flows between tables, (source, target, what happens, function).

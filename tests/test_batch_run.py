@@ -255,6 +255,25 @@ def test_a_delivery_that_grew_is_refused(spark, store):
     assert store.first_level(STG_EVENTS) == [D1]
 
 
+def test_half_a_folder_is_written_again(spark, store):
+    """A run is lost after some rows of D1 and all of D2 are in place, but before the ledger is written."""
+    half = feed_of(spark, D1).limit(2).union(feed_of(spark, D2)).withColumn("_ingested_at", F.lit(None).cast("timestamp"))
+    store.publish(STG_EVENTS, half, [()])
+    assert bronze.stored_batches(store).isEmpty()
+    assert batch_run.replay(store, feed_of(spark, D1, D2)) == [D1, D2]
+    assert {r["batch_id"]: r["row_count"] for r in bronze.stored_batches(store).collect()} == {D1: 5, D2: 5}
+    check(spark, store, D1, D2)
+
+
+def test_a_delivery_stored_in_part_does_not_count(spark, store, monkeypatch):
+    read = type(store).read
+    monkeypatch.setattr(type(store), "read", lambda self, spec, *a: read(self, spec, *a).where(
+        F.col("event_id") != "e2") if spec is STG_EVENTS else read(self, spec, *a))
+    with pytest.raises(bronze.IncompleteDelivery, match=D1):
+        bronze.ingest(store, feed_of(spark, D1), batch_run.now())
+    assert bronze.stored_batches(store).isEmpty() and store.staged_batches() == []
+
+
 def test_applied_deliveries_cost_no_jobs_of_their_own(spark, store, monkeypatch):
     def jobs_of_another_replay(*batches):
         batch_run.replay(store, feed_of(spark, *batches))

@@ -1,12 +1,16 @@
 """What the physical plans must and must not hold."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from lamina import registry
+from lamina.plans import gold
+from lamina.schemas import FACT_EVENTS
 from tests.conftest import SMALL
 
-RUNS_JOBS = {"bronze_ingest", "export_hourly_roundtrip", "export_daily_roundtrip", "incremental_replay", "stream_replay"}
+RUNS_JOBS = {"bronze_ingest", "export_hourly_roundtrip", "export_daily_roundtrip", "incremental_replay", "stream_replay",
+             "recovery_replay", "batch_ledger"}
 
 
 def plan_of(df):
@@ -47,7 +51,17 @@ def test_users_are_shuffled_after_they_are_combined(spark):
     assert "hashpartitioning(user_name" in exchanges[0]
 
 
-def test_one_pass_for_a_delivery(spark):
-    for name in ("gold_hourly_for_batch", "gold_daily_for_batch"):
-        plan = plan_of(entry.queries()[name](spark, SMALL))
-        assert plan.count("Scan parquet") == 1 and "Join" not in plan
+@pytest.mark.parametrize("name", ["gold_hourly_for_batch", "gold_daily_for_batch"])
+def test_other_days_are_left_out_before_the_grouping(spark, name):
+    plan = plan_of(entry.queries()[name](spark, SMALL))
+    assert plan.count("Scan parquet") == 2 and plan.count("Join") == 1
+    above, below = plan.split("BroadcastHashJoin", 1)
+    assert "LeftSemi" in below.splitlines()[0] and "Aggregate" in above
+
+
+@pytest.mark.parametrize("figures", [gold.hourly_kpis_for_batch, gold.daily_kpis_for_batch])
+def test_stored_facts_are_pruned_to_the_touched_days(spark, store, figures):
+    rows = registry.facts(spark, SMALL).withColumn("_loaded_at", F.lit(None).cast("timestamp"))
+    store.publish(FACT_EVENTS, rows, [()])
+    plan = plan_of(figures(store.read(FACT_EVENTS), registry.BATCH))
+    assert any("dynamicpruning" in line for line in plan.splitlines() if "PartitionFilters" in line)
