@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lamina.schemas import LINEAGE, TABLES
+
 BATCH, BATCH_DAY = "batch_2024-01-20 11", "batch_2024-01-20"
 SUMMARY_DATE = "2024-01-20"
 UPSERT_FROM, UPSERT_TO = "2024-01-15", "2024-01-25"
@@ -154,12 +156,30 @@ _MEASURED = {
 _GOLD = f"gold_hourly as ({hourly('fact')}), gold_daily as ({daily('fact')})"
 _SIZES = "sizes as (" + " union all ".join(
     f"select '{t}' as table_id, count(*) as row_count from {n}" for t, n in _MEASURED.items()) + ")"
-_EDGES = """edges (source_table_id, target_table_id) as (values
-  ('bronze.stg_events', 'silver.fact_events'), ('bronze.stg_events', 'silver.quarantine_events'),
-  ('silver.fact_events', 'silver.dim_users'), ('silver.fact_events', 'gold.agg_events_hourly'),
-  ('silver.fact_events', 'gold.rpt_daily_summary'),
-  ('gold.agg_events_hourly', 'gold.agg_events_hourly_history'),
-  ('gold.rpt_daily_summary', 'gold.rpt_daily_summary_history'))"""
+
+
+def _values(rows: list[tuple]) -> str:
+    """Declared metadata as rows of a statement; what is measured comes from the tables."""
+    def cell(value) -> str:
+        return str(value) if isinstance(value, int) else "'" + value.replace("'", "''") + "'"
+
+    return "(values " + ", ".join(f"({', '.join(map(cell, row))})" for row in rows) + ")"
+
+
+def _order(table) -> list[str]:
+    return list(dict.fromkeys([*table.keys, *table.sort_by]))
+
+
+_TABLES = _values([
+    (t.table_id, t.layer, t.name, t.contract, ", ".join(t.partition_by), ", ".join(_order(t)), ",".join(t.tags)) for t in TABLES
+])
+_ALL_COLUMNS = _values([
+    (t.table_id, c, dtype.simpleString(), int(c in t.nullable), int(c in t.partition_by), int(c in _order(t)))
+    for t in TABLES for c, dtype, _ in t.columns
+])
+_EDGES = "edges (source_table_id, target_table_id, transformation) as " + _values([
+    (a.table_id, b.table_id, text) for a, b, text, _ in LINEAGE
+])
 
 _FACT_TYPES = {
     "event_id": "string", "user_name": "string", "category": "string", "source": "string", "value": "double",
@@ -195,7 +215,9 @@ def _catalog_columns() -> str:
             parts.append(
                 f"select '{table_id}' as table_id, '{bare}' as column_name, count(*) as row_count, "
                 f"count(*) filter ({bare} is null{empty}) as missing_count from {name}")
-    return _query(" union all ".join(parts), _DIM_CTE, _GOLD)
+    return _query(f"""select r.*, row_count, missing_count
+from {_ALL_COLUMNS} r (table_id, column_name, data_type, is_nullable, is_partition_key, is_order_key)
+left join ({" union all ".join(parts)}) c on c.table_id = r.table_id and c.column_name = r.column_name""", _DIM_CTE, _GOLD)
 
 
 _TASKS = """task as (
@@ -303,10 +325,12 @@ union all select 'gold', 'rpt_daily_summary_history', 'total', count(*) from sna
         "delivery_mismatches_daily": _query(_mismatches(
             "gold_daily", "target_daily", "event_date",
             "total_events unique_users revenue_events total_revenue avg_value"), _SERVING_CTE),
-        "catalog_tables": _query("select * from sizes", _DIM_CTE, _GOLD, _SNAPSHOTS, _SIZES),
+        "catalog_tables": _query(f"""select r.*, row_count
+from {_TABLES} r (table_id, layer, table_name, engine, partition_key, order_key, tags)
+left join sizes s on s.table_id = r.table_id""", _DIM_CTE, _GOLD, _SNAPSHOTS, _SIZES),
         "catalog_columns": _catalog_columns(),
         "column_profile": _profile(),
-        "lineage_edges": _query("""select source_table_id, target_table_id, a.row_count as source_rows, b.row_count as target_rows
+        "lineage_edges": _query("""select source_table_id, target_table_id, transformation, a.row_count as source_rows, b.row_count as target_rows
 from edges join sizes a on a.table_id = source_table_id join sizes b on b.table_id = target_table_id""",
             _DIM_CTE, _GOLD, _SNAPSHOTS, _SIZES, _EDGES),
         "lineage_closure": _query("""select ancestor, descendant, depth, a.row_count as ancestor_rows, b.row_count as descendant_rows

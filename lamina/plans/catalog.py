@@ -6,7 +6,7 @@ import json
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.operators import keep_latest
@@ -78,30 +78,36 @@ def lineage_closure(spark: SparkSession, edges: DataFrame) -> DataFrame:
     )
 
 
-def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row count of each table, one aggregate per table."""
-    return reduce(DataFrame.unionByName, [
-        df.agg(F.count("*").alias("row_count")).select(F.lit(t).alias("table_id"), "row_count")
-        for t, df in tables.items()
-    ])
+def table_sizes(sources: list[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
+    """(table_id, row_count). A source comes with the tables that are parts of it, and is read once for all of them."""
+    def of_source(df: DataFrame, parts: dict[str, Column]) -> DataFrame:
+        cells = [F.struct(F.lit(t).alias("table_id"), F.count_if(c).alias("row_count")) for t, c in parts.items()]
+        return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
+    return reduce(DataFrame.unionByName, [of_source(df, parts) for df, parts in sources])
 
-def column_sizes(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows and missing values of every column, one pass per table."""
-    def of_table(table_id: str, df: DataFrame) -> DataFrame:
-        def filled(name: str):
-            value = F.col(name)
-            return F.count(F.when(value != "", value) if df.schema[name].dataType.typeName() == "string" else value)
 
-        rows = df.agg(
-            F.count("*").alias("row_count"),
-            F.array(*[F.struct(F.lit(c).alias("column_name"), filled(c).alias("filled")) for c in df.columns])
-            .alias("cells"),
-        )
-        return rows.select(F.lit(table_id).alias("table_id"), "row_count", F.inline("cells"))
+def column_sizes(sources: list[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
+    """(table_id, column_name, row_count, missing_count) of every column, one pass for each source.
 
-    counted = reduce(DataFrame.unionByName, [of_table(t, df) for t, df in tables.items()])
-    return counted.select("table_id", "column_name", "row_count", (F.col("row_count") - F.col("filled")).alias("missing_count"))
+    Columns of the source that a table doesn't have are not to be joined with.
+    """
+    def of_source(df: DataFrame, parts: dict[str, Column]) -> DataFrame:
+        def missing(name: str) -> Column:
+            value = F.col(name)
+            text = df.schema[name].dataType.typeName() == "string"
+            return value.isNull() | (value == "") if text else value.isNull()
+
+        cells = [
+            F.struct(
+                F.lit(t).alias("table_id"), F.lit(name).alias("column_name"), F.count_if(c).alias("row_count"),
+                F.count_if(c & missing(name)).alias("missing_count"),
+            )
+            for t, c in parts.items() for name in df.columns
+        ]
+        return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+
+    return reduce(DataFrame.unionByName, [of_source(df, parts) for df, parts in sources])
 
 
 def current_runs(runs: DataFrame) -> DataFrame:

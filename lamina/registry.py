@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.operators import column_profile
@@ -126,49 +126,60 @@ def delivery_mismatches_daily(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def layer_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The tables built from all deliveries. The facts feed four of them and are written once."""
-    now = written(facts(spark, folder), "facts")
-    return {
-        "bronze.stg_events": raw(spark, folder),
-        "silver.fact_events": now,
-        "silver.quarantine_events": silver.rejected_rows(raw(spark, folder)),
-        "silver.dim_users": versions(now).select(*scd2.DIM_COLUMNS),
-        "gold.agg_events_hourly": gold.hourly_kpis(now),
-        "gold.rpt_daily_summary": gold.daily_kpis(now),
-    }
+def layer_sources(spark: SparkSession, folder: str) -> list[tuple[DataFrame, dict[str, Column]]]:
+    """The layers as (rows, tables that are parts of them). The facts feed four tables and are written once."""
+    now, whole = written(facts(spark, folder), "facts"), F.lit(True)
+    return [
+        (silver.judged(raw(spark, folder)), {
+            "bronze.stg_events": whole, "silver.quarantine_events": F.expr("rejection_reason <> ''"),
+        }),
+        (now, {"silver.fact_events": whole}),
+        (versions(now).select(*scd2.DIM_COLUMNS), {"silver.dim_users": whole}),
+        (gold.hourly_kpis(now), {"gold.agg_events_hourly": whole}),
+        (gold.daily_kpis(now), {"gold.rpt_daily_summary": whole}),
+    ]
 
 
-def all_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def snapshots(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    before, days = written(gold_before(spark, folder), "before"), written(touched_dates(spark, folder), "days")
     return {
-        **layer_tables(spark, folder),
-        "gold.agg_events_hourly_history": snapshot_hourly(spark, folder),
-        "gold.rpt_daily_summary_history": snapshot_daily(spark, folder),
+        "gold.agg_events_hourly_history": gold.snapshot(gold.hourly_kpis(before), days, BATCH),
+        "gold.rpt_daily_summary_history": gold.snapshot(gold.daily_kpis(before), days, BATCH),
     }
 
 
+def measured(spark: SparkSession, folder: str) -> DataFrame:
+    """Row counts of the layers, one row a table, written so that they are not counted for each use."""
+    sources = layer_sources(spark, folder) + [(df, {t: F.lit(True)}) for t, df in snapshots(spark, folder).items()]
+    return written(catalog.table_sizes(sources), "sizes")
+
+
 def layer_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.layer_summary(all_tables(spark, folder), BATCH, SUMMARY_DATE)
+    parts = {t: df.where(c) for df, tables in layer_sources(spark, folder) for t, c in tables.items()}
+    return quality.layer_summary(parts | snapshots(spark, folder), BATCH, SUMMARY_DATE)
 
 
 def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Registered tables with the rows each has."""
-    sizes = catalog.table_sizes(all_tables(spark, folder))
-    return catalog.table_records(spark, _REGISTERED_AT).join(sizes, "table_id").select("table_id", "row_count")
+    """All registered tables, with their rows where the events alone fill them."""
+    records = catalog.table_records(spark, _REGISTERED_AT).withColumn("tags", F.concat_ws(",", "tags"))
+    return records.join(measured(spark, folder), "table_id", "left").select(
+        "table_id", "layer", "table_name", "engine", "partition_key", "order_key", "tags", "row_count"
+    )
 
 
 def catalog_columns(spark: SparkSession, folder: str) -> DataFrame:
-    """Registered columns with rows and missing values."""
-    sizes = catalog.column_sizes(layer_tables(spark, folder))
-    records = catalog.column_records(spark, _REGISTERED_AT).select("table_id", "column_name")
-    return records.join(sizes, ["table_id", "column_name"]).select(*sizes.columns)
+    """All registered columns, with rows and missing values where the events alone fill the table."""
+    sizes = catalog.column_sizes(layer_sources(spark, folder))
+    return catalog.column_records(spark, _REGISTERED_AT).join(sizes, ["table_id", "column_name"], "left").select(
+        "table_id", "column_name", "data_type", "is_nullable", "is_partition_key", "is_order_key", "row_count", "missing_count"
+    )
 
 
 def lineage_edges(spark: SparkSession, folder: str) -> DataFrame:
     """Registered data flows with the rows on both ends."""
     return _with_rows(
-        catalog.lineage_records(spark, _REGISTERED_AT).select("source_table_id", "target_table_id"),
-        catalog.table_sizes(all_tables(spark, folder)), {"source_table_id": "source_rows", "target_table_id": "target_rows"},
+        catalog.lineage_records(spark, _REGISTERED_AT).select("source_table_id", "target_table_id", "transformation"),
+        measured(spark, folder), {"source_table_id": "source_rows", "target_table_id": "target_rows"},
     )
 
 
@@ -176,7 +187,7 @@ def lineage_closure(spark: SparkSession, folder: str) -> DataFrame:
     """What is computed from what, over any number of steps, with the rows on both ends."""
     return _with_rows(
         catalog.lineage_closure(spark, catalog.lineage_records(spark, _REGISTERED_AT)),
-        catalog.table_sizes(all_tables(spark, folder)), {"ancestor": "ancestor_rows", "descendant": "descendant_rows"},
+        measured(spark, folder), {"ancestor": "ancestor_rows", "descendant": "descendant_rows"},
     )
 
 
