@@ -70,8 +70,11 @@ class Run:
     def staged(self, step: str, df: DataFrame) -> DataFrame:
         return self.store.staged(self.batch_id, step, df)
 
-    def write_whole(self, spec: TableSpec, step: str, df: DataFrame, scopes: list[tuple]) -> None:
-        self.store.publish(spec, self.staged(step, df), scopes)
+    def write_whole(self, spec: TableSpec, step: str, df: DataFrame, scopes: list[tuple]) -> int:
+        """Returns how many rows were written."""
+        staged = self.staged(step, df)
+        self.store.publish(spec, staged, scopes)
+        return staged.count()
 
 
 def setup(store: Store) -> None:
@@ -144,8 +147,10 @@ def _transform(run: Run) -> None:
         users = start(_apply_users, run, activity)
         for figures in [start(_refresh_hourly, run, scopes), start(_refresh_daily, run, scopes)]:
             figures.result()
-        with run.step("validate_delivery", "validation"):
-            serve.check_delivery(run.store, run.run_id, scopes)
+        with run.step("validate_delivery", "validation") as record:
+            compared = serve.check_delivery(run.store, run.run_id, scopes)
+            rows = run.counts["gold_hourly_rows"] + run.counts["gold_daily_rows"]
+            record.update(rows_in=rows, rows_out=compared.count())
         users.result()
 
 
@@ -277,30 +282,33 @@ def _refresh(
 ) -> None:
     """Snapshot, recompute, export and serve the figures of the touched days."""
     store = run.store
-    with run.step(f"snapshot_{label}", "gold"):
+    with run.step(f"snapshot_{label}", "gold") as record:
         before = store.read(table, scopes).withColumn("_snapshot_ts", F.lit(run.at)).withColumn(
             "_snapshot_batch", F.lit(run.batch_id)
         )
-        run.write_whole(history, f"snapshot_{label}", before, [(run.batch_id,)])
+        kept = run.write_whole(history, f"snapshot_{label}", before, [(run.batch_id,)])
+        record.update(rows_in=kept, rows_out=kept)
     with run.step(f"aggregate_{label}", "gold") as record:
         fresh = kpis(store.read(FACT_EVENTS, scopes)).withColumn("_updated_at", F.lit(run.at))
         staged = run.staged(label, fresh.select(*table.column_names))
         exported = export_form(staged)
-        sizes = {
-            tuple(r[c] for c in export.partition_by): r["n"]
-            for r in exported.groupBy(*export.partition_by).agg(F.count("*").alias("n")).collect()
-        }
+        # The first measure of both tables counts events.
+        per_folder = exported.groupBy(*export.partition_by).agg(
+            F.count("*").alias("n"), F.sum(table.metrics[0]).alias("events")
+        ).collect()
+        sizes = {tuple(r[c] for c in export.partition_by): r["n"] for r in per_folder}
         days = {p[:1] for p in sizes}
         store.publish(table, staged, scopes, days)
-        record["rows_out"] = run.counts[f"gold_{label}_rows"] = sum(sizes.values())
+        rows = run.counts[f"gold_{label}_rows"] = sum(sizes.values())
+        record.update(rows_in=sum(r["events"] for r in per_folder), rows_out=rows)
     with run.step(f"export_{label}", "export") as record:
         store.publish(export, exported, scopes, sizes)
-        record["rows_out"] = sum(sizes.values())
+        record.update(rows_in=rows, rows_out=rows)
     with run.step(f"serve_{label}", "export") as record:
         # Whole days are delivered, so the merge by key comes down to putting the
         # day's rows in place; keys that gold no longer has go too.
         store.publish(serving, staged.withColumnRenamed("_updated_at", "updated_at"), scopes, days)
-        record["rows_out"] = sum(sizes.values())
+        record.update(rows_in=rows, rows_out=rows)
 
 
 def _log_run(run: Run, status: str) -> None:
@@ -326,8 +334,13 @@ def _log_timings(run: Run) -> None:
         "extra": catalog.as_json(run.counts), "_recorded_at": now(),
     }
     try:
-        rows = [tuple({**t, **shared}[c] for c in BENCHMARK_LOG.column_names) for t in run.timings]
-        run.store.append(BENCHMARK_LOG, run.store.spark.createDataFrame(rows, BENCHMARK_LOG.schema))
+        schema = BENCHMARK_LOG.schema
+        names = [c for c in BENCHMARK_LOG.column_names if c not in ("event_date", "event_hour")]
+        rows = run.store.spark.createDataFrame(
+            [tuple({**t, **shared}[c] for c in names) for t in run.timings], type(schema)([schema[c] for c in names])
+        )
+        at = run.batch_time(F.col("batch_id"))
+        run.store.append(BENCHMARK_LOG, rows.withColumn("event_date", F.to_date(at)).withColumn("event_hour", F.hour(at)))
     except Exception as error:  # noqa: BLE001
         print(f"step times of {run.batch_id} not stored: {error}")
 

@@ -337,10 +337,12 @@ BENCHMARK_LOG = TableSpec(
         ("started_at", TS, "Start"),
         ("ended_at", TS, "End"),
         ("duration_ms", LONG, "Wall clock"),
-        ("rows_in", LONG, "Rows read, 0 if unknown"),
-        ("rows_out", LONG, "Rows written, 0 if unknown"),
+        ("rows_in", LONG, "Rows read, 0 if the step failed"),
+        ("rows_out", LONG, "Rows written, 0 if the step failed"),
         ("rows_per_second", DOUBLE, "rows_out by second, 0 for no duration"),
         ("batch_id", STRING, "Delivery"),
+        ("event_date", DATE, "Day of the delivery's logical time"),
+        ("event_hour", INT, "Hour of the delivery's logical time"),
         ("extra", STRING, "Further facts as JSON"),
         ("_recorded_at", TS, "When the record was written"),
     ),

@@ -127,8 +127,13 @@ def test_logs(applied):
     assert sorted(r["status"] for r in runs.collect()) == ["failed"] + ["success"] * 4
     assert runs.where("completed_at is null").isEmpty()
     assert store.read(VALIDATION_LOG).where("overall_status <> 'pass'").isEmpty()
-    steps = {r["task_name"]: r["status"] for r in store.read(BENCHMARK_LOG).where(F.col("batch_id") == D1).collect()}
-    assert set(steps.values()) == {"success"} and {"transform_silver", "aggregate_daily"} <= set(steps)
+    steps = {r["task_name"]: r for r in store.read(BENCHMARK_LOG).where(F.col("batch_id") == D1).collect()}
+    assert {(r["status"], str(r["event_date"]), r["event_hour"]) for r in steps.values()} == {("success", "2024-01-01", 0)}
+    assert {name: (r["rows_in"], r["rows_out"]) for name, r in steps.items()} == {
+        "quarantine_rows": (5, 1), "transform_silver": (5, 4), "update_dim_users": (4, 3), "snapshot_hourly": (0, 0),
+        "snapshot_daily": (0, 0), "aggregate_hourly": (4, 4), "aggregate_daily": (4, 2), "export_hourly": (4, 4),
+        "export_daily": (2, 2), "serve_hourly": (4, 4), "serve_daily": (2, 2), "validate_delivery": (6, 3),
+    }
     assert not store.read(BENCHMARK_LOG).where("task_name = 'update_dim_users' and status = 'failed'").isEmpty()
 
 
