@@ -36,6 +36,11 @@ from lamina.sources.store import Store
 
 
 
+def place(batch_time: Callable[[Column], Column], batch_id: Column) -> Column:
+    """Deliveries are ordered by their logical time, those of the same time by their ids."""
+    return F.struct(batch_time(batch_id).alias("at"), batch_id.alias("id"))
+
+
 class RowsLost(RuntimeError):
     """Raw rows are neither facts nor set aside."""
 
@@ -67,6 +72,10 @@ class Run:
             )
             self.timings.append(record)
 
+    def comes_after(self, batch_id: Column) -> Column:
+        """Whether a delivery belongs behind the one of this run."""
+        return place(self.batch_time, batch_id) > place(self.batch_time, F.lit(self.batch_id))
+
     def staged(self, step: str, df: DataFrame) -> DataFrame:
         return self.store.staged(self.batch_id, step, df)
 
@@ -186,19 +195,20 @@ def _apply_facts(run: Run, accounted: Future) -> tuple[list[date], DataFrame]:
         # The one look at the whole table: narrow columns, joined with the delivery's keys.
         # The staged keys have a known size, so Spark broadcasts them or filters by them as fits.
         elsewhere = store.read(FACT_EVENTS).select("event_id", "event_date", "batch_id").where(F.col("batch_id") != batch_id)
-        hits = run.staged("hits", elsewhere.join(incoming.select("event_id"), "event_id", "left_semi"))
-        hit_parts = [tuple(r) for r in hits.select("event_date", "batch_id").distinct().collect()]
-        older = [p for p in hit_parts if p[1] < batch_id]
+        found = elsewhere.join(incoming.select("event_id"), "event_id", "left_semi")
+        hits = run.staged("hits", found.withColumn("newer", run.comes_after(F.col("batch_id"))))
+        hit_parts = hits.select("event_date", "batch_id", "newer").distinct().collect()
+        older = [(r["event_date"], r["batch_id"]) for r in hit_parts if not r["newer"]]
         winners = incoming
         if len(older) < len(hit_parts):
-            newer = hits.where(F.col("batch_id") > batch_id).select("event_id")
+            newer = hits.where("newer").select("event_id")
             winners = incoming.join(newer, "event_id", "left_anti").select(*incoming.columns)
 
         content = winners.withColumn("_loaded_at", F.lit(run.at)).select(*FACT_EVENTS.column_names)
         batch_ts = run.batch_time(F.col("batch_id"))
         activity = scd2.user_activity(winners, batch_ts)
         if older:
-            corrected = hits.where(F.col("batch_id") < batch_id).select("event_id")
+            corrected = hits.where("not newer").select("event_id")
             before = store.read(FACT_EVENTS, older)
             content = content.unionByName(before.join(corrected, "event_id", "left_anti"))
             taken = before.select(*silver.FACT_COLUMNS).join(corrected, "event_id", "left_semi")
@@ -229,7 +239,8 @@ def _apply_users(run: Run, activity: DataFrame) -> None:
     store, batch_id = run.store, run.batch_id
     with run.step("update_dim_users", "silver") as record:
         store.publish(USER_ACTIVITY, activity, [(batch_id,)])
-        late = any(b > batch_id for b in store.first_level(USER_ACTIVITY))
+        others = [(b,) for b in store.first_level(USER_ACTIVITY) if b != batch_id]
+        late = not store.spark.createDataFrame(others, "id string").where(run.comes_after(F.col("id"))).isEmpty()
         buckets = {
             r["user_bucket"]: late or r["corrected"]
             for r in activity.groupBy("user_bucket").agg(F.max(F.col("n") < 0).alias("corrected")).collect()
@@ -350,7 +361,8 @@ def replay(store: Store, feed: DataFrame, batch_time: Callable[[Column], Column]
     bronze.ingest(store, feed, now())
     # One look at the logs for all of them; those applied before cost nothing further.
     done = store.read(PIPELINE_RUNS).where("status = 'success'").select("batch_id", F.lit(True).alias("applied")).distinct()
-    batches = sorted(bronze.stored_batches(store).join(done, "batch_id", "left").select("batch_id", "applied").collect())
+    stored = bronze.stored_batches(store).join(done, "batch_id", "left").select("batch_id", "applied")
+    batches = stored.orderBy(place(batch_time, F.col("batch_id"))).collect()
     for batch_id, applied in batches:
         if not applied:
             apply_batch(store, batch_id, batch_time)

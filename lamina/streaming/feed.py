@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lamina.plans import bronze
-from lamina.plans.batch_run import apply_batch
+from lamina.plans.batch_run import apply_batch, place
 from lamina.plans.bronze import SplitDelivery
 from lamina.session import now
 from lamina.sources.event_feed import delivery_time
@@ -30,7 +31,7 @@ def apply_micro_batch(store: Store, batch_time: Callable[[Column], Column] = del
     """
     def handle(rows: DataFrame, _epoch: int) -> None:
         bronze.ingest(store, rows, now())
-        for row in sorted(rows.select("batch_id").distinct().collect()):
+        for row in rows.select("batch_id").distinct().orderBy(place(batch_time, F.col("batch_id"))).collect():
             apply_batch(store, row["batch_id"], batch_time)
 
     return handle

@@ -292,6 +292,24 @@ def test_applied_deliveries_cost_no_jobs_of_their_own(spark, store, monkeypatch)
     assert jobs_of_another_replay(D1) == jobs_of_another_replay(D1, D2, LAST)
 
 
+def test_the_time_of_a_delivery_decides_not_its_name(spark, store):
+    """By name the second delivery would come first."""
+    first, second = "scheduled__2024-01-05T11:00:00+00:00", "manual__2024-01-05T12:00:00+00:00"
+    rows = raw_rows(
+        spark, ("e1", "ann", "view", "web", 1.0, "2024-01-05 10:00", first), ("e1", "ann", "click", "api", 2.0, "2024-01-05 10:00", second),
+        ("e2", "bob", "view", "web", 3.0, "2024-01-05 10:30", second), ("e2", "bob", "view", "web", 4.0, "2024-01-05 10:30", first),
+    )
+    assert batch_run.replay(store, rows.where(F.col("batch_id") == second)) == [second]
+    assert batch_run.replay(store, rows) == [first, second]
+    assert {(r["event_id"], r["value"], r["batch_id"]) for r in store.read(FACT_EVENTS).collect()} == {
+        ("e1", 2.0, second), ("e2", 3.0, second),
+    }
+    later = raw_rows(spark, ("e1", "ann", "view", "web", 9.0, "2024-01-05 10:00", "backfill__2024-01-05T13:00:00+00:00"))
+    batch_run.replay(store, later)
+    assert {(r["event_id"], r["value"]) for r in store.read(FACT_EVENTS).collect()} == {("e1", 9.0), ("e2", 3.0)}
+    assert store.read(RPT_DAILY_SUMMARY).first()["total_events"] == 2
+
+
 def test_two_deliveries_within_an_hour(spark, store):
     early, late = "run__2024-01-05T11:00:00+00:00", "run__2024-01-05T11:30:00+00:00"
     rows = raw_rows(
