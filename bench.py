@@ -26,6 +26,11 @@ HEADLINE = (
     "silver_clean", "quarantine_by_reason", "row_accounting", "dim_users_scd2", "serving_upsert_hourly",
     "delivery_mismatches", "column_profile",
 )
+# What writes tables or measures all layers is timed once and left out of the sum.
+ONCE = (
+    "bronze_ingest", "batch_ledger", "export_hourly_roundtrip", "export_daily_roundtrip", "delivery_validation",
+    "layer_summary", "catalog_tables", "catalog_columns", "lineage_edges", "lineage_closure",
+)
 RUNS = 3
 
 
@@ -69,10 +74,14 @@ def main() -> None:
         seconds[name] = round(statistics.median(timed(lambda: run(name)) for _ in range(RUNS)), 3)
         print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
     seconds["apply_one_delivery"] = round(statistics.median(one_delivery(spark, folder)), 3)
+    total = round(sum(seconds.values()), 3)
+    for name in ONCE:
+        seconds[name] = round(timed(lambda: run(name)), 3)
+        print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
     scale = Path(folder).name.removeprefix("sf")
     rows = event_feed.table(spark, folder, "events").count()
     print(json.dumps({
-        "metric": "headline queries, sum of medians", "value": round(sum(seconds.values()), 3), "unit": "sec",
+        "metric": "headline queries, sum of medians", "value": total, "unit": "sec",
         "queries": seconds, "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale, "cpus": int(cpus),
         "events": rows, "fact_rows_per_second": round(rows / seconds["silver_fact_current"]),
     }))
