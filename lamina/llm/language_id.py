@@ -1,8 +1,9 @@
 """Languages by interpolated Kneser-Ney models over characters, four at a time.
 
-Four characters of 16 bits are one 64-bit number. Counts are gathered from all learning documents; a model is at most
-MAX_GRAMS of them, held as arrays sorted by a hash of the number. The language with the least cross-entropy for each
-character is chosen; a text that is far from all of them is marked as rejected.
+Four characters of 16 bits are one 64-bit number. Counts are gathered from all learning documents, and all are kept: a model
+is cut by the two middle characters into slices of about MAX_GRAMS runs, arrays sorted by a hash of the number, and a text
+takes its sums slice by slice. The language with the least cross-entropy for each character is chosen; a text that is far
+from all of them is marked as rejected.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from lamina.llm.words import chunks, folded
 from lamina.session import written
 
 ORDER, FOLDS, HELD_OUT = 4, 4, 2
-# Bound of the model that every task holds; beyond it the rarest character runs are pruned, as in any pruned model.
+# Runs of a slice of the model; a task holds one slice at a time. Runs with the same middle characters share a slice.
 MAX_GRAMS = 1_500_000
 # Learning rows that are not counted but used to calibrate scores and rejection: about so many.
 CALIBRATION_ROWS = 2_000
@@ -27,6 +29,8 @@ REJECT_SHARE = 0.005
 NO_LANGUAGE = "und"
 _MASK = [np.uint64((1 << (16 * n)) - 1) for n in range(ORDER + 1)]
 _SHIFT = np.uint64(16)
+# Less than 2**31, so that its product with two characters is a positive long in Spark too.
+_PAIR = 1_481_765_933
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _TOP = 18
 # Each task passes its counts on when it holds so many different ones.
@@ -119,26 +123,45 @@ class Language(NamedTuple):
     floor: float  # probability of a character never seen
 
 
-def _order(grams: np.ndarray, n: np.ndarray) -> Order:
-    one, two = int((n == 1).sum()), int((n == 2).sum())
-    discount = min(max(one / (one + 2 * two) if one else 0.5, 0.1), 0.95)
+def _discount(one: int, two: int) -> float:
+    return min(max(one / (one + 2 * two) if one else 0.5, 0.1), 0.95)
+
+
+def _order(grams: np.ndarray, n: np.ndarray, discount: float | None = None) -> Order:
+    if not len(grams):
+        return Order(grams, np.zeros(0), grams, np.zeros(0))
+    if discount is None:
+        discount = _discount(int((n == 1).sum()), int((n == 2).sum()))
     context, types = _tally(grams >> _SHIFT)
     total = np.add.reduceat(n, np.flatnonzero(np.append(True, (grams >> _SHIFT)[1:] != (grams >> _SHIFT)[:-1])))
     at = np.searchsorted(context, grams >> _SHIFT)
     return Order(grams, (n - discount) / total[at], context, discount * types / total)
 
 
-def language_of(grams: np.ndarray, n: np.ndarray, alphabet: int) -> Language:
-    """Kneser-Ney: the longest runs by count, shorter ones by the number of different characters before them."""
+class Whole(NamedTuple):
+    """What a slice can't know of its language by itself."""
+
+    shorter: list[Order]  # of 1 and 2 characters
+    discounts: list[float]  # of 3 and 4 characters
+
+
+def language_of(grams: np.ndarray, n: np.ndarray, alphabet: int, whole: Whole | None = None) -> Language:
+    """Kneser-Ney: the longest runs by count, shorter ones by the number of different characters before them.
+
+    With `whole` the runs are those of a slice: it has all runs with the same two middle characters, hence all with the same
+    first or last three, but not all with the same last two.
+    """
     grams, n = _tally(grams, n)
-    orders = [_order(grams, n)]
-    for k in range(ORDER - 1, 0, -1):
+    orders = [_order(grams, n, whole and whole.discounts[1])]
+    for k in range(ORDER - 1, 2 if whole else 0, -1):
         grams, n = _tally(np.sort(grams & _MASK[k]))
-        orders.insert(0, _order(grams, n))
-    return Language(orders, 1.0 / (alphabet + 1))
+        orders.insert(0, _order(grams, n, whole and whole.discounts[0]))
+    return Language([*(whole.shorter if whole else []), *orders], 1.0 / (alphabet + 1))
 
 
 def _found(keys: np.ndarray, wanted: np.ndarray, values: np.ndarray, other: float) -> np.ndarray:
+    if not len(keys):
+        return np.full(len(wanted), other)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     return np.where(keys[at] == wanted, values[at], other)
 
@@ -151,59 +174,74 @@ def probability(language: Language, grams: np.ndarray) -> np.ndarray:
     return p
 
 
-class Model(NamedTuple):
-    names: list[str]
+class Slice(NamedTuple):
     languages: list[Language]
     hashes: np.ndarray  # of all known runs, ascending
     first: np.ndarray  # where the hashes with the same leading bits begin
     longest: int  # most hashes with the same leading bits
     logs: np.ndarray  # for each of them and each language
+
+
+class Model(NamedTuple):
+    names: list[str]
+    slices: list[Broadcast]  # of Slice
     sharpness: float
     limit: np.ndarray  # of cross-entropy, for each language
 
 
-def build(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
-    """Model from (language, runs, counts); without rows it knows no language."""
-    names = [r[0] for r in rows]
-    if not rows:
-        return Model([], [], np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, np.zeros((0, 0)), 1.0, np.zeros(0))
-    grams = _tally(np.concatenate([r[1] for r in rows]))[0]
-    alphabet = len(_tally(grams & _MASK[1])[0])
-    languages = [language_of(r[1], r[2], alphabet) for r in rows]
+def build(rows: list[tuple[np.ndarray, np.ndarray]], alphabet: int, whole: list[Whole | None]) -> Slice:
+    """Slice from (runs, counts) of each language; `whole` is None where they are all runs of the language."""
+    grams = _tally(np.concatenate([r[0] for r in rows]))[0]
+    languages = [language_of(r[0], r[1], alphabet, w) for r, w in zip(rows, whole)]
     logs = np.stack([np.log(probability(x, grams)) for x in languages], axis=1)
     hashes = grams * _ODD
     order = np.argsort(hashes)
     hashes, logs = hashes[order], logs[order].astype(np.float32)
     first = np.searchsorted(hashes, np.arange(1 << _TOP, dtype=np.uint64) << np.uint64(64 - _TOP))
     longest = int(np.diff(np.append(first, len(hashes))).max())
-    return Model(names, languages, hashes, first, longest, logs, 1.0, np.full(len(names), np.inf))
+    return Slice(languages, hashes, first, longest, logs)
 
 
-def cross_entropy(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """(nats for each character in each language, characters) of each text."""
-    doc, key = characters(texts)
+def _slice_of(keys: np.ndarray, n: int) -> np.ndarray:
+    return (((keys >> _SHIFT) & _MASK[2]) * np.uint64(_PAIR) >> np.uint64(31)) % np.uint64(n)
+
+
+def _logs(key: np.ndarray, part: Slice) -> np.ndarray:
+    """Log probability of each run in each language of the slice."""
+    if not len(part.hashes):
+        seldom, back = np.unique(key, return_inverse=True)
+        return np.stack([np.log(probability(x, seldom)) for x in part.languages], axis=1)[back]
     h = key * _ODD
-    at = model.first[(h >> np.uint64(64 - _TOP)).astype(np.intp)]
-    last = len(model.hashes) - 1
-    for _ in range(model.longest - 1):
-        behind = np.flatnonzero(model.hashes[np.minimum(at, last)] < h)
+    at = part.first[(h >> np.uint64(64 - _TOP)).astype(np.intp)]
+    last = len(part.hashes) - 1
+    for _ in range(part.longest - 1):
+        behind = np.flatnonzero(part.hashes[np.minimum(at, last)] < h)
         if not len(behind):
             break
         at[behind] += 1
     at = np.minimum(at, last)
-    total = np.zeros((len(texts), len(model.names)))
-    new = np.flatnonzero(model.hashes[at] != h)
-    extra = None
+    new = np.flatnonzero(part.hashes[at] != h)
+    logs = part.logs[at].astype(np.float64)
     if len(new):
         seldom, back = np.unique(key[new], return_inverse=True)
-        extra = np.stack([np.log(probability(x, seldom)) for x in model.languages], axis=1)[back]
-    starts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else doc
-    for i in range(len(model.names)):
-        logs = model.logs[:, i][at].astype(np.float64)
-        if extra is not None:
-            logs[new] = extra[:, i]
-        if len(doc):
-            total[doc[starts], i] = np.add.reduceat(logs, starts)
+        logs[new] = np.stack([np.log(probability(x, seldom)) for x in part.languages], axis=1)[back]
+    return logs
+
+
+def cross_entropy(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """(nats for each character in each language, characters) of each text."""
+    doc, key = characters(texts)
+    total = np.zeros((len(texts), len(model.names)))
+    of = _slice_of(key, len(model.slices)) if len(model.slices) > 1 else None
+    for i, shared in enumerate(model.slices):
+        own = slice(None) if of is None else np.flatnonzero(of == i)
+        at, runs = doc[own], key[own]
+        if not len(runs):
+            continue
+        # One of several slices isn't kept in memory.
+        logs = _logs(runs, shared.value if of is None else shared.load_from_path(shared._path))
+        starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        total[at[starts]] += np.add.reduceat(logs, starts)
     size = np.bincount(doc, minlength=len(texts))
     return -total / np.maximum(size, 1)[:, None], size
 
@@ -246,13 +284,11 @@ def train(docs: DataFrame) -> Model:
         rows.where(~aside).select("text", "lang").mapInArrow(_counted, "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams",
     )
-    least = 1
-    while counts.where(F.col("n") >= least).count() > MAX_GRAMS:
-        least *= 2
-    table = counts.where(F.col("n") >= least).orderBy("lang", "gram").toArrow()
-    lang = np.array(table.column("lang").to_pylist(), object)
-    gram, n = table.column("gram").to_numpy().view(np.uint64), table.column("n").to_numpy()
-    model = build([(x, gram[lang == x], n[lang == x]) for x in sorted(set(lang))])
+    model = Model([], [], 1.0, np.zeros(0))
+    for names, part in _sliced(counts):
+        model = Model(names, [*model.slices, docs.sparkSession.sparkContext.broadcast(part)], 1.0, np.full(len(names), np.inf))
+    if not model.names:
+        return model
     kept = rows.where(aside).select("text", "lang")
     calibration = kept.repartition(1).mapInArrow(lambda batches: _calibration(batches, model), "sharpness double, limits array<double>").collect()
     if not calibration:
@@ -260,6 +296,57 @@ def train(docs: DataFrame) -> Model:
     return model._replace(sharpness=calibration[0][0], limit=np.array(calibration[0][1]))
 
 
+def _by_language(counts: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """(runs, counts) of each language, on the driver."""
+    table = counts.select("lang", "gram", "n").orderBy("lang", "gram").toArrow()
+    lang = np.array(table.column("lang").to_pylist(), object)
+    gram, n = table.column("gram").to_numpy().view(np.uint64), table.column("n").to_numpy()
+    return {x: (gram[lang == x], n[lang == x]) for x in sorted(set(lang))}
+
+
+def _sliced(counts: DataFrame) -> Iterator[tuple[list[str], Slice]]:
+    """(languages, slice) one by one, from all counts; without counts there is none."""
+    total = counts.count()
+    if total <= MAX_GRAMS:
+        rows = _by_language(counts)
+        if rows:
+            alphabet = len(_tally(np.concatenate([g for g, _ in rows.values()]) & _MASK[1])[0])
+            yield list(rows), build(list(rows.values()), alphabet, [None] * len(rows))
+        return
+    pair = F.shiftrightunsigned("gram", 16).bitwiseAND(F.lit(int(_MASK[2])))
+    pairs = written(counts.groupBy(pair.alias("pair")).agg(F.count("*").alias("n")), "pairs")
+
+    def place(of, n: int):
+        return F.shiftright(of * F.lit(_PAIR).cast("long"), 31) % n
+
+    n_slices = -(-total // MAX_GRAMS)
+    most = max(MAX_GRAMS, 2 * pairs.agg(F.max("n")).first()[0])
+    while pairs.groupBy(place(F.col("pair"), n_slices).alias("at")).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] > most:
+        n_slices *= 2
+    names, alphabet, whole = _whole(counts)
+    counts = written(counts.withColumn("at", place(pair, n_slices)).repartition("at"), "grams")
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    for at in range(n_slices):
+        rows = _by_language(counts.where(F.col("at") == at))
+        yield names, build([rows.get(x, none) for x in names], alphabet, [whole[x] for x in names])
+
+
+def _whole(counts: DataFrame) -> tuple[list[str], int, dict[str, Whole]]:
+    """Languages, size of the alphabet, and what slices need of each language, from all its runs."""
+    longer, orders = [counts], {}
+    for k in range(ORDER - 1, 0, -1):
+        some = longer[0].groupBy("lang", F.col("gram").bitwiseAND(F.lit(int(_MASK[k]))).alias("gram")).agg(F.count("*").alias("n"))
+        longer.insert(0, written(some, "grams"))
+    for part in longer[:2]:
+        for lang, (grams, n) in _by_language(part).items():
+            orders.setdefault(lang, []).append(_order(grams, n))
+    discounts = {lang: [] for lang in orders}
+    for part in longer[2:]:
+        for r in part.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("one"), F.count_if(F.col("n") == 2).alias("two")).collect():
+            discounts[r.lang].append(_discount(r.one, r.two))
+    return sorted(orders), longer[0].select("gram").distinct().count(), {x: Whole(orders[x], discounts[x]) for x in orders}
+
+
 def _calibration(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     texts, langs = [], []
     for batch in batches:
@@ -293,12 +380,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     farther from their language than its own texts are; they keep their lang_pred. held_out is false where doc_id is NULL.
     Other columns are not read; an empty table gives an empty one.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
-                names, score, rejected = predict_texts(part.column("text").to_pylist(), shared.value)
+                names, score, rejected = predict_texts(part.column("text").to_pylist(), model)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
                     names=["doc_id", "lang_pred", "score", "rejected"],

@@ -200,6 +200,24 @@ def test_languages_of_held_out_rows(spark):
     assert {r.lang_pred for r in language_id.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_a_sliced_language_model_is_the_whole_one(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, _prose(rng, 60), "aa", "s", 1) for i in range(300)] + [(1000 + i, f"xyz zyx {'xyzw'[i % 4:]} yyzz", "bb", "s", 1) for i in range(12)]
+    docs = spark.createDataFrame(rows, DOCS)
+
+    def result():
+        model = language_id.train(docs)
+        return model, {r.doc_id: r for r in language_id.identify(docs, model).collect()}
+
+    whole, want = result()
+    monkeypatch.setattr(language_id, "MAX_GRAMS", 700)
+    model, got = result()
+    assert len(whole.slices) == 1 < len(model.slices) and model.names == whole.names == ["aa", "bb"]
+    assert np.allclose(model.limit, whole.limit) and model.sharpness == whole.sharpness
+    assert all(got[i].lang_pred == want[i].lang_pred and abs(got[i].score - want[i].score) < 1e-9 for i in want)
+    assert all(got[i].lang_pred == "bb" for i in range(1000, 1012))
+
+
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 IP, CARD, PHONE = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"
 
