@@ -138,10 +138,11 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, class_id, class_size): one row per input row.
+    """(doc_id, node, class, class_id, class_size): one row per input row.
 
     `node` is the MD5 of the text; equal texts are one node. Two nodes are linked if their weighted Jaccard similarity over
     shingles of five words is 0.8 or more; classes are the connected components; class_id is the least doc_id of the class.
+    `class` is the least node of the class: where a doc_id stands on unlike texts, two classes can have one class_id.
 
     A NULL text is an empty one. Texts without words are alike only if they are equal. Texts of one to four words have one
     shingle. Rows with the same doc_id stay separate rows. A class whose ids are all NULL has a NULL class_id. Other columns
@@ -155,7 +156,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     member = rows.select("doc_id", "node").join(labels, "node", "left").withColumn("class", F.coalesce("component", "node"))
     member = written(member.drop("component"), "members")
     classes = member.groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return member.join(classes, "class").select("doc_id", "node", "class_id", "class_size")
+    return member.join(classes, "class").select("doc_id", "node", "class", "class_id", "class_size")
 
 
 def _node(text):
@@ -316,7 +317,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """
     member = near_duplicates(docs)
     kept = written(
-        member.groupBy("class_id", _class_of(member)).agg(F.min(F.struct("doc_id", "node")).alias("k")).select("k.doc_id", "k.node").distinct(),
+        member.groupBy("class", _class_of(member)).agg(F.min(F.struct("doc_id", "node")).alias("k")).select("k.doc_id", "k.node").distinct(),
         "kept",
     )
     node = _node(F.coalesce(F.col("text"), F.lit("")))

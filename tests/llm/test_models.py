@@ -86,6 +86,15 @@ def test_repeated_rows_are_one_class(spark):
     assert near_dup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_unlike_texts_with_one_id_both_stay(spark):
+    texts = ["a b c d e f g", "t u v w x y z", "t u v w x y z", "a b c d e f g", "h i j k l m n"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in zip([1, 1, 2, 3, None], texts)], DOCS)
+    got = near_dup.near_duplicates(docs)
+    assert sorted((r.doc_id or 0, r.class_id or 0, r.class_size) for r in got.collect()) == [(0, 0, 1), (1, 1, 2), (1, 1, 2), (2, 1, 2), (3, 1, 2)]
+    assert got.select("class").distinct().count() == 3
+    assert sorted((r.doc_id or 0, r.text) for r in near_dup.drop_near_duplicates(docs).collect()) == [(0, texts[4]), (1, texts[0]), (1, texts[1])]
+
+
 def test_signatures_agree_like_the_texts():
     rng = random.Random(2)
     words = _prose(rng, 300).split()
