@@ -93,6 +93,51 @@ def test_license_rules_need_their_order(spark):
     assert got == {1: ("MIT", 3), 2: ("", 3), 3: ("Apache-2.0", 1), 4: ("", 0), 5: ("", 0), 6: ("LicenseRef-all-rights-reserved", 2), 7: ("MIT", 1), 8: ("", 0)}
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+{0} Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+{0} Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+"""
+ADVERTISE = """{0} All advertising materials mentioning features or use of this software
+   must display the following acknowledgement:
+   This product includes software developed by the University of
+   California, Berkeley and its contributors.
+"""
+ENDORSE = """{0} Neither the name of the University nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+"""
+DISCLAIMER = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+
+
+def test_standard_texts_name_their_license(spark):
+    bsd = {"BSD-2-Clause": BSD, "BSD-3-Clause": BSD + ENDORSE, "BSD-4-Clause": BSD + ADVERTISE + ENDORSE}
+    cases = [("Apache-2.0", APACHE), ("MPL-2.0", MPL)] + [(n, t.format(x) + DISCLAIMER) for n, t in bsd.items() for x in ("1.", "*", "(a)", "2)")]
+    cases += [("BSD-3-Clause,BSD-2-Clause", "\n\n".join([(BSD + ENDORSE).format("*"), BSD.format("*")]))]
+    texts = [(n, form(t)) for n, t in cases for form in (str, lambda t: " ".join(t.split()), lambda t: "# " + t.replace("\n", "\n# "), lambda t: "\n".join(t.split()))]
+    texts += [("", "see v. 2.0"), ("", "not licensed under the MIT license"), ("MIT", "Licence: \n Licensed under\nthe MIT License; x")]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in licenses.scan(docs).collect()}
+    assert [(got[i], texts[i][1]) for i in got if got[i] != texts[i][0]] == []
+    mine = licenses.scan(docs, {"see v 2 0": "mine"}, (("Mine", ("mine",)),), "see").where("licenses != ''").collect()
+    assert [texts[r.doc_id][1] for r in mine] == ["see v. 2.0"]
+
+
 TURNS = "conv_id long, turn long, role string, text string, message string"
 
 
