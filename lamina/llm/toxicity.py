@@ -137,17 +137,26 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def score_texts(texts: list[str | None], model: Model) -> tuple[np.ndarray, list[list[dict]]]:
-    """Probability of each text; its sentences with a probability of one half or more, as code points."""
+    """Probability of each text; its sentences with a probability of one half or more, as code points.
+
+    A text that reaches one half by weaker sentences alone has the first of its best ones.
+    """
     s, words = sentences_of(texts)
     z = _logits(model.weights, model.bias, s)
     amount = np.bincount(s.doc, _softplus(z), minlength=len(texts))
+    value = -np.expm1(-amount)
+    shown = z >= 0
+    bare = (value >= 0.5) & (np.bincount(s.doc[shown], minlength=len(texts)) == 0)
+    order = np.lexsort((-z, s.doc))
+    best = order[_changes(s.doc[order])]
+    shown[best[bare[s.doc[best]]]] = True
     found: list[list[dict]] = [[] for _ in texts]
-    for i in np.flatnonzero(z >= 0):
+    for i in np.flatnonzero(shown):
         d = s.doc[i]
         start = len(words.data[words.offset[d] : s.start[i]].tobytes().decode("utf-8", "replace"))
         size = len(words.data[s.start[i] : s.end[i]].tobytes().decode("utf-8", "replace"))
         found[d].append({"start": start, "end": start + size, "score": float(_sigmoid(z[i]))})
-    return -np.expm1(-amount), found
+    return value, found
 
 
 _SENTENCES = "sentences array<struct<start: long, end: long, score: double>>"
@@ -158,8 +167,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, score, predicted, sentences), one row per input row.
 
     Only the text is scored, whole. A NULL or empty text, or one without words, scores 0. `sentences` are those with a
-    probability of one half or more, from their first to their last word in code points. held_out is false where doc_id is
-    NULL. Equal texts score alike. Other columns are not read; an empty table gives an empty one.
+    probability of one half or more, or the best one of a text that scores so without any, from their first to their last
+    word in code points. held_out is false where doc_id is NULL. Equal texts score alike. Other columns are not read; an empty table gives an empty one.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

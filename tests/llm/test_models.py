@@ -181,6 +181,14 @@ def test_toxicity_learns_sentences_from_documents(spark):
     assert toxicity.score(docs, nothing).where("predicted = 1").isEmpty()
 
 
+def test_weak_sentences_that_make_a_text_toxic_are_located():
+    # Every sentence has a probability of 0.4.
+    model = toxicity.Model(np.zeros(toxicity._SIZE * 3, np.float32), float(np.log(0.4 / 0.6)))
+    value, found = toxicity.score_texts([None, "Über eins.", "Ü one two. Three four!", ""], model)
+    assert np.allclose(value, [0, 0.4, 0.64, 0]) and [len(f) for f in found] == [0, 0, 1, 0]
+    assert (found[2][0]["start"], found[2][0]["end"]) == (0, 9) and abs(found[2][0]["score"] - 0.4) < 1e-9
+
+
 def test_kneser_ney_is_a_distribution_and_counts_are_exact(spark):
     texts = ["abab cab", "abba, abc!", "bab" * 9]
     key = np.concatenate([language_id.characters([t])[1] for t in texts])
