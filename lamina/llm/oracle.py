@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from lamina.llm import licenses, mixing, perspectives, warc
+import string
+
+from lamina.llm import licenses, merkle, mixing, perspectives, warc
 from lamina.llm.queries import QUERY_STEP, TOP
 
 
@@ -160,6 +162,64 @@ SELECT conv_id, perspective, turn, role, name, message, start, start + length(me
 FROM placed"""
 
 
+def _merkle() -> str:
+    def leaf(text: str) -> str:
+        fields = [
+            f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" if c != "text" else f"coalesce(strlen({text}) || ':' || {text}, '-')"
+            for c in merkle.LEAF_COLUMNS
+        ]
+        return f"sha256({' || '.join(fields)})"
+
+    upper, lower = string.ascii_uppercase, string.ascii_lowercase
+    return f"""
+WITH RECURSIVE byte(i) AS (SELECT unnest(range(256))),
+shifted(i, step, c) AS (
+  SELECT i, 0, i::BIGINT FROM byte
+  UNION ALL SELECT i, step + 1, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM shifted WHERE step < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM shifted WHERE step = 8),
+plain AS (
+  SELECT doc_id, lang, {leaf("text")} AS leaf, {leaf(f"translate(text, '{upper}', '{lower}')")} AS lowered,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+             lambda c, d: xor(t[(xor(c, d) & 255) + 1], c >> 8))) AS crc
+  FROM documents, crc_table),
+leaves AS (
+  SELECT doc_id, lang, leaf, CASE WHEN crc % {merkle.TAMPER_STEP} = 0 THEN lowered ELSE leaf END AS given,
+         coalesce('=' || lang, '-') AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS position,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM plain),
+nodes(tree, level, position, n, digest) AS (
+  SELECT tree, 0, position, n, leaf FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, position // {merkle.FAN}, (n + {merkle.FAN - 1}) // {merkle.FAN}, sha256(string_agg(digest, '' ORDER BY position))
+  FROM nodes WHERE n > 1 GROUP BY tree, level, position // {merkle.FAN}, n),
+subroots AS (SELECT tree, level AS levels, digest, row_number() OVER (ORDER BY tree) - 1 AS position, count(*) OVER () AS n FROM nodes WHERE n = 1),
+above(level, position, n, digest) AS (
+  SELECT 0, position, n, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, position // {merkle.FAN}, (n + {merkle.FAN - 1}) // {merkle.FAN}, sha256(string_agg(digest, '' ORDER BY position))
+  FROM above WHERE n > 1 GROUP BY level, position // {merkle.FAN}, n),
+runs AS (
+  SELECT tree, level, position // {merkle.FAN} AS run, list(digest ORDER BY position) AS digests FROM nodes WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT s.tree, s.levels + a.level, r.run, r.digests
+  FROM subroots s, (SELECT DISTINCT level FROM above WHERE n > 1) a,
+       (SELECT level, position // {merkle.FAN} AS run, list(digest ORDER BY position) AS digests FROM above WHERE n > 1 GROUP BY ALL) r
+  WHERE r.level = a.level AND r.run = s.position // ({merkle.FAN} ** (a.level + 1))::BIGINT),
+walk(doc_id, tree, leaf, place, level, position, proof, cur) AS (
+  SELECT doc_id, tree, leaf, position, 0, position, '', given FROM leaves
+  UNION ALL
+  SELECT w.doc_id, w.tree, w.leaf, w.place, w.level + 1, CASE WHEN w.level + 1 = s.levels THEN s.position ELSE w.position // {merkle.FAN} END,
+         w.proof || coalesce(array_to_string(list_concat(r.digests[:own], r.digests[own + 2:]), ''), ''),
+         sha256(coalesce(array_to_string(r.digests[:own], ''), '') || w.cur || coalesce(array_to_string(r.digests[own + 2:], ''), ''))
+  FROM (SELECT *, position % {merkle.FAN} AS own FROM walk) w JOIN subroots s USING (tree)
+  JOIN runs r ON r.tree = w.tree AND r.level = w.level AND r.run = w.position // {merkle.FAN}),
+root AS (SELECT digest AS root FROM above WHERE n = 1),
+ended AS (SELECT *, row_number() OVER (PARTITION BY tree, place ORDER BY level DESC) AS latest FROM walk)
+SELECT e.doc_id, e.leaf, s.digest AS subroot, root, sha256(e.proof) AS proof_sha256, e.cur AS folded_root, e.cur = root AS verified,
+       nullif(e.tree[2:], '') AS lang, e.place AS "position", e.level::INTEGER AS n_levels
+FROM ended e JOIN subroots s USING (tree), root WHERE latest = 1"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_warc_derivatives": _warc(),
@@ -167,4 +227,5 @@ def statements() -> dict[str, str]:
         "op5_kdtree_top_k": _nearest(),
         "op8_license_scan": _licenses(),
         "op9_perspectives": _perspectives(),
+        "op13_merkle_manifest": _merkle(),
     }

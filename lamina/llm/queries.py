@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, kdtree, language_id, licenses, mixing, near_dup, perspectives, pii, toxicity, warc
+from lamina.llm import (
+    decontaminate, kdtree, language_id, licenses, merkle, mixing, near_dup, perspectives, pii, toxicity, url_filter, warc, whitening,
+)
 
 TOP, QUERY_STEP = 5, 50
 
@@ -67,6 +69,19 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(docs, pii.train(docs))
 
 
+def whitened_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return url_filter.judged(pages, url_filter.train(url_filter.labelled_by_rules(pages)))
+
+
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc_derivatives": warc_derivatives,
@@ -79,4 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": license_scan,
         "op9_perspectives": rotated_dialogues,
         "op10_personal_data": personal_data,
+        "op11_whitened_vectors": whitened_vectors,
+        "op12_url_verdicts": url_verdicts,
+        "op13_merkle_manifest": merkle_manifest,
     }
