@@ -44,29 +44,60 @@ def test_mix_of_odd_rows(spark):
     assert out.where("taken > 2 * size or taken = 0").isEmpty()
 
 
-def _brute(vectors, query, k):
-    own = vectors[query]
-    scored = [(-sum(a * b for a, b in zip(own, v)), i) for i, v in vectors.items() if i != query and len(v) == len(own)]
-    return [(i, -s) for s, i in sorted(scored)[:k]]
+def _brute(rows, k, is_query):
+    """[(query id, [(vec_id, score), …])] with every other row as a candidate."""
+    out = []
+    for n, (query, own) in enumerate(rows):
+        if is_query(query):
+            scored = [(-sum(a * b for a, b in zip(own, v)), i) for m, (i, v) in enumerate(rows) if m != n and len(v) == len(own)]
+            out.append((query, [(i, -s) for s, i in sorted(scored)[:k]]))
+    return sorted(out)
 
 
-@pytest.mark.parametrize("kind", ["random", "copies"])
+def _ranked(found):
+    """The hits of each query row; query rows of one id have their ranks side by side."""
+    out = {}
+    for r in found.collect():
+        out.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    return {q: sorted(hits) for q, hits in out.items()}
+
+
+@pytest.mark.parametrize("kind", ["random", "copies", "clusters", "repeated ids"])
 def test_top_k_is_exact(spark, kind, monkeypatch):
     monkeypatch.setattr(kdtree, "SHARD_ROWS", 60)
     monkeypatch.setattr(kdtree, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(kdtree, "BOXES", 2)
     rng = np.random.default_rng(1)
-    points = rng.normal(0, 0.3, (300, 8)) if kind == "random" else np.repeat(rng.normal(0, 0.3, (3, 8)), 100, axis=0)
-    rows = [(i, [float(x) for x in p], 0) for i, p in enumerate(points)]
-    rows += [(900, None, 0), (901, [None] * 8, 0), (902, [float("nan")] * 8, 0), (950, [0.5, 0.25], 0), (951, [0.5, 0.5], 0), (None, [0.1] * 8, 0), rows[3]]
+    points = rng.normal(0, 0.3, (300, 8))
+    if kind == "copies":
+        points = np.repeat(points[:3], 100, axis=0)
+    elif kind == "clusters":
+        points = points / 10 + rng.normal(0, 1, (6, 8))[rng.integers(0, 6, 300)]
+    rows = [(i // 7 if kind == "repeated ids" else i, [float(x) for x in p], 0) for i, p in enumerate(points)]
+    rows += [(900, None, 0), (901, [None] * 8, 0), (902, [float("nan")] * 8, 0), (950, [0.5, 0.25], 0), (951, [0.5, 0.5], 0), (None, [0.1] * 8, 0), rows[3], rows[0]]
     vectors = kdtree.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
-    whole = {r.vec_id: r.v for r in vectors.collect()}
-    assert 900 not in whole and 901 not in whole and 902 not in whole and len(whole) == 302
-    got = {}
-    for r in kdtree.top_k(vectors, F.col("vec_id") % 50 == 0).collect():
-        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
-    assert set(got) == {0, 50, 100, 150, 200, 250, 950}
-    for query, found in got.items():
-        assert [found[i] for i in sorted(found)] == _brute(whole, query, 5)
+    whole = [(r.vec_id, r.v) for r in vectors.collect()]
+    assert {900, 901, 902, None}.isdisjoint(i for i, _ in whole) and len(whole) == 304
+    want = {}
+    for query, hits in _brute(whole, 5, lambda i: i % 50 == 0):
+        want.setdefault(query, []).extend((n + 1, i, s) for n, (i, s) in enumerate(hits))
+    assert _ranked(kdtree.top_k(vectors, F.col("vec_id") % 50 == 0)) == {q: sorted(hits) for q, hits in want.items()}
+
+
+def test_boxes_out_of_reach_are_not_read():
+    rng = np.random.default_rng(2)
+    centers = rng.normal(0, 1000, (40, 6))
+    points = np.rint(centers[rng.integers(0, 40, 20_000)] + rng.normal(0, 30, (20_000, 6))).astype(np.int64)
+    cut = kdtree.coarse_tree(points[:4000], 16)
+    cell = kdtree.cells_of(points, cut)
+    assert set(cell) == set(range(16)) and np.bincount(cell).max() < 4000
+    tree = kdtree.build_tree(np.arange(20_000), np.arange(20_000), points)
+    q, ids, scores, leaves = kdtree.search(tree, np.arange(10), points[:10], 5, np.full(10, -(2**63)))
+    products = points[:10] @ points.T
+    for i in range(10):
+        others = sorted((-s, j) for j, s in enumerate(products[i].tolist()) if j != i)[:5]
+        assert [(-s, j) for s, j in zip(scores[q == i].tolist(), ids[q == i].tolist())] == others
+    assert leaves < 0.5 * (tree.left < 0).sum()
 
 
 def test_top_k_of_nothing_and_large_values(spark):
@@ -76,6 +107,10 @@ def test_top_k_of_nothing_and_large_values(spark):
     rows = [(0, [1e5, 1.0]), (1, [1e5, -1.0]), (2, [1e5, -2.0])]
     got = kdtree.top_k(kdtree.integer_vectors(spark.createDataFrame(rows, schema)), F.col("vec_id") == 0).orderBy("rank").collect()
     assert [(r.vec_id, r.score) for r in got] == [(1, 25600000**2 - 65536), (2, 25600000**2 - 131072)]
+    # Two rows of another id that is the same.
+    rows = [(0, [1.0]), (1, [2.0]), (1, [3.0]), (2, [1.0])]
+    got = kdtree.top_k(kdtree.integer_vectors(spark.createDataFrame(rows, schema)), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 3 * 65536), (1, 2 * 65536), (2, 65536)]
 
 
 def test_license_sentences_have_signs():
