@@ -122,25 +122,28 @@ def apply_batch(
 ) -> dict[str, int]:
     """Bring a stored delivery through silver, gold and serving. Applied deliveries are skipped.
 
-    A delivery that failed on its way is finished first: what it has staged is right only for the tables as they were.
+    All tables change in one commit, together with the record of the run's success; a run that fails leaves only its
+    log and its staging tables. A delivery that failed is finished first: what it has staged is right only for the tables as they were.
     """
-    if is_applied(store, batch_id):
-        return {}
-    for other in unfinished(store):
-        if other != batch_id:
-            apply_batch(store, other, batch_time)
-    run = Run(store, batch_id, batch_time)
-    _log_run(run, "running")
-    try:
-        _transform(run)
-    except Exception:
-        _log_run(run, "failed")
-        _log_timings(run)
-        raise
-    with ThreadPoolExecutor(2) as pool:
-        logged = [pool.submit(_log_run, run, "success"), pool.submit(_log_timings, run)]
-    logged[0].result()
-    store.clear_staging(batch_id)
+    with store.writing():
+        if is_applied(store, batch_id):
+            return {}
+        for other in unfinished(store):
+            if other != batch_id:
+                apply_batch(store, other, batch_time)
+        run = Run(store, batch_id, batch_time)
+        _log_run(run, "running")
+        try:
+            with store.transaction() as run.store:
+                _transform(run)
+                _log_run(run, "success")
+                _log_timings(run)
+        except Exception:
+            run.store = store
+            _log_run(run, "failed")
+            _log_timings(run)
+            raise
+        store.clear_staging(batch_id)
     return run.counts
 
 
@@ -335,7 +338,7 @@ def _log_run(run: Run, status: str) -> None:
     rows = run.store.spark.createDataFrame(
         [tuple(record[c] for c in names)], type(schema)([schema[c] for c in names])
     )
-    run.store.append(PIPELINE_RUNS, rows.withColumn("execution_date", run.batch_time(F.col("batch_id"))))
+    run.store.append(PIPELINE_RUNS, rows.withColumn("execution_date", run.batch_time(F.col("batch_id"))), [(run.batch_id,)])
 
 
 def _log_timings(run: Run) -> None:
@@ -358,6 +361,11 @@ def _log_timings(run: Run) -> None:
 
 def replay(store: Store, feed: DataFrame, batch_time: Callable[[Column], Column] = delivery_time) -> list[str]:
     """Store all new deliveries of `feed` in one pass, then apply what is not applied yet in order."""
+    with store.writing():
+        return _replayed(store, feed, batch_time)
+
+
+def _replayed(store: Store, feed: DataFrame, batch_time: Callable[[Column], Column]) -> list[str]:
     bronze.ingest(store, feed, now())
     # One look at the logs for all of them; those applied before cost nothing further.
     done = store.read(PIPELINE_RUNS).where("status = 'success'").select("batch_id", F.lit(True).alias("applied")).distinct()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lamina.plans.silver import RAW_NAMES
 from lamina.schemas import BATCH_LEDGER, STG_EVENTS
-from lamina.sources.store import Store, arranged
+from lamina.sources.store import Store
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -55,29 +55,30 @@ def _unlike(counts: DataFrame, other: DataFrame) -> list[str]:
 def ingest(store: Store, feed: DataFrame, at: datetime) -> None:
     """Store every delivery in `feed` that is not stored yet. A delivery comes whole or not at all.
 
-    It counts as stored once it is in the ledger, which is written last, when its stored rows are as many as came; what
-    a lost run left of it is overwritten. A delivery in the ledger that comes again with another number of rows is refused,
+    It counts as stored once it is in the ledger, which is committed together with its rows, when these are as many as came. A delivery in the ledger that comes again with another number of rows is refused,
     as its surplus would be lost without a word.
     """
-    known, raw = stored_batches(store), parsed(feed).select(*RAW_NAMES)
     attempt = f"ingest-{uuid.uuid4().hex}"
     try:
-        came = store.staged(attempt, "came", raw.groupBy("batch_id").agg(F.count("*").alias("row_count")))
-        split = _unlike(came.join(known, "batch_id", "left_semi"), known)
-        if split:
-            raise SplitDelivery(", ".join(split))
-        fresh = new_rows(came, known)
-        names = [(r["batch_id"],) for r in fresh.select("batch_id").collect()]
-        if not names:
-            return
-        rows = new_rows(raw, known).withColumn("_ingested_at", F.lit(at)).select(*STG_EVENTS.column_names)
-        arranged(rows, STG_EVENTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            *STG_EVENTS.partition_by
-        ).parquet(store.path(STG_EVENTS))
-        stored = store.read(STG_EVENTS, names).groupBy("batch_id").agg(F.count("*").alias("row_count"))
-        incomplete = _unlike(fresh, stored)
-        if incomplete:
-            raise IncompleteDelivery(", ".join(incomplete))
-        store.append(BATCH_LEDGER, fresh.withColumn("_stored_at", F.lit(at)))
+        with store.transaction() as inner:
+            _ingest(inner, attempt, parsed(feed).select(*RAW_NAMES), at)
     finally:
         store.clear_staging(attempt)
+
+
+def _ingest(store: Store, attempt: str, raw: DataFrame, at: datetime) -> None:
+    known = stored_batches(store)
+    came = store.staged(attempt, "came", raw.groupBy("batch_id").agg(F.count("*").alias("row_count")))
+    split = _unlike(came.join(known, "batch_id", "left_semi"), known)
+    if split:
+        raise SplitDelivery(", ".join(split))
+    fresh = new_rows(came, known)
+    names = [(r["batch_id"],) for r in fresh.select("batch_id").collect()]
+    if not names:
+        return
+    store.publish(STG_EVENTS, new_rows(raw, known).withColumn("_ingested_at", F.lit(at)), names, names)
+    stored = store.read(STG_EVENTS, names).groupBy("batch_id").agg(F.count("*").alias("row_count"))
+    incomplete = _unlike(fresh, stored)
+    if incomplete:
+        raise IncompleteDelivery(", ".join(incomplete))
+    store.append(BATCH_LEDGER, fresh.withColumn("_stored_at", F.lit(at)))

@@ -77,7 +77,8 @@ def check_delivery(store: Store, run_id: str, days: list[tuple], hour: int | Non
         *VALIDATION_LOG.column_names
     ).collect()
     log = store.spark.createDataFrame(found, VALIDATION_LOG.schema)
-    store.append(VALIDATION_LOG, log)
+    # Stays in the log even where the difference found stops a commit.
+    store.settled.append(VALIDATION_LOG, log)
     problems = [f"{r['event_date']} {r['event_hour']:02d}h totals" for r in found if r["overall_status"] == "fail"]
     differing = delivery.mismatches(hourly, served_hourly).select("event_date", "mismatch").unionByName(
         delivery.daily_mismatches(daily, served_daily).select("event_date", "mismatch")

@@ -1,30 +1,36 @@
 """Tables as partitioned Parquet under one root folder.
 
-Updates follow one rule: a result is first written to a staging table in the
-shared folder, then published from there by overwriting the partitions it covers.
-Publishing never reads what it replaces, and repeating it changes nothing, so a
-run that was lost half-way is simply run again: steps whose staging table is
-complete are published from it, the others are computed anew. One writer at a time.
+Every write makes new folders, `<partition>/v=<version>`; nothing that readers see is overwritten. Which versions are the table stands
+in the manifest, and a commit moves all tables of a transaction on by one rename: readers see the state before or the
+state after, whatever step a writer was lost at. Versions that were replaced are deleted some commits later. One writer at
+a time, by a lease; a writer that lost its lease can't commit.
+
+Results that several steps need are written to staging tables in the shared folder, which a repeated run reuses.
 """
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import re
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+import threading
+import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lamina.operators import keep_latest
 from lamina.schemas import TABLES, TableSpec
 from lamina.session import shared_folder
+from lamina.sources.manifest import Change, Files, Head, Lease, Live, Manifest
 
 # A partition, or all partitions below a prefix: values of the first partition columns.
 Scope = tuple
-# Questions to the file system at the same time.
-_ASKERS = 16
+# Name of the folder level below the partitions.
+VERSION = "v"
 _BUCKETS = "_user_buckets-"
 _PLAIN = re.compile(r"[\w.-]+")
 
@@ -34,29 +40,30 @@ class Store:
     Store is opened on `root`; choose it so that a bucket of users fits a task, some
     hundred thousand each."""
 
-    def __init__(self, spark: SparkSession, root: str, user_buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, user_buckets: int | None = None, lease_seconds: float = 120.0):
         self.spark = spark
         self.root = root.rstrip("/")
-        jvm = spark._jvm
-        # Looked up once, as every step of such a name is a call to the JVM.
-        self._new_path = jvm.org.apache.hadoop.fs.Path
-        self._stat2paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths
-        self._names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        self._hadoop = spark._jsc.hadoopConfiguration()
+        self._names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        self._files = Files(spark)
+        self._manifest = Manifest(self._files, f"{self.root}/_manifest")
+        self._lease = Lease(self._files, f"{self.root}/_writer", lease_seconds)
+        # Set in a transaction or a snapshot.
+        self._base: Head | None = None
+        self._pending: dict[str, Change] | None = None
+        self._outer: Store = self
+        self._lock = threading.Lock()
         owner = hashlib.sha256(self.root.encode()).hexdigest()[:16]
         self.staging_root = f"{shared_folder(spark)}/lamina/staging/{owner}"
         self.user_buckets = self._settled_buckets(user_buckets)
 
     def _settled_buckets(self, wanted: int | None) -> int:
         """The number kept in a folder name, as users would be found in other buckets under another one."""
-        fs, root = self._open(self.root)
-        names = [p.getName() for p in self._stat2paths(fs.listStatus(root))] if fs.exists(root) else []
-        kept = [int(n.removeprefix(_BUCKETS)) for n in names if n.startswith(_BUCKETS)]
+        kept = [int(n.removeprefix(_BUCKETS)) for n in self._files.names(self.root) if n.startswith(_BUCKETS)]
         if kept and wanted not in (None, kept[0]):
             raise ValueError(f"{self.root} has {kept[0]} user buckets, not {wanted}")
         if not kept:
             kept = [wanted or 16]
-            fs.mkdirs(self._new_path(f"{self.root}/{_BUCKETS}{kept[0]}"))
+            self._files.make_folder(f"{self.root}/{_BUCKETS}{kept[0]}")
         return kept[0]
 
     # -- folders ---------------------------------------------------------------
@@ -67,6 +74,9 @@ class Store:
     def scope_path(self, spec: TableSpec, scope: Scope) -> str:
         return "/".join([self.path(spec), *self._folders(spec, scope)])
 
+    def _part(self, spec: TableSpec, scope: Scope) -> str:
+        return "/".join(self._folders(spec, scope))
+
     def _folders(self, spec: TableSpec, values: Iterable) -> list[str]:
         return [self._folder(column, value) for column, value in zip(spec.partition_by, values)]
 
@@ -76,59 +86,98 @@ class Store:
             return f"{column}={text}"
         return self._names.getPartitionPathString(column, text)
 
-    def _open(self, path: str):
-        """The path and its file system; tables and staging may lie on different ones."""
-        handle = self._new_path(path)
-        return handle.getFileSystem(self._hadoop), handle
-
     def exists(self, path: str) -> bool:
-        fs, handle = self._open(path)
-        return fs.exists(handle)
+        return self._files.exists(path)
 
     def drop_folder(self, path: str) -> None:
-        fs, handle = self._open(path)
-        fs.delete(handle, True)
-
-    def _leaves(self, path: str, depth: int) -> list[str]:
-        """Partition folders `depth` levels below `path`."""
-        if depth == 0:
-            return [path] if self.exists(path) else []
-        fs, handle = self._open(path)
-        if not fs.exists(handle):
-            return []
-        names = [p.getName() for p in self._stat2paths(fs.listStatus(handle))]
-        below = [f"{path}/{name}" for name in names if "=" in name and name[0] not in "._"]
-        return below if depth == 1 else [leaf for folder in below for leaf in self._leaves(folder, depth - 1)]
+        self._files.delete(path)
+
+    # -- commits ---------------------------------------------------------------
+
+    def writing(self) -> Lease:
+        """To be the one writer for some steps; raises if there is another."""
+        return self._lease
+
+    @contextmanager
+    def transaction(self) -> Iterator["Store"]:
+        """A store whose reads see what it has written, and nobody else does, until all of it is committed at the end.
+
+        An error leaves everything as it was. Within a transaction there is no other one.
+        """
+        with self.writing():
+            inner = copy.copy(self)
+            inner._base, inner._pending, inner._lock = self._manifest.head(), {}, threading.Lock()
+            try:
+                yield inner
+                inner._commit()
+            except BaseException:
+                inner._forget()
+                raise
+
+    def _commit(self) -> None:
+        if self._pending:
+            self._manifest.commit(self._base, self._pending, self._lease.assert_held)
+            for table_id, part, version in self._manifest.expired():
+                self.drop_folder(self._version_path(table_id, part, version))
+
+    def _version_path(self, table_id: str, part: str, version: str) -> str:
+        return "/".join(filter(None, [self.root, *table_id.split("."), part, f"{VERSION}={version}"]))
+
+    def _forget(self) -> None:
+        """Delete what a transaction wrote before it failed; what a lost writer leaves is never seen, only takes room."""
+        for table_id, change in self._pending.items():
+            for parts in (change.replaced, change.added):
+                for part, versions in parts.items():
+                    for version in versions:
+                        self.drop_folder(self._version_path(table_id, part, version))
+
+    @property
+    def settled(self) -> "Store":
+        """The store outside the transaction: for logs that stay whatever becomes of it."""
+        return self._outer
+
+    def snapshot(self) -> "Store":
+        """A store for reading all tables as the last commit left them, whatever is committed later."""
+        pinned = copy.copy(self)
+        pinned._base = self._manifest.head()
+        return pinned
+
+    def _live(self, spec: TableSpec) -> Live:
+        live = self._manifest.live(self._base or self._manifest.head(), spec.table_id)
+        pending = (self._pending or {}).get(spec.table_id)
+        return pending.over(live) if pending else live
+
+    def _within(self, spec: TableSpec, scopes: Iterable[Scope]) -> Live:
+        live, found = self._live(spec), {}
+        for scope in scopes:
+            part = self._part(spec, scope)
+            if len(scope) == len(spec.partition_by):
+                found.update({part: live[part]} if part in live else {})
+            else:
+                found.update({p: v for p, v in live.items() if not part or p.startswith(part + "/")})
+        return found
 
     def first_level(self, spec: TableSpec) -> list[str]:
-        """Values of the first partition column, from the folder names."""
-        names = [leaf.rsplit("/", 1)[1] for leaf in self._leaves(self.path(spec), 1)]
-        return [unquote(name.split("=", 1)[1]) for name in names]
+        """Values of the first partition column."""
+        return list(dict.fromkeys(unquote(part.split("/", 1)[0].split("=", 1)[1]) for part in self._live(spec)))
 
     # -- reading ---------------------------------------------------------------
 
     def read(self, spec: TableSpec, scopes: Iterable[Scope] | None = None) -> DataFrame:
         """The table, or only the partitions of `scopes`, whose folders alone are then listed."""
         root = self.path(spec)
-        if scopes is None:
-            paths = [root] if self.exists(root) else []
-        else:
-            paths = self._existing(spec, list(scopes))
+        live = self._live(spec) if scopes is None else self._within(spec, scopes)
+        paths = [self._version_path(spec.table_id, part, v) for part, versions in live.items() for v in versions]
         if not paths:
             return self.spark.createDataFrame([], spec.schema)
         reader = self.spark.read.schema(spec.schema).option("basePath", root)
         return reader.parquet(*paths).select(*spec.column_names)
 
-    def _existing(self, spec: TableSpec, scopes: list[Scope]) -> list[str]:
-        wanted = [self.scope_path(spec, s) for s in scopes]
-        with ThreadPoolExecutor(_ASKERS) as pool:
-            return [path for path, there in zip(wanted, pool.map(self.exists, wanted)) if there]
-
     def read_latest(self, spec: TableSpec) -> DataFrame:
         """Current rows of a latest-wins table that is written by appending."""
         return keep_latest(self.read(spec), spec.keys, spec.version)
 
-    # -- writing ---------------------------------------------------------------
+    # -- staging ---------------------------------------------------------------
 
     def staged(self, batch_id: str, step: str, df: DataFrame) -> DataFrame:
         """`df` through a staging table, which is reused if an earlier attempt completed it."""
@@ -142,55 +191,98 @@ class Store:
 
     def staged_batches(self) -> list[str]:
         """What has a staging folder."""
-        names = [leaf.rsplit("/", 1)[1] for leaf in self._leaves(self.staging_root, 1)]
-        return [unquote(name.split("=", 1)[1]) for name in names]
+        return [unquote(name.split("=", 1)[1]) for name in self._files.names(self.staging_root) if "=" in name]
 
     def clear_staging(self, batch_id: str) -> None:
         self.drop_folder(self._staging(batch_id))
 
+    # -- writing ---------------------------------------------------------------
+
     def publish(
         self, spec: TableSpec, staged: DataFrame, scopes: Iterable[Scope], partitions: Iterable[Scope] | None = None
     ) -> None:
         """Make `staged` the whole content of `scopes`; partitions it has no rows for disappear.
 
-        `partitions` are the ones `staged` has rows for, where the caller knows them.
+        `partitions` are the ones `staged` has rows for, where the caller knows them. Outside a transaction it is one of its own.
         """
+        if self._pending is None:
+            with self.transaction() as inner:
+                inner._publish(spec, staged, scopes, partitions)
+        else:
+            self._publish(spec, staged, scopes, partitions)
+
+    def _publish(self, spec: TableSpec, staged: DataFrame, scopes: Iterable[Scope], partitions: Iterable[Scope] | None) -> None:
         if partitions is None:
             partitions = map(tuple, staged.select(*spec.partition_by).distinct().collect())
-        written = {self.scope_path(spec, p) for p in partitions}
-        if written:
-            arranged(staged.select(*spec.column_names), spec, len(written)).write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).partitionBy(*spec.partition_by).parquet(self.path(spec))
-        for scope in scopes:
-            for leaf in self._leaves(self.scope_path(spec, scope), len(spec.partition_by) - len(scope)):
-                if leaf not in written:
-                    self.drop_folder(leaf)
-
-    def append(self, spec: TableSpec, df: DataFrame) -> None:
-        """Add rows to a log table."""
-        writer = df.select(*spec.column_names).coalesce(1).write.mode("append")
-        (writer.partitionBy(*spec.partition_by) if spec.partition_by else writer).parquet(self.path(spec))
+        parts = [self._part(spec, p) for p in partitions]
+        version = self._write(spec, arranged(staged.select(*spec.column_names), spec, len(parts))) if parts else None
+        gone = {part: [] for part in self._within(spec, scopes)}
+        self._note(spec, Change({**gone, **{part: [version] for part in parts}}, {}))
+
+    def append(self, spec: TableSpec, df: DataFrame, partitions: Iterable[Scope] | None = None) -> None:
+        """Add rows to a log table; `partitions` as in `publish`."""
+        if self._pending is None:
+            with self.transaction() as inner:
+                inner.append(spec, df, partitions)
+            return
+        if not spec.partition_by:
+            partitions = [()]
+        elif partitions is None:
+            partitions = map(tuple, df.select(*spec.partition_by).distinct().collect())
+        version = self._write(spec, df.select(*spec.column_names))
+        # Without rows there is no folder.
+        parts = [part for part in (self._part(spec, p) for p in partitions) if self.exists(self._version_path(spec.table_id, part, version))]
+        self._note(spec, Change({}, {part: [version] for part in parts}))
+
+    def _write(self, spec: TableSpec, rows: DataFrame) -> str:
+        """Returns the name of the new version."""
+        version = f"c{uuid.uuid4().hex[:16]}"
+        rows.withColumn(VERSION, F.lit(version)).write.mode("append").partitionBy(*spec.partition_by, VERSION).parquet(self.path(spec))
+        return version
+
+    def _note(self, spec: TableSpec, change: Change) -> None:
+        with self._lock:
+            known = self._pending.get(spec.table_id, Change({}, {}))
+            added = {p: v for p, v in known.added.items() if p not in change.replaced}
+            for part, versions in change.added.items():
+                added[part] = [*added.get(part, []), *versions]
+            self._pending[spec.table_id] = Change({**known.replaced, **change.replaced}, added)
 
     # -- SQL access ------------------------------------------------------------
 
     def register_tables(self, prefix: str = "") -> None:
-        """Databases and tables over the folders, so that SQL users see them; safe to repeat."""
+        """Databases and views of all tables as of the last commit, so that SQL users see them; safe to repeat, and to be repeated to
+        see later commits. A view reads the files through a table `<name>__files`, which has the version as a further partition."""
+        now = self.snapshot()
         for layer in dict.fromkeys(t.layer for t in TABLES):
             self.spark.sql(f"create database if not exists {prefix}{layer}")
         for t in TABLES:
-            name = f"{prefix}{t.layer}.{t.name}"
-            fs, folder = self._open(self.path(t))
-            fs.mkdirs(folder)
+            view = f"{prefix}{t.layer}.{t.name}"
+            name = f"{view}__files"
+            self._files.make_folder(self.path(t))
             columns = ", ".join(f"{c} {dtype.simpleString()} comment '{_quoted(text)}'" for c, dtype, text in t.columns)
-            parts = f"partitioned by ({', '.join(t.partition_by)})" if t.partition_by else ""
+            keys = [*t.partition_by, VERSION]
             self.spark.sql(
-                f"create table if not exists {name} ({columns}) using parquet {parts} "
-                f"location '{self.path(t)}' comment '{_quoted(t.description)}'"
+                f"create table if not exists {name} ({columns}, {VERSION} string comment 'Commit that wrote the row') using parquet "
+                f"partitioned by ({', '.join(keys)}) location '{self.path(t)}' comment '{_quoted(t.description)}'"
             )
-            if t.partition_by:
-                self.spark.sql(f"msck repair table {name} sync partitions")
+            wanted = {(*p.split("/"), f"{VERSION}={v}") if p else (f"{VERSION}={v}",) for p, versions in now._live(t).items() for v in versions}
+            known = {tuple(r[0].split("/")) for r in self.spark.sql(f"show partitions {name}").collect()}
+            for verb, parts in (("drop if exists", known - wanted), ("add if not exists", wanted - known)):
+                parts, joint = sorted(parts), ", " if verb.startswith("drop") else " "
+                for at in range(0, len(parts), 200):
+                    clauses = joint.join(f"partition ({', '.join(map(_clause, p))})" for p in parts[at : at + 200])
+                    self.spark.sql(f"alter table {name} {verb} {clauses}")
             self.spark.catalog.refreshTable(name)
+            described = ", ".join(f"{c} comment '{_quoted(text)}'" for c, _, text in t.columns)
+            self.spark.sql(
+                f"create or replace view {view} ({described}) comment '{_quoted(t.description)}' as select {', '.join(t.column_names)} from {name}"
+            )
+
+
+def _clause(folder: str) -> str:
+    column, value = folder.split("=", 1)
+    return f"{column}='{_quoted(unquote(value))}'"
 
 
 def arranged(df: DataFrame, spec: TableSpec, partitions: int | None = None) -> DataFrame:
