@@ -70,6 +70,8 @@ _TOUCHED_DATES = f"""(select distinct event_date from {_facts_where(f"batch_id <
   where batch_id = '{BATCH}')"""
 
 _DAY = "substr(batch_id, 7, 10)"
+_DAY_ID = f"substr(batch_id, 1, {len(BATCH_DAY)})"
+_SERVED = _facts_where(f"substr(batch_id, 1, {len(BATCH_DAY)}) <= '{BATCH_DAY}'")
 _WEEK = "strftime(date_trunc('week', strptime(substr(batch_id, 7, 10), '%Y-%m-%d')), '%Y-%m-%d')"
 
 _DIM_TEMPLATE = """
@@ -319,6 +321,28 @@ union all select 'gold', 'agg_events_hourly', 'date', count(*) from gold_hourly
 union all select 'gold', 'rpt_daily_summary', 'date', count(*) from gold_daily where event_date = date '{SUMMARY_DATE}'
 union all select 'gold', 'agg_events_hourly_history', 'total', count(*) from snap_hourly
 union all select 'gold', 'rpt_daily_summary_history', 'total', count(*) from snap_daily""", _DIM_CTE, _GOLD, _SNAPSHOTS),
+        "redelivery_verdicts": _query(f"""
+select batch_id, case when batch_id > '{BATCH_DAY}' then 'new' when day % 5 = 0 and n_api > 0 then 'split'
+  when day % 3 = 0 and n_paid > 0 then 'changed' else 'same' end as verdict
+from (select {_DAY_ID} as batch_id, any_value(day(strptime({_DAY}, '%Y-%m-%d'))) as day, count(*) filter (source = 'api') as n_api,
+        count(*) filter (lower(category) = 'purchase') as n_paid, count(*) as n
+      from stg group by {_DAY_ID}) d where not (day % 5 = 0 and n_api = n)"""),
+        "unreadable_rows_aside": _query(f"""
+select {_DAY_ID} as batch_id, concat_ws(',', case when event_id = '' then 'empty_event_id' end,
+    case when user_name = '' then 'empty_user_name' end, case when right(event_id, 2) = '11' then 'unreadable_event_time' end,
+    case when right(event_id, 2) in ('11', '22') then 'unreadable_value' end) as rejection_reason,
+  count(*) as row_count, count(*) filter (right(event_id, 2) in ('11', '22')) as with_text
+from stg group by 1, 2"""),
+        "publish_interrupted": _query(f"""
+select step, table_id, row_count, events from (
+  select g.name || '_' as name, row_count, events, was from (
+    select 'hourly' as name, count(*) as row_count, cast(sum(event_count) as bigint) as events, true as was from ({hourly(_SERVED)}) h
+    union all select 'daily', count(*), cast(sum(total_events) as bigint), true from ({daily(_SERVED)}) d
+    union all select 'hourly', count(*), cast(sum(event_count) as bigint), false from ({hourly('fact')}) h
+    union all select 'daily', count(*), cast(sum(total_events) as bigint), false from ({daily('fact')}) d) g) figures
+join (values ('gold.agg_events_hourly', 'hourly_'), ('gold.rpt_daily_summary', 'daily_'), ('serving.agg_events_hourly', 'hourly_'),
+  ('serving.rpt_daily_summary', 'daily_')) t(table_id, name) using (name)
+join (select cast(unnest(range(6)) as integer) as step) s on was = (step < 5)"""),
         "delivery_validation": _validation(),
         "delivery_mismatches": _query(_mismatches(
             "gold_hourly", "target_hourly", hourly_keys, "event_count revenue_events total_value"), _SERVING_CTE),

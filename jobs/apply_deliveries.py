@@ -4,7 +4,7 @@
                                           [--stream <checkpoint folder>] [--user-buckets N] [--register PREFIX]
 
 The source holds rows of event_id, user_name, category, source, value, event_time
-(timestamp, or text as 2024-01-31 23:59:59) and batch_id. Without --stream all new deliveries are applied once;
+(timestamp, or text as 2024-01-31 23:59:59) and batch_id. Rows whose time or value can't be read are set aside. Without --stream all new deliveries are applied once;
 with it only files that arrived since the last call are read.
 """
 
@@ -24,14 +24,16 @@ from lamina.session import build_session  # noqa: E402
 from lamina.sources.store import Store  # noqa: E402
 from lamina.streaming import feed  # noqa: E402
 
-TEXT_TIMES = {"json", "csv"}
+TEXT = {"json", "csv"}
 
 
 def raw_schema(file_format: str) -> T.StructType:
     def stored_as(name: str, dtype: T.DataType) -> T.DataType:
-        return T.StringType() if name == "event_time" and file_format in TEXT_TIMES else dtype
+        return T.StringType() if name in ("event_time", "value") and file_format in TEXT else dtype
 
-    return T.StructType([T.StructField(name, stored_as(name, dtype)) for name, dtype, _ in RAW_COLUMNS])
+    fields = [T.StructField(name, stored_as(name, dtype)) for name, dtype, _ in RAW_COLUMNS]
+    # Where the reader puts a line it can't read; it is set aside with its delivery, if it names one.
+    return T.StructType(fields + [T.StructField("_corrupt_record", T.StringType())] * (file_format in TEXT))
 
 
 def run(spark, arguments: argparse.Namespace) -> None:

@@ -15,17 +15,16 @@ from concurrent.futures import Future, ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime
-from functools import reduce
 
 import pyspark
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lamina.functions import user_bucket
 from lamina.plans import bronze, catalog, delivery, gold, scd2, serve, silver
 from lamina.schemas import (
-    AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, BENCHMARK_LOG, COLUMN_REGISTRY, DATA_LINEAGE, DIM_USERS,
+    AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, BENCHMARK_LOG, COLUMN_REGISTRY, DATA_LINEAGE, DIM_USERS, EVENT_KEYS,
     EXPORT_DAILY, EXPORT_HOURLY, FACT_EVENTS, PIPELINE_RUNS, QUARANTINE_EVENTS, RPT_DAILY_SUMMARY,
     RPT_DAILY_SUMMARY_HISTORY, SERVING_DAILY, SERVING_HOURLY, STG_EVENTS, TABLE_REGISTRY, USER_ACTIVITY,
     TableSpec,
@@ -34,6 +33,8 @@ from lamina.session import now
 from lamina.sources.event_feed import delivery_time
 from lamina.sources.store import Store
 
+# Versions of a bucket of keys before it is written as a whole.
+KEY_VERSIONS = 8
 
 
 def place(batch_time: Callable[[Column], Column], batch_id: Column) -> Column:
@@ -79,11 +80,23 @@ class Run:
     def staged(self, step: str, df: DataFrame) -> DataFrame:
         return self.store.staged(self.batch_id, step, df)
 
-    def write_whole(self, spec: TableSpec, step: str, df: DataFrame, scopes: list[tuple]) -> int:
-        """Returns how many rows were written."""
-        staged = self.staged(step, df)
-        self.store.publish(spec, staged, scopes)
-        return staged.count()
+    def counted(
+        self, step: str, rows: DataFrame, counts: dict[str, Column], rest: Callable[[DataFrame], DataFrame] = lambda rows: rows
+    ) -> tuple[DataFrame, dict[str, int]]:
+        """`rest` of `rows` staged, and `counts` over `rows`, which are taken while it is written; only where an earlier
+        attempt has written it they are counted anew."""
+        asked = [count.alias(name) for name, count in counts.items()]
+        if self.store.is_staged(self.batch_id, step):
+            return self.staged(step, rest(rows)), rows.agg(*asked).first().asDict()
+        seen = Observation()
+        return self.staged(step, rest(rows.observe(seen, *asked))), seen.get
+
+    def write_own(self, spec: TableSpec, step: str, rows: DataFrame, counts: dict[str, Column], rest=lambda rows: rows) -> dict[str, int]:
+        """Make `rest` of `rows` the delivery's own partition of `spec`; `n` among the counts is the number of rows it has there."""
+        staged, found = self.counted(step, rows, counts, rest)
+        own = (self.batch_id,)
+        self.store.publish(spec, staged, [own], [own] if found["n"] else [])
+        return found
 
 
 def setup(store: Store) -> None:
@@ -167,21 +180,15 @@ def _transform(run: Run) -> None:
 
 
 def _quarantine(run: Run) -> None:
-    """Set rejected rows aside and prove that no row of the delivery is lost."""
+    """Set rejected rows aside."""
     store, scope = run.store, [(run.batch_id,)]
     with run.step("quarantine_rows", "silver") as record:
-        raw = store.read(STG_EVENTS, scope)
-        rejected = silver.rejected_rows(raw).withColumn("_quarantined_at", F.lit(run.at))
-        run.write_whole(QUARANTINE_EVENTS, "rejected", rejected, scope)
-        parts = {"bronze": raw, "valid": silver.clean_events(raw), "aside": store.read(QUARANTINE_EVENTS, scope)}
-        counted = reduce(DataFrame.unionByName, [
-            df.agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n") for name, df in parts.items()
-        ])
-        n = {row["part"]: row["n"] for row in counted.collect()}
-        if n["bronze"] != n["valid"] + n["aside"]:
-            raise RowsLost(f"{run.batch_id}: {n['bronze']} rows, {n['valid']} valid, {n['aside']} set aside")
-        run.counts.update(bronze_rows=n["bronze"], quarantined_rows=n["aside"])
-        record.update(rows_in=n["bronze"], rows_out=n["aside"])
+        reason = F.col("rejection_reason")
+        counts = {"bronze": F.count(F.lit(1)), "n": F.count_if(reason != "")}
+        n = run.write_own(QUARANTINE_EVENTS, "rejected", silver.judged(store.read(STG_EVENTS, scope)), counts, lambda rows: rows.where(
+            reason != "").withColumn("_quarantined_at", F.lit(run.at)))
+        run.counts.update(bronze_rows=n["bronze"], quarantined_rows=n["n"])
+        record.update(rows_in=n["bronze"], rows_out=n["n"])
 
 
 def _apply_facts(run: Run, accounted: Future) -> tuple[list[date], DataFrame]:
@@ -192,13 +199,12 @@ def _apply_facts(run: Run, accounted: Future) -> tuple[list[date], DataFrame]:
     """
     store, batch_id = run.store, run.batch_id
     with run.step("transform_silver", "silver") as record:
-        incoming = run.staged(
-            "incoming", silver.current_facts(silver.clean_events(store.read(STG_EVENTS, [(batch_id,)])))
+        incoming, seen = run.counted(
+            "incoming", silver.clean_events(store.read(STG_EVENTS, [(batch_id,)])), {"valid": F.count(F.lit(1))}, silver.current_facts
         )
-        # The one look at the whole table: narrow columns, joined with the delivery's keys.
-        # The staged keys have a known size, so Spark broadcasts them or filters by them as fits.
-        elsewhere = store.read(FACT_EVENTS).select("event_id", "event_date", "batch_id").where(F.col("batch_id") != batch_id)
-        found = elsewhere.join(incoming.select("event_id"), "event_id", "left_semi")
+        # Only the buckets of keys that the delivery holds are looked up.
+        own_buckets = [(r[0],) for r in incoming.select(user_bucket(F.col("event_id"), store.user_buckets)).distinct().collect()]
+        found = _current_places(run, _event_keys(store, own_buckets).join(incoming.select("event_id"), "event_id", "left_semi"))
         hits = run.staged("hits", found.withColumn("newer", run.comes_after(F.col("batch_id"))))
         hit_parts = hits.select("event_date", "batch_id", "newer").distinct().collect()
         older = [(r["event_date"], r["batch_id"]) for r in hit_parts if not r["newer"]]
@@ -223,17 +229,58 @@ def _apply_facts(run: Run, accounted: Future) -> tuple[list[date], DataFrame]:
         facts = run.staged("facts", content)
         activity = run.staged("activity", activity.select(*USER_ACTIVITY.column_names))
         accounted.result()
+        came, aside = run.counts["bronze_rows"], run.counts["quarantined_rows"]
+        if came != seen["valid"] + aside:
+            raise RowsLost(f"{batch_id}: {came} rows, {seen['valid']} valid, {aside} set aside")
         sizes = {
             (r["event_date"], r["batch_id"]): r["n"]
             for r in facts.groupBy("event_date", "batch_id").agg(F.count("*").alias("n")).collect()
         }
         own = [p for p in sizes if p[1] == batch_id]
         store.publish(FACT_EVENTS, facts, [*own, *older], sizes)
+        _note_keys(run, winners.select("event_id", "event_date", "batch_id"), own_buckets)
         run.counts["silver_rows"] = sum(sizes[p] for p in own)
         record.update(rows_in=run.counts["bronze_rows"], rows_out=run.counts["silver_rows"])
     return sorted({p[0] for p in [*own, *older]}), activity
 
 
+def _event_keys(store: Store, buckets: list[tuple]) -> DataFrame:
+    """(event_id, event_date, batch_id) of the events in the buckets; a store without the index has it made out of its facts."""
+    if store.partitions(EVENT_KEYS) or not store.partitions(FACT_EVENTS):
+        return store.read(EVENT_KEYS, buckets).select("event_id", "event_date", "batch_id")
+    return store.read(FACT_EVENTS).select("event_id", "event_date", "batch_id")
+
+
+def _current_places(run: Run, keys: DataFrame) -> DataFrame:
+    """The last entry of each event: that of the latest delivery."""
+    last = F.max_by(F.struct("event_date", "batch_id"), place(run.batch_time, F.col("batch_id")))
+    return keys.groupBy("event_id").agg(last.alias("at")).select("event_id", "at.event_date", "at.batch_id")
+
+
+def _note_keys(run: Run, entries: DataFrame, buckets: list[tuple]) -> None:
+    """Add the delivery's entries to their buckets; one with many versions is written as a whole, without what was overridden."""
+    store = run.store
+
+    def bucketed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("key_bucket", user_bucket(F.col("event_id"), store.user_buckets))
+
+    if not store.partitions(EVENT_KEYS) and len(store.partitions(FACT_EVENTS)) > 0:
+        # The facts as they are now hold the delivery's events too.
+        store.publish(EVENT_KEYS, run.staged("keys", bucketed(store.read(FACT_EVENTS).select("event_id", "event_date", "batch_id"))), [()])
+        return
+    versions = store.partitions(EVENT_KEYS)
+    full = [b for b in buckets if len(versions.get(b, ())) >= KEY_VERSIONS]
+    added = run.staged("keys", bucketed(entries))
+    parts = [(r[0],) for r in added.select("key_bucket").distinct().collect()]
+    few = [b for b in parts if b not in full]
+    if few:
+        store.append(EVENT_KEYS, added.where(F.col("key_bucket").isin([b for b, in few])), few)
+    if full:
+        both = store.read(EVENT_KEYS, full).unionByName(added.where(F.col("key_bucket").isin([b for b, in full])))
+        whole = run.staged("whole_keys", bucketed(_current_places(run, both)))
+        store.publish(EVENT_KEYS, whole, full, full)
+
+
 def _apply_users(run: Run, activity: DataFrame) -> None:
     """Advance the versions of the delivery's users; rebuild those whose past was corrected.
 
@@ -300,7 +347,7 @@ def _refresh(
         before = store.read(table, scopes).withColumn("_snapshot_ts", F.lit(run.at)).withColumn(
             "_snapshot_batch", F.lit(run.batch_id)
         )
-        kept = run.write_whole(history, f"snapshot_{label}", before, [(run.batch_id,)])
+        kept = run.write_own(history, f"snapshot_{label}", before, {"n": F.count(F.lit(1))})["n"]
         record.update(rows_in=kept, rows_out=kept)
     with run.step(f"aggregate_{label}", "gold") as record:
         fresh = kpis(store.read(FACT_EVENTS, scopes)).withColumn("_updated_at", F.lit(run.at))

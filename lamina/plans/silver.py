@@ -15,8 +15,10 @@ REJECTED_COLUMNS = [c for c in QUARANTINE_EVENTS.column_names if not c.startswit
 
 
 def judged(raw: DataFrame) -> DataFrame:
-    """Raw rows with the reason they can't be used, empty for valid ones."""
-    return raw.withColumn("rejection_reason", rejection_reason(F.col("event_id"), F.col("user_name")))
+    """Raw rows with the reason they can't be used, empty for valid ones. Stored rows know which of their texts were unreadable."""
+    unreadable = F.col("_unreadable") if "_unreadable" in raw.columns else None
+    reason = rejection_reason(F.col("event_id"), F.col("user_name"), F.col("event_time"), unreadable)
+    return raw.withColumn("rejection_reason", reason)
 
 
 def rejected_rows(raw: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from lamina.operators import column_profile
 from lamina.plans import batch_run, bronze, catalog, delivery, gold, quality, scd2, silver
 from lamina.schemas import (
-    DIM_USERS, EXPORT_DAILY, EXPORT_HOURLY, RPT_DAILY_SUMMARY, STG_EVENTS, TableSpec,
+    AGG_EVENTS_HOURLY, DIM_USERS, EXPORT_DAILY, EXPORT_HOURLY, RPT_DAILY_SUMMARY, SERVING_DAILY, SERVING_HOURLY, STG_EVENTS, TableSpec,
 )
 from lamina.session import fresh_folder, written
 from lamina.sources import event_feed
@@ -249,6 +250,68 @@ def batch_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return bronze.stored_batches(store)
 
 
+def redelivery_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    """What is said of daily deliveries that come again, in any order: some with an amount changed, some with rows lost."""
+    rows = event_feed.deliveries(event_feed.events(spark, folder), "day")
+    day = F.dayofmonth(F.to_date(F.substring("batch_id", 7, 10)))
+    changed = (day % 3 == 0) & (F.lower("category") == "purchase")
+    again = rows.where(~((day % 5 == 0) & (F.col("source") == "api"))).withColumn(
+        "value", F.when(changed, F.col("value") + 1).otherwise(F.col("value"))
+    )
+    ledger = bronze.content_of(bronze.parsed(rows.where(F.col("batch_id") <= BATCH_DAY)))
+    return bronze.verdicts(bronze.content_of(bronze.parsed(again)), ledger)
+
+
+def unreadable_rows_aside(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each delivery by the reason they are set aside for, empty for valid ones, where times and amounts come as text and
+    some can't be read. All rows are stored and read back."""
+    store = Store(spark, fresh_folder(spark, "unreadable"))
+    last = F.right("event_id", F.lit(2))
+    text = raw(spark, folder).withColumn("batch_id", F.substring("batch_id", 1, len(BATCH_DAY))).withColumn(
+        "event_time", F.when(last == "11", "2024-13-45 99:00:00").otherwise(F.date_format("event_time", bronze.TIME_FORMAT))
+    ).withColumn("value", F.when(last.isin("11", "22"), F.concat(F.lit("n/a "), "category")).otherwise(F.col("value").cast("string")))
+    bronze.ingest(store, text, _REGISTERED_AT)
+    return silver.judged(store.read(STG_EVENTS)).groupBy("batch_id", "rejection_reason").agg(
+        F.count("*").alias("row_count"), F.count("_unreadable").alias("with_text")
+    )
+
+
+def publish_interrupted(spark: SparkSession, folder: str) -> DataFrame:
+    """What readers see of four tables that are to change together, where the writer is lost before each of the writes in turn and
+    before the commit, and after a run that goes through (step 5)."""
+    store = Store(spark, fresh_folder(spark, "interrupted"))
+
+    def versions_of(facts_df: DataFrame) -> dict[TableSpec, DataFrame]:
+        stamp = F.lit(_REGISTERED_AT)
+        hourly, daily = (written(kpis(facts_df), "figures") for kpis in (gold.hourly_kpis, gold.daily_kpis))
+        return {
+            AGG_EVENTS_HOURLY: hourly.withColumn("_updated_at", stamp), RPT_DAILY_SUMMARY: daily.withColumn("_updated_at", stamp),
+            SERVING_HOURLY: hourly.withColumn("updated_at", stamp), SERVING_DAILY: daily.withColumn("updated_at", stamp),
+        }
+
+    def put(tables: dict[TableSpec, DataFrame], lost_at: int | None = None) -> None:
+        with store.transaction() as inner:
+            for step, (spec, rows) in enumerate(tables.items()):
+                if step == lost_at:
+                    raise _Interrupted(spec.table_id)
+                inner.publish(spec, rows, [()])
+            if lost_at == len(tables):
+                raise _Interrupted("commit")
+
+    put(versions_of(written(served_facts(spark, folder), "facts")))
+    fresh, seen = versions_of(written(facts(spark, folder), "facts")), []
+    for step in range(len(fresh) + 2):
+        try:
+            put(fresh, step)
+        except _Interrupted:
+            pass
+        for spec in fresh:
+            measure = F.sum(spec.metrics[0]).alias("events")
+            seen.append(store.read(spec).agg(F.count("*").alias("row_count"), measure).select(
+                F.lit(step).alias("step"), F.lit(spec.table_id).alias("table_id"), "row_count", "events"))
+    return reduce(DataFrame.unionByName, seen)
+
+
 def export_hourly_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     store = Store(spark, fresh_folder(spark, "export"))
     rows = gold.hourly_kpis(facts(spark, folder)).withColumn("_updated_at", F.lit(_REGISTERED_AT))
@@ -357,6 +420,9 @@ def queries() -> dict[str, Query]:
         "run_log_current": run_log_current,
         "benchmark_compare": benchmark_compare,
         "batch_ledger": batch_ledger,
+        "redelivery_verdicts": redelivery_verdicts,
+        "unreadable_rows_aside": unreadable_rows_aside,
+        "publish_interrupted": publish_interrupted,
         "incremental_replay": incremental_replay,
         "recovery_replay": recovery_replay,
         "stream_replay": stream_replay,

@@ -15,6 +15,8 @@ DATE, TS = T.DateType(), T.TimestampType()
 # Money is added up exactly in this type, see lamina.functions.money. With 38 digits Spark
 # would have to cut decimals when adding two of them.
 EXACT = T.DecimalType(37, 10)
+# Sums of 64-bit hashes.
+HASH_SUM = T.DecimalType(38, 0)
 
 
 @dataclass(frozen=True)
@@ -62,7 +64,10 @@ RAW_COLUMNS = (
 
 STG_EVENTS = TableSpec(
     "bronze", "stg_events", "Deliveries exactly as received",
-    RAW_COLUMNS + (("_ingested_at", TS, "Run that stored the row"),),
+    RAW_COLUMNS + (
+        ("_unreadable", STRING, "Texts of the row that could not be read, as JSON by field"),
+        ("_ingested_at", TS, "Run that stored the row"),
+    ),
     partition_by=("batch_id",), sort_by=("event_id",), tags=("raw", "append-only"), metrics=("value",),
 )
 
@@ -91,12 +96,24 @@ FACT_EVENTS = TableSpec(
 QUARANTINE_EVENTS = TableSpec(
     "silver", "quarantine_events", "Rows that lack an event or a user, with the reason",
     RAW_COLUMNS + (
-        ("rejection_reason", STRING, "Comma separated list of what is missing"),
+        ("rejection_reason", STRING, "Comma separated list of what is missing or unreadable"),
+        ("_unreadable", STRING, "Texts of the row that could not be read, as JSON by field"),
         ("_quarantined_at", TS, "Run that stored the row"),
     ),
     partition_by=("batch_id",), sort_by=("event_id", "user_name"), tags=("rejected", "data-quality"),
 )
 
+EVENT_KEYS = TableSpec(
+    "silver", "event_keys", "Where the current version of each event lies; later deliveries override earlier entries",
+    (
+        ("event_id", STRING, "Event key"),
+        ("event_date", DATE, "Day of the current version"),
+        ("batch_id", STRING, "Delivery of the current version"),
+        ("key_bucket", INT, "Hash bucket of event_id"),
+    ),
+    keys=("event_id", "batch_id"), partition_by=("key_bucket",), sort_by=("event_id",), tags=("index",), small_partitions=True,
+)
+
 DIM_USERS = TableSpec(
     "silver", "dim_users", "Users with every version of their main category and channel",
     (
@@ -274,6 +291,8 @@ BATCH_LEDGER = TableSpec(
     (
         ("batch_id", STRING, "Delivery"),
         ("row_count", LONG, "Rows that came, the same as the rows stored"),
+        ("content_low", HASH_SUM, "Sum of one hash of the rows, whatever their order"),
+        ("content_high", HASH_SUM, "Sum of another hash of the rows"),
         ("_stored_at", TS, "Run that stored it"),
     ),
     keys=("batch_id",), tags=("metadata", "runs"), metrics=("row_count",),
@@ -350,7 +369,7 @@ BENCHMARK_LOG = TableSpec(
 )
 
 TABLES: tuple[TableSpec, ...] = (
-    STG_EVENTS, FACT_EVENTS, QUARANTINE_EVENTS, DIM_USERS, USER_ACTIVITY,
+    STG_EVENTS, FACT_EVENTS, EVENT_KEYS, QUARANTINE_EVENTS, DIM_USERS, USER_ACTIVITY,
     AGG_EVENTS_HOURLY, RPT_DAILY_SUMMARY, AGG_EVENTS_HOURLY_HISTORY, RPT_DAILY_SUMMARY_HISTORY,
     SERVING_HOURLY, SERVING_DAILY,
     TABLE_REGISTRY, COLUMN_REGISTRY, DATA_LINEAGE, BATCH_LEDGER, PIPELINE_RUNS, VALIDATION_LOG, BENCHMARK_LOG,

@@ -32,7 +32,7 @@ Scope = tuple
 # Name of the folder level below the partitions.
 VERSION = "v"
 _BUCKETS = "_user_buckets-"
-_PLAIN = re.compile(r"[\w.-]+")
+_PLAIN = re.compile(r"[\w. -]+")
 
 
 class Store:
@@ -161,6 +161,16 @@ class Store:
         """Values of the first partition column."""
         return list(dict.fromkeys(unquote(part.split("/", 1)[0].split("=", 1)[1]) for part in self._live(spec)))
 
+    def partitions(self, spec: TableSpec) -> dict[tuple, list[str]]:
+        """The partitions there are, as text and for INT columns as numbers, and the versions each consists of."""
+        kinds = {name: dtype.typeName() for name, dtype, _ in spec.columns}
+
+        def value(folder: str):
+            column, text = folder.split("=", 1)
+            return int(text) if kinds[column] == "integer" else unquote(text)
+
+        return {tuple(map(value, part.split("/"))) if part else (): versions for part, versions in self._live(spec).items()}
+
     # -- reading ---------------------------------------------------------------
 
     def read(self, spec: TableSpec, scopes: Iterable[Scope] | None = None) -> DataFrame:
@@ -179,10 +189,13 @@ class Store:
 
     # -- staging ---------------------------------------------------------------
 
+    def is_staged(self, batch_id: str, step: str) -> bool:
+        return self.exists(f"{self._staging(batch_id)}/{step}/_SUCCESS")
+
     def staged(self, batch_id: str, step: str, df: DataFrame) -> DataFrame:
         """`df` through a staging table, which is reused if an earlier attempt completed it."""
         path = f"{self._staging(batch_id)}/{step}"
-        if not self.exists(f"{path}/_SUCCESS"):
+        if not self.is_staged(batch_id, step):
             df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

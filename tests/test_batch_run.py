@@ -1,12 +1,14 @@
 """Applying deliveries one by one must give what all rows at once give."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from lamina.functions import user_bucket
 from lamina.plans import batch_run, bronze, delivery, gold, silver
 from lamina.schemas import (
-    AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, BENCHMARK_LOG, COLUMN_REGISTRY, DATA_LINEAGE, DIM_USERS, EXPORT_DAILY,
+    AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, BENCHMARK_LOG, COLUMN_REGISTRY, DATA_LINEAGE, DIM_USERS, EVENT_KEYS, EXPORT_DAILY,
     EXPORT_HOURLY, FACT_EVENTS, PIPELINE_RUNS, QUARANTINE_EVENTS, RPT_DAILY_SUMMARY, RPT_DAILY_SUMMARY_HISTORY,
     SERVING_DAILY, SERVING_HOURLY, STG_EVENTS, TABLE_REGISTRY, TABLES, VALIDATION_LOG,
 )
@@ -181,14 +183,99 @@ def test_catalog_is_registered_once(spark, store):
     assert sorted(r["column_name"] for r in keys.collect()) == ["batch_id", "event_date"]
 
 
-def test_bad_time_stops_the_delivery(spark, store):
-    rows = feed_of(spark, D1).withColumn("event_time", F.lit("2024-01-01 25:00:00"))
-    with pytest.raises(Exception, match="(?i)could not be parsed|CANNOT_PARSE_TIMESTAMP"):
-        bronze.ingest(store, rows, batch_run.now())
-    assert store.read(STG_EVENTS).isEmpty()
-    with pytest.raises(Exception, match="no event_time in event e1"):
-        missing = feed_of(spark, D1).withColumn("event_time", F.lit(None).cast("string")).where("event_id = 'e1'")
-        bronze.ingest(store, missing, batch_run.now())
+def test_unreadable_rows_are_set_aside_with_their_text(spark, store):
+    """A bad time, a bad amount, no time at all, and a line its reader could not make out; the other rows go through."""
+    rows = [
+        ("e1", "ann", "view", "web", "1.5", "2024-01-01 10:00:00", D1, None), ("e2", "ann", "purchase", "web", "12x.5", "2024-01-01 10:00:00", D1, None),
+        ("e3", "bob", "view", "web", " ", "2024-01-01 25:00:00", D1, None), ("e4", "bob", "view", "web", None, None, D1, None),
+        ("", "bob", "view", "web", "?", "yesterday", D1, None), ("e5", "cid", None, None, "2", "2024-01-01 10:00:00", D1, "e5;cid;…"),
+        ("e6", "cid", "view", "web", None, "2024-01-01 11:00:00", D1, ""),
+    ]
+    names = "event_id string, user_name string, category string, source string, value string, event_time string, batch_id string, _corrupt_record string"
+    counts = batch_run.run_batch(store, spark.createDataFrame(rows, names).withColumn(
+        "_corrupt_record", F.nullif(F.col("_corrupt_record"), F.lit(""))), D1)
+    assert (counts["bronze_rows"], counts["quarantined_rows"], counts["silver_rows"]) == (7, 5, 2)
+    aside = {r["event_id"]: (r["rejection_reason"], json.loads(r["_unreadable"] or "{}")) for r in store.read(QUARANTINE_EVENTS).collect()}
+    assert aside == {
+        "e2": ("unreadable_value", {"value": "12x.5"}), "e3": ("unreadable_event_time", {"event_time": "2024-01-01 25:00:00"}),
+        "e4": ("empty_event_time", {}), "": ("empty_event_id,unreadable_event_time,unreadable_value", {"event_time": "yesterday", "value": "?"}),
+        "e5": ("unreadable_record", {"record": "e5;cid;…"}),
+    }
+    assert {(r["event_id"], r["value"]) for r in store.read(FACT_EVENTS).collect()} == {("e1", 1.5), ("e6", 0.0)}
+
+
+def test_a_delivery_with_other_content_is_refused(spark, store):
+    rows = feed_of(spark, D1)
+    bronze.ingest(store, rows, batch_run.now())
+    bronze.ingest(store, rows.orderBy(F.rand(3)), batch_run.now())
+    changes = {
+        "one amount": rows.withColumn("value", F.when(F.col("event_id") == "e1", 1.25).otherwise(F.col("value"))),
+        "two amounts swapped": rows.withColumn("value", F.expr("case event_id when 'e1' then 2.0 when 'e2' then 1.0 else value end")),
+        "a blank for nothing": rows.withColumn("event_id", F.when(F.col("event_id") != "", F.col("event_id"))),
+        "a row twice instead of another": rows.where("event_id <> 'e1'").union(rows.where("event_id = 'e2'")),
+    }
+    for what, changed in changes.items():
+        with pytest.raises(bronze.ChangedDelivery, match=D1):
+            bronze.ingest(store, changed, batch_run.now())
+            pytest.fail(what)
+    assert store.read(STG_EVENTS).count() == 5
+
+
+def test_counts_cost_no_jobs_of_their_own(spark, store):
+    """Rows set aside are counted while they are written: staging them and putting them in place are all there is to do."""
+    bronze.ingest(store, feed_of(spark, D1), batch_run.now())
+    tracker = spark.sparkContext.statusTracker()
+    with store.transaction() as inner:
+        run = batch_run.Run(inner, D1, batch_run.delivery_time)
+        before = set(tracker.getJobIdsForGroup(None))
+        batch_run._quarantine(run)
+        during = len(set(tracker.getJobIdsForGroup(None)) - before)
+        assert run.counts == {"bronze_rows": 5, "quarantined_rows": 1}
+        # The same two writes without any counting.
+        before = set(tracker.getJobIdsForGroup(None))
+        staged = inner.staged(D1, "again", silver.rejected_rows(store.read(STG_EVENTS)))
+        inner.publish(QUARANTINE_EVENTS, staged.withColumn("_unreadable", F.lit("")).withColumn("_quarantined_at", F.lit(run.at)), [(D1,)], [(D1,)])
+        assert during == len(set(tracker.getJobIdsForGroup(None)) - before)
+
+
+def test_a_delivery_looks_up_its_own_keys_only(spark, store, monkeypatch):
+    """The index is read in the buckets of the delivery's keys, and the facts in the partitions it corrects; never whole."""
+    batch_run.run_batch(store, feed_of(spark, D1), D1)
+    read, asked = type(store).read, []
+
+    def noted(self, spec, scopes=None):
+        found = read(self, spec, scopes)
+        if spec in (EVENT_KEYS, FACT_EVENTS):
+            asked.append((spec, scopes, [f for f in found.inputFiles()]))
+        return found
+
+    monkeypatch.setattr(type(store), "read", noted)
+    later = raw_rows(spark, ("e3", "eve", "view", "web", 1.0, "2024-01-01 10:00", D2))
+    batch_run.run_batch(store, later, D2)
+    monkeypatch.undo()
+    (bucket,) = {r[0] for r in later.select(user_bucket(F.col("event_id"), 4)).collect()}
+    for spec, scopes, files in asked:
+        assert scopes is not None, spec.table_id
+        if spec is EVENT_KEYS:
+            assert files and all(f"key_bucket={bucket}/" in f for f in files)
+    places = {r["event_id"]: r["batch_id"] for r in batch_run._current_places(
+        batch_run.Run(store, D2, batch_run.delivery_time), store.read(EVENT_KEYS)).collect()}
+    assert places == {"e1": D1, "e2": D1, "e3": D2, "e4": D1}
+
+
+def test_index_is_drawn_together_and_made_anew(spark, store, monkeypatch):
+    monkeypatch.setattr(batch_run, "KEY_VERSIONS", 2)
+    names = [f"batch_2024-01-0{d}" for d in range(1, 6)]
+    rows = raw_rows(spark, *[(f"e{i % 3}", "ann", "view", "web", float(i), "2024-01-01 10:00", n) for i, n in enumerate(names)])
+    for name in names[:4]:
+        batch_run.run_batch(store, rows, name)
+    assert max(len(v) for v in store.partitions(EVENT_KEYS).values()) <= 2
+    # A store without the index: it is made out of the facts.
+    store.publish(EVENT_KEYS, store.read(EVENT_KEYS).limit(0), [()], [])
+    batch_run.run_batch(store, rows, names[4])
+    facts = {r["event_id"]: (r["batch_id"], r["event_date"]) for r in store.read(FACT_EVENTS).collect()}
+    assert facts and {r["event_id"]: (r["batch_id"], r["event_date"]) for r in store.read(EVENT_KEYS).collect()} == facts
+    assert {e: b for e, (b, _) in facts.items()} == {"e0": names[3], "e1": names[4], "e2": names[2]}
 
 
 def test_delivery_by_hand(spark, store):
@@ -262,7 +349,8 @@ def test_a_delivery_that_grew_is_refused(spark, store):
 
 def test_half_a_folder_is_written_again(spark, store):
     """A run is lost after some rows of D1 and all of D2 are in place, but before the ledger is written."""
-    half = feed_of(spark, D1).limit(2).union(feed_of(spark, D2)).withColumn("_ingested_at", F.lit(None).cast("timestamp"))
+    half = feed_of(spark, D1).limit(2).union(feed_of(spark, D2)).withColumn("_unreadable", F.lit(None).cast("string"))
+    half = half.withColumn("_ingested_at", F.lit(None).cast("timestamp"))
     store.publish(STG_EVENTS, half, [()])
     assert bronze.stored_batches(store).isEmpty()
     assert batch_run.replay(store, feed_of(spark, D1, D2)) == [D1, D2]
