@@ -11,7 +11,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -20,12 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.words import chunks, joined, words_of
+from lamina.session import written
 
 SIMILARITY, SHINGLE, RADIUS = 0.8, 5, 15
 # Longer items are cut into equal parts of at most so many words; each part is looked for like an item.
 PART_WORDS = 120
-# Items whose index one task holds at a time; a larger benchmark takes more passes.
-BLOCK_ITEMS = 5_000
+# Parts whose index one task holds at a time, on average; a larger benchmark takes more passes.
+BLOCK_PARTS = 5_000
 _GROUP = 64
 # Windows computed at once, so that they stay in the cache.
 _WINDOWS = 8192
@@ -54,8 +55,8 @@ class Group(NamedTuple):
 
 class Index(NamedTuple):
     groups: list[Group]
-    weight: dict[int, float]  # of every shingle of the benchmark
-    unseen: float  # of any other
+    weight: dict[int, float]  # of the shingles of these items
+    unseen: float  # of a shingle that the item at hand doesn't hold
 
 
 def _running(pairs: np.ndarray) -> np.ndarray:
@@ -118,28 +119,31 @@ def build_index(items: list[tuple[int, str]], items_of: dict[int, int], n_items:
     return Index(groups, weight, 1 + math.log(max(1, n_items)))
 
 
-def shingle_counts(items: list[tuple[int, str]]) -> Counter:
-    """In how many of the items each shingle is."""
-    out: Counter = Counter()
-    for _, text in items:
-        out.update(set(joined(words_of([text]).hash, SHINGLE).tolist()))
-    return out
+class Windows(NamedTuple):
+    doc: np.ndarray
+    start: np.ndarray
+    marks: np.ndarray
 
 
-def _candidates(group: Group, sums, first, last) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(text, part, window starts) with fingerprints within the radius; first, last: words of each text."""
-    size, step = group.size, max(1, group.size // 8)
+def _windows(size: int, sums, first, last) -> Windows:
+    """Fingerprints of the windows of one size; first, last: words of each text."""
+    step = max(1, size // 8)
     n_words = last - first
     # Every step-th start of a text, and its last window; a text that is a little shorter is one window.
     counts = np.where(n_words >= size, (n_words - size) // step + 2, (n_words >= 0.7 * size).astype(np.int64))
     doc = np.repeat(np.arange(len(first)), counts)
-    if not len(doc):
-        return
     ends = np.cumsum(counts)
     nth = np.arange(len(doc)) - np.repeat(ends - counts, counts)
     start = np.minimum(first[doc] + nth * step, np.maximum(last[doc] - size, first[doc]))
     end = np.minimum(start + size, last[doc]) - 1
-    marks = _prints(sums, start, end)
+    return Windows(doc, start, _prints(sums, start, end))
+
+
+def _candidates(group: Group, windows: Windows) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(text, part, window starts) with fingerprints within the radius."""
+    doc, start, marks = windows
+    if not len(doc):
+        return
     values = marks.view(np.uint16).reshape(-1, 4)
     near = np.take(group.tables[0], values[:, 0])
     for block in range(1, 4):
@@ -155,7 +159,10 @@ def _candidates(group: Group, sums, first, last) -> Iterator[tuple[int, int, np.
 
 
 def _best(part: Part, index: Index, shingles: np.ndarray, starts: np.ndarray, slack: int, first: int, last: int) -> tuple[float, int]:
-    """Highest similarity of the part with a window of as many words that starts within `slack` of a start."""
+    """Highest similarity of the part with a window of as many words that starts within `slack` of a start.
+
+    Shingles of the window that the part doesn't hold weigh as much as the rarest, whatever other items hold them, so that a
+    similarity depends on the item and the counts of its own shingles alone."""
     length = min(part.words, last - first)
     n = length - SHINGLE + 1
     tried = np.unique((starts[:, None] + np.arange(-slack, slack + 1)).ravel())
@@ -171,7 +178,7 @@ def _best(part: Part, index: Index, shingles: np.ndarray, starts: np.ndarray, sl
         # What is shared is at most this.
         if shared[s - low + n] - shared[s - low] < SIMILARITY * part.total:
             continue
-        mine = {x: c * index.weight.get(x, index.unseen) for x, c in Counter(near[s - low : s - low + n]).items()}
+        mine = {x: c * (index.weight[x] if x in part.weights else index.unseen) for x, c in Counter(near[s - low : s - low + n]).items()}
         both = sum(min(w, part.weights.get(x, 0.0)) for x, w in mine.items())
         score = both / (part.total + sum(mine.values()) - both)
         if score > best:
@@ -186,9 +193,13 @@ def matches(texts: list[str | None], index: Index) -> Iterator[tuple[int, int, i
     last = np.searchsorted(words.doc, np.arange(len(texts)), side="right")
     shingles, sums = joined(words.hash, SHINGLE), _running(joined(words.hash, 2))
     found: dict[tuple[int, int], tuple[float, int, int]] = {}
+    size, windows = 0, None
     for group in index.groups:
+        if group.size != size:
+            # Groups are in the order of their sizes.
+            size, windows = group.size, _windows(group.size, sums, first, last)
         slack = max(1, group.size // 8) + math.ceil(0.05 * group.size) + 1
-        for d, i, starts in _candidates(group, sums, first, last):
+        for d, i, starts in _candidates(group, windows):
             part = group.parts[i]
             score, at = _best(part, index, shingles, starts, slack, int(first[d]), int(last[d]))
             if score >= SIMILARITY:
@@ -198,17 +209,59 @@ def matches(texts: list[str | None], index: Index) -> Iterator[tuple[int, int, i
         yield d, item_id, -at, n, score
 
 
-def _blocks(benchmark: DataFrame) -> list[Index]:
-    """Indexes of at most about BLOCK_ITEMS items each; read block by block, each shingle's items counted over all."""
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different shingles of each item, and into how many parts it is cut."""
+    for batch in batches:
+        hashes = [words_of([text]).hash for text in batch.column("text").to_pylist()]
+        shingles = [np.unique(joined(h, SHINGLE)).view(np.int64).tolist() for h in hashes]
+        parts = [-(-len(h) // PART_WORDS) for h in hashes]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("item_id"), batch.column("text"), pa.array(shingles, pa.list_(pa.int64())), pa.array(parts, pa.int64())],
+            names=["item_id", "text", "shingles", "parts"],
+        )
+
+
+def _blocks(benchmark: DataFrame) -> tuple[int, Callable[[int], Index]]:
+    """How many blocks of about BLOCK_PARTS parts there are, and a maker of the index of one.
+
+    In how many items a shingle is, is counted in Spark over the whole benchmark; a block gets the counts of its own shingles.
+    """
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    total = items.count()
-    blocks = max(1, math.ceil(total / BLOCK_ITEMS))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    # Documents carry no ids of another block, so the counts are those of the block.
+    rows = written(items.mapInArrow(_parts, "item_id long, text string, shingles array<long>, parts long"), "items")
+    total, parts = rows.agg(F.count("*"), F.coalesce(F.sum("parts"), F.lit(0))).first()
+    blocks = max(1, math.ceil(parts / BLOCK_PARTS))
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    counts = rows.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
+    if blocks > 1:
+        counts = written(counts, "shingles")
+
+    def made(b: int) -> Index:
+        own = rows.where(block == b)
+        found = own.select("item_id", "text").collect()
+        known = counts if blocks == 1 else counts.join(own.select(F.explode("shingles").alias("shingle")).distinct(), "shingle", "left_semi")
+        items_of = {r["shingle"] & (2**64 - 1): r["n"] for r in known.collect()}
+        return build_index(sorted(((r[0], r[1]) for r in found), key=lambda r: (r[0] is None, r[0] or 0, r[1])), items_of, max(1, total))
+
+    return blocks, made
+
+
+def _passes(rows: DataFrame, benchmark: DataFrame, task, schema, label: str, chained: bool) -> list[DataFrame]:
+    """`task(index)` over the rows for each block of the benchmark; chained: each over what the one before left.
+
+    With several blocks the result of each is written before the next index is made, so that one is held at a time.
+    """
+    context = rows.sparkSession.sparkContext
+    blocks, made = _blocks(benchmark)
     out = []
     for b in range(blocks):
-        rows = sorted(((r[0], r[1]) for r in items.where(part == b).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        out.append(build_index(rows, shingle_counts(rows), max(1, len(rows))))
+        shared = context.broadcast(made(b))
+        one = rows.mapInArrow(task(shared), schema)
+        if blocks > 1:
+            one = written(one, label)
+            shared.destroy()
+        out.append(one)
+        if chained:
+            rows = one
     return out
 
 
@@ -220,14 +273,11 @@ def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     part, nor do NULL items. Rows with the same doc_id are reported together. Other columns are not read; an empty table
     gives an empty one, an empty benchmark finds nothing.
     """
-    spark = docs.sparkSession
     schema = "doc_id long, n_items long, hit struct<similarity: double, item_id: long, first_word: long, n_words: long>"
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    passes = []
-    for index in _blocks(benchmark):
-        shared = spark.sparkContext.broadcast(index)
 
-        def report(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def report_with(shared):
+        def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in chunks(batch, "text"):
                     n, best = [0] * part.num_rows, [None] * part.num_rows
@@ -238,7 +288,9 @@ def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     kind = pa.struct([("similarity", pa.float64()), ("item_id", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64())])
                     yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(best, kind)], names=["doc_id", "n_items", "hit"])
 
-        passes.append(keyed.mapInArrow(report, schema))
+        return report
+
+    passes = _passes(keyed, benchmark, report_with, schema, "leaks", chained=False)
     every = passes[0]
     for more in passes[1:]:
         every = every.unionByName(more)
@@ -250,17 +302,18 @@ def leak_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` whose text holds no item; the same test as in leak_report, all columns kept, no shuffle."""
-    spark = docs.sparkSession
-    for index in _blocks(benchmark):
-        shared = spark.sparkContext.broadcast(index)
+    """The rows of `docs` whose text holds no item; the same test as in leak_report, all columns kept, no shuffle.
 
-        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    Rows with a NULL text or without words stay, repeated rows stay or go alike; an empty table stays empty.
+    """
+    def clean_with(shared):
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in chunks(batch, "text"):
                     keep = np.ones(part.num_rows, bool)
                     keep[[d for d, *_ in matches(part.column("text").to_pylist(), shared.value)]] = False
                     yield part.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(clean, docs.schema)
-    return docs
+        return clean
+
+    return _passes(docs, benchmark, clean_with, docs.schema, "clean", chained=True)[-1]
