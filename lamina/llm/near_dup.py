@@ -311,20 +311,24 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` without near duplicates: of each class the row with the least (doc_id, text) stays, once.
+    """The rows of `docs` without near duplicates: of each class the row with the least (doc_id, node) stays, once.
 
-    Rows without a doc_id stay once for each text. All columns are kept; an empty table stays empty.
+    A row without a doc_id stays only where none of its class has one. A NULL text counts as an empty one, and all of these are one
+    class. All columns are kept, whatever their names; an empty table stays empty.
     """
     member = near_duplicates(docs)
-    kept = written(
-        member.groupBy("class", _class_of(member)).agg(F.min(F.struct("doc_id", "node")).alias("k")).select("k.doc_id", "k.node").distinct(),
-        "kept",
-    )
+    # Struct fields in their order: rows with an id come first.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "node")).alias("k")
+    kept = member.groupBy("class").agg(least).select("k.doc_id", "k.node")
+    copies = member.groupBy("doc_id", "node").agg(F.count("*").alias("n"))
+    same = F.col("k.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("k.node") == F.col("c.node"))
+    kept = written(kept.alias("k").join(copies.alias("c"), same).select("k.doc_id", "k.node", "n"), "kept")
     node = _node(F.coalesce(F.col("text"), F.lit("")))
     on = docs["doc_id"].cast("long").eqNullSafe(kept["doc_id"]) & (node == kept["node"])
-    return docs.join(kept, on).select(*[docs[c] for c in docs.columns], kept["node"].alias("_node")).dropDuplicates(["doc_id", "_node"]).drop("_node")
-
-
-def _class_of(member: DataFrame):
-    # Classes without any id are told apart by their text.
-    return F.when(F.col("class_id").isNull(), F.col("node"))
+    # Under names that no column of the caller has.
+    key = "kept_" + "_".join(sorted(docs.columns))
+    found = docs.join(kept, on).select(*[docs[c] for c in docs.columns], kept["node"].alias(f"{key}_node"), kept["n"].alias(f"{key}_n"))
+    # Only rows that come several times have to be brought together.
+    single = found.where(F.col(f"{key}_n") == 1)
+    several = found.where(F.col(f"{key}_n") > 1).dropDuplicates(["doc_id", f"{key}_node"])
+    return single.unionByName(several).select(*docs.columns)

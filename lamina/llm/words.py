@@ -20,6 +20,8 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 # Longer words are hashed one by one.
 _STEPS = 48
 CHUNK_BYTES = 2_000_000
+# Texts of a chunk, so that their numbers fit into 16 bits.
+CHUNK_TEXTS = 1 << 15
 
 
 class Words(NamedTuple):
@@ -49,11 +51,11 @@ def folded(text: str | None) -> str:
 
 
 def chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batch with about `most` bytes of text; a longer text is alone."""
+    """Slices of the batch with about `most` bytes of text and a bounded number of texts; a longer text is alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     at, room = 0, 0
     for i, n in enumerate(sizes):
-        if i > at and room + n > most:
+        if i > at and (room + n > most or i - at >= CHUNK_TEXTS):
             yield batch.slice(at, i - at)
             at, room = i, 0
         room += int(n) + 1

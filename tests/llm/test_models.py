@@ -6,13 +6,14 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from checks.compare import differences, duck
 from lamina.llm import decontaminate, language_id, near_dup, oracle, pii, queries, toxicity
 from lamina.llm.graph import components
-from lamina.llm.words import words_of
+from lamina.llm.words import chunks, words_of
 from tests.conftest import SMALL
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -95,6 +96,25 @@ def test_unlike_texts_with_one_id_both_stay(spark):
     assert sorted((r.doc_id or 0, r.text) for r in near_dup.drop_near_duplicates(docs).collect()) == [(0, texts[4]), (1, texts[0]), (1, texts[1])]
 
 
+def test_near_copies_without_ids_and_odd_columns(spark):
+    """Of a class one row stays, whether its rows have ids or not; no column of the caller is lost."""
+    words = _prose(random.Random(4), 60).split()
+    near = " ".join([*words[:-1], "other"])
+    rows = [(None, " ".join(words), "a", 1), (None, near, "b", 2), (3, "u v w x y z", "c", 3), (None, "u v w x y z", "d", 4), (None, None, "e", 5), (None, "", "f", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _node string, n long")
+    kept = near_dup.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r["_node"]) for r in kept.collect()]
+    assert len(got) == 3 and (3, "c") in got
+    assert near_dup.drop_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_chunks_have_a_bounded_number_of_texts():
+    batch = pa.record_batch({"text": pa.array(["a b c d e f"] + [""] * 70_000 + ["a b c d e g"])})
+    sizes = [c.num_rows for c in chunks(batch, "text")]
+    assert sum(sizes) == 70_002 and max(sizes) <= 1 << 15
+
+
 def test_signatures_agree_like_the_texts():
     rng = random.Random(2)
     words = _prose(rng, 300).split()
@@ -131,18 +151,70 @@ def test_leaks_are_those_of_all_windows(spark):
     assert set(report) == set(texts)
     assert all(report[d].contaminated and report[d].item_id == i for d, i in want.items())
     assert report[92].item_id == 3 and not report[90].contaminated and not any(report[d].contaminated for d in range(0, 80, 4))
-    index = decontaminate.build_index([(i, t) for i, t in items.items() if t], decontaminate.shingle_counts([(i, t) for i, t in items.items() if t]), 31)
-    parts = [p for g in index.groups for p in g.parts]
+    want = _leaks(items, {d: t for d, t in texts.items() if d < 80})
     for d in range(80):
-        w = words_of([texts[d]])
-        hit = {p.item_id for p in parts if decontaminate._best(p, index, decontaminate.joined(w.hash, 5), np.arange(len(w.hash)), 0, 0, len(w.hash))[0] >= 0.8}
-        assert bool(hit) == report[d].contaminated and len(hit) == report[d].n_items
+        assert (report[d].n_items, report[d].similarity) == (len(want[d]), pytest.approx(max(want[d].values(), default=0.0)))
     clean = decontaminate.drop_contaminated(_docs(spark, texts), benchmark)
     assert sorted(r.doc_id for r in clean.collect()) == sorted(d for d, r in report.items() if not r.contaminated)
     assert decontaminate.leak_report(_docs(spark, texts), benchmark.limit(0)).where("contaminated").isEmpty()
     assert decontaminate.leak_report(_docs(spark, {1: "x"}).limit(0), benchmark).count() == 0
 
 
+def _plain_shingles(words):
+    return Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+
+def _leaks(items, texts):
+    """{text: {item: similarity}} at 0.8 and above: every item's parts against every window of as many words, in plain Python."""
+    def words(text):
+        return re.findall(r"[a-z0-9]+|[^\x00-\x7f]+", (text or "").lower())
+
+    known = {i: words(t) for i, t in items.items() if t}
+    n_items = Counter(s for w in known.values() for s in _plain_shingles(w))
+    rarest = 1 + np.log(len({t for t in items.values() if t}))
+    out = {d: {} for d in texts}
+    for i, item in known.items():
+        if len(item) < 5:
+            continue
+        for part in np.array_split(np.array(item), -(-len(item) // decontaminate.PART_WORDS)):
+            own = _plain_shingles(part.tolist())
+            weight = {s: 1 + np.log(len(known) / n_items[s]) for s in own}
+            total = sum(n * weight[s] for s, n in own.items())
+            for d, text in texts.items():
+                w = words(text)
+                size = min(len(part), len(w))
+                for at in range(len(w) - size + 1 if size > 4 else 0):
+                    mine = _plain_shingles(w[at : at + size])
+                    if len(mine.keys() & own.keys()) < 0.4 * len(own):
+                        continue
+                    all_mine = sum(n * weight.get(s, rarest) for s, n in mine.items())
+                    both = sum(min(n, own[s]) * weight[s] for s, n in mine.items() if s in own)
+                    score = both / (total + all_mine - both)
+                    if score >= 0.8:
+                        out[d][i] = max(out[d].get(i, 0.0), score)
+    return out
+
+
+@pytest.mark.parametrize("parts", [1, 8])
+def test_leaks_don_t_depend_on_the_blocks(spark, monkeypatch, parts):
+    """Items that share their beginnings, near copies of them in the documents; blocks of few parts and one of all."""
+    rng = random.Random(8)
+    stem = _prose(rng, 30)
+    items = {i: f"{stem if i % 2 else ''} {_prose(rng, 40 + i % 5)}" for i in range(24)} | {24: _prose(rng, 400), 25: None}
+    texts = {}
+    for i in range(25):
+        passage = items[i].split()
+        for _ in range(rng.choice([0, 1, 2])):
+            passage[rng.randrange(len(passage))] = "edited"
+        texts[i] = f"{_prose(rng, 50)} {' '.join(passage)} {_prose(rng, 20)}"
+    docs, benchmark = _docs(spark, texts), spark.createDataFrame(list(items.items()), "item_id long, text string")
+    one = sorted(decontaminate.leak_report(docs, benchmark).collect(), key=str)
+    left = sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, benchmark).collect())
+    monkeypatch.setattr(decontaminate, "BLOCK_PARTS", parts)
+    assert sorted(decontaminate.leak_report(docs, benchmark).collect(), key=str) == one and any(r.contaminated for r in one)
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, benchmark).collect()) == left
+
+
 def test_fingerprints_within_the_radius_are_all_looked_up():
     rng = np.random.default_rng(5)
     mark = rng.integers(0, 2**63, dtype=np.uint64)
