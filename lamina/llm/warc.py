@@ -19,7 +19,9 @@ HIDDEN = r"(?is)<(?:!--.*?(?:-->|\z)|(?:script|style|noscript|template)(?:[ \t\r
 BREAKS = r"(?i)</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|title|td|th|tr|ul)(?:[ \t\r\n/][^>]*)?(?:>|\z)"
 TAGS = r"</?[a-zA-Z!?][^>]*(?:>|\z)"
 TITLE = r"(?is)<title(?:[ \t\r\n][^>]*)?>(.*?)</title"
-LINKS = r'(?i)<a[ \t\r\n][^>]*href="([^"]*)"'
+# The first href of an anchor: in double or single quotes, which go later, or bare.
+LINKS = r"""(?i)<a[ \t\r\n](?:[^>]*?[ \t\r\n"'])?href[ \t\r\n]*=[ \t\r\n]*("[^"]*"|'[^']*'|[^ \t\r\n"'>]+)"""
+QUOTES = r"""^["']|["']\z"""
 EOL = "\r\n"
 
 
@@ -86,7 +88,8 @@ def derivatives(responses: DataFrame) -> DataFrame:
     """Two rows per response: warc_type metadata and conversion, with record_id, refers_to, target_uri, content_type,
     content_length, block_digest, source_payload_digest, header and block; page_id is passed on.
 
-    The metadata block lists the source's id, URI, date, digests and HTTP headers, the title and all links. NULL values
+    The metadata block lists the source's id, URI, date, digests and HTTP headers, the title and the href of every anchor, quoted
+    either way or not at all. Of the named references those of ENTITIES are decoded, others stay as they are. NULL values
     leave their line out; a NULL payload is empty. Equal responses give equal records. An empty table gives an empty one.
     """
     payload = F.coalesce(F.col("payload"), F.lit(""))
@@ -95,7 +98,7 @@ def derivatives(responses: DataFrame) -> DataFrame:
         "page_id", F.col("record_id").alias("source_id"), "target_uri", "warc_date", headers.alias("http_headers"),
         digest(payload).alias("source_payload_digest"), digest(F.concat(headers, F.lit(EOL), payload)).alias("source_block_digest"),
         without_markup(payload).alias("bare"), F.regexp_replace(F.regexp_extract(payload, TITLE, 1), r"[ \t\r\n]+", " ").alias("title"),
-        F.regexp_extract_all(payload, F.lit(LINKS), F.lit(1)).alias("links"),
+        F.transform(F.regexp_extract_all(payload, F.lit(LINKS), F.lit(1)), lambda x: F.regexp_replace(x, QUOTES, "")).alias("links"),
     )
     facts = F.concat(
         _lines(
