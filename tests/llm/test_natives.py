@@ -218,7 +218,7 @@ def test_links_in_all_their_forms(spark):
     html = """<a href="one.html">1</a> <A class=x HREF = 'two.html' >2</a> <a href=three.html>3</a> <a data-href="no" name='y'>-</a>
 <a
 href="">4</a> <abbr href="no">-</abbr> <a title="x"href="it's.html" href="second">5</a>""" + "<p>x</p>" * 100_000 + '<a rel=a href=last>6</a>'
-    out = warc.derivatives(warc.responses_of_pages(spark.createDataFrame([(1, "http://a.b/", html)], PAGES)))
+    out = warc.derivatives(warc.responses_of_pages(spark.createDataFrame([(1, "http://a.b/", html, None)], PAGES)))
     block = out.where("warc_type = 'metadata'").first()["block"]
     found = [line.removeprefix("outlink: ") for line in block.split("\r\n") if line.startswith("outlink: ")]
     assert found == ["one.html", "two.html", "three.html", "", "it's.html", "last"] and "links: 6" in block
