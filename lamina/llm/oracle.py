@@ -54,7 +54,7 @@ bare AS (
   SELECT *, {uuid("'response', page_id::VARCHAR, url, md5(payload)")} AS source_id, 'sha256:' || sha256(payload) AS spd,
          'sha256:' || sha256(http || {eol} || payload) AS sbd,
          regexp_replace(regexp_extract(payload, {_q(warc.TITLE)}, 1), '[ \\t\\r\\n]+', ' ', 'g') AS title,
-         list_transform(regexp_extract_all(payload, {_q(warc.LINKS)}, 1), lambda x: regexp_replace(x, {_q(warc.QUOTES)}, '', 'g')) AS links,
+         list_transform(regexp_extract_all(payload, {_q(warc.LINKS)}, 1), lambda x: trim(x, {_q(warc.QUOTES)})) AS links,
          regexp_replace(regexp_replace(regexp_replace(regexp_replace(payload, {_q(warc.HIDDEN)}, '', 'g'), '[ \\t\\r\\n\\f]+', ' ', 'g'),
            {_q(warc.BREAKS)}, chr(10), 'g'), {_q(warc.TAGS)}, '', 'g') AS bare
   FROM response),

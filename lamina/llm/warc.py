@@ -21,7 +21,7 @@ TAGS = r"</?[a-zA-Z!?][^>]*(?:>|\z)"
 TITLE = r"(?is)<title(?:[ \t\r\n][^>]*)?>(.*?)</title"
 # The first href of an anchor: in double or single quotes, which go later, or bare.
 LINKS = r"""(?i)<a[ \t\r\n](?:[^>]*?[ \t\r\n"'])?href[ \t\r\n]*=[ \t\r\n]*("[^"]*"|'[^']*'|[^ \t\r\n"'>]+)"""
-QUOTES = r"""^["']|["']\z"""
+QUOTES = "\"'"
 EOL = "\r\n"
 
 
@@ -98,7 +98,7 @@ def derivatives(responses: DataFrame) -> DataFrame:
         "page_id", F.col("record_id").alias("source_id"), "target_uri", "warc_date", headers.alias("http_headers"),
         digest(payload).alias("source_payload_digest"), digest(F.concat(headers, F.lit(EOL), payload)).alias("source_block_digest"),
         without_markup(payload).alias("bare"), F.regexp_replace(F.regexp_extract(payload, TITLE, 1), r"[ \t\r\n]+", " ").alias("title"),
-        F.transform(F.regexp_extract_all(payload, F.lit(LINKS), F.lit(1)), lambda x: F.regexp_replace(x, QUOTES, "")).alias("links"),
+        F.transform(F.regexp_extract_all(payload, F.lit(LINKS), F.lit(1)), lambda x: F.btrim(x, F.lit(QUOTES))).alias("links"),
     )
     facts = F.concat(
         _lines(
