@@ -153,7 +153,7 @@ def test_log_of_a_failed_check_stays(spark, store):
     """What is logged outside the transaction is there although the transaction is not."""
     from lamina.schemas import BATCH_LEDGER
 
-    ledger = spark.createDataFrame([("b", 1, AT)], BATCH_LEDGER.schema)
+    ledger = spark.createDataFrame([("b", 1, None, None, AT)], BATCH_LEDGER.schema)
     with pytest.raises(Lost):
         with store.transaction() as inner:
             inner.publish(RPT_DAILY_SUMMARY, daily(spark, (1, 1)), [()])
