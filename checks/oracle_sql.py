@@ -271,6 +271,24 @@ from {gold} g full join {serving} s on {on}
 where g.event_date is null or s.event_date is null or {differ}"""
 
 
+def _differences() -> str:
+    parts = []
+    for table, keys, measures in (
+        ("hourly", "event_date event_hour category source", "event_count revenue_events total_value"),
+        ("daily", "event_date", "total_events unique_users revenue_events total_revenue avg_value"),
+    ):
+        found = _mismatches(f"gold_{table}", f"target_{table}", keys, measures)
+        finer = "event_hour, category, source" if table == "hourly" else "null as event_hour, null as category, null as source"
+        table_id = "gold.agg_events_hourly" if table == "hourly" else "gold.rpt_daily_summary"
+        for m in measures.split():
+            double = m in ("total_value", "total_revenue", "avg_value")
+            apart = f"abs(gold_{m} - serving_{m}) >= 0.01" if double else f"gold_{m} <> serving_{m}"
+            parts.append(f"""select '{table_id}' as table_id, event_date, {finer}, mismatch, '{m}' as measure,
+  cast(gold_{m} as double) as gold_value, cast(serving_{m} as double) as serving_value
+from ({found}) m where mismatch <> 'different' or {apart}""")
+    return _query(" union all ".join(parts), _SERVING_CTE)
+
+
 def statements() -> dict[str, str]:
     hourly_keys = "event_date event_hour category source"
     raw = "event_id, user_name, category, source, value, event_time, batch_id"
@@ -349,6 +367,13 @@ join (select cast(unnest(range(6)) as integer) as step) s on was = (step < 5)"""
         "delivery_mismatches_daily": _query(_mismatches(
             "gold_daily", "target_daily", "event_date",
             "total_events unique_users revenue_events total_revenue avg_value"), _SERVING_CTE),
+        "delivery_differences": _differences(),
+        "gold_hourly_as_of": _query(f"""
+select event_date, event_hour, category, source, as_of, count(*) as event_count,
+  cast(sum(is_revenue_event) as bigint) as revenue_events, {_MONEY.format('value')} as total_value
+from (select c.*, 'batch_' || week as as_of, row_number() over (partition by week, event_id order by batch_id desc) as rn
+      from clean c join (select distinct {_WEEK} as week from stg) w on {_WEEK} <= week) t
+where rn = 1 group by event_date, event_hour, category, source, as_of"""),
         "catalog_tables": _query(f"""select r.*, row_count
 from {_TABLES} r (table_id, layer, table_name, engine, partition_key, order_key, tags)
 left join sizes s on s.table_id = r.table_id""", _DIM_CTE, _GOLD, _SNAPSHOTS, _SIZES),

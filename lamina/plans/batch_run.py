@@ -26,12 +26,12 @@ from lamina.plans import bronze, catalog, delivery, gold, scd2, serve, silver
 from lamina.schemas import (
     AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, BENCHMARK_LOG, COLUMN_REGISTRY, DATA_LINEAGE, DIM_USERS, EVENT_KEYS,
     EXPORT_DAILY, EXPORT_HOURLY, FACT_EVENTS, PIPELINE_RUNS, QUARANTINE_EVENTS, RPT_DAILY_SUMMARY,
-    RPT_DAILY_SUMMARY_HISTORY, SERVING_DAILY, SERVING_HOURLY, STG_EVENTS, TABLE_REGISTRY, USER_ACTIVITY,
+    RPT_DAILY_SUMMARY_HISTORY, SERVING_DAILY, SERVING_HOURLY, SNAPSHOT_DAYS, STG_EVENTS, TABLE_REGISTRY, USER_ACTIVITY,
     TableSpec,
 )
 from lamina.session import now
 from lamina.sources.event_feed import delivery_time
-from lamina.sources.store import Store
+from lamina.sources.store import Store, arranged
 
 # Versions of a bucket of keys before it is written as a whole.
 KEY_VERSIONS = 8
@@ -170,6 +170,7 @@ def _transform(run: Run) -> None:
         days, activity = _apply_facts(run, accounted)
         scopes = [(d,) for d in days]
         users = start(_apply_users, run, activity)
+        _note_days(run, days)
         for figures in [start(_refresh_hourly, run, scopes), start(_refresh_daily, run, scopes)]:
             figures.result()
         with run.step("validate_delivery", "validation") as record:
@@ -244,6 +245,13 @@ def _apply_facts(run: Run, accounted: Future) -> tuple[list[date], DataFrame]:
     return sorted({p[0] for p in [*own, *older]}), activity
 
 
+def _note_days(run: Run, days: list[date]) -> None:
+    """Note which days the delivery changes, and its place among the applied ones."""
+    position = len(run.store.first_level(SNAPSHOT_DAYS))
+    rows = run.store.spark.createDataFrame([(d, position, run.batch_id) for d in (None, *days)], SNAPSHOT_DAYS.schema)
+    run.store.publish(SNAPSHOT_DAYS, rows, [(run.batch_id,)], [(run.batch_id,)])
+
+
 def _event_keys(store: Store, buckets: list[tuple]) -> DataFrame:
     """(event_id, event_date, batch_id) of the events in the buckets; a store without the index has it made out of its facts."""
     if store.partitions(EVENT_KEYS) or not store.partitions(FACT_EVENTS):
@@ -295,7 +303,9 @@ def _apply_users(run: Run, activity: DataFrame) -> None:
             r["user_bucket"]: late or r["corrected"]
             for r in activity.groupBy("user_bucket").agg(F.max(F.col("n") < 0).alias("corrected")).collect()
         }
-        scopes, rebuilt_buckets = [(b,) for b in buckets], [b for b, rebuilt in buckets.items() if rebuilt]
+        rebuilt_buckets = [b for b, rebuilt in buckets.items() if rebuilt]
+        # Closed versions are read, and written again, only where the past changes.
+        scopes = [(1, b) for b in buckets] + [(0, b) for b in rebuilt_buckets]
         versions = store.read(DIM_USERS, scopes)
         profiled = activity.where("n > 0")
         if rebuilt_buckets:
@@ -316,8 +326,13 @@ def _apply_users(run: Run, activity: DataFrame) -> None:
             result = result.unionByName(whole.withColumn("change", change).select(*moved.columns))
         result = result.withColumn("user_bucket", user_bucket(F.col("user_name"), store.user_buckets))
         staged = run.staged("users", result)
-        groups = staged.groupBy("user_bucket", "change").agg(F.count("*").alias("n")).collect()
-        store.publish(DIM_USERS, staged, scopes, {(r["user_bucket"],) for r in groups})
+        groups = staged.groupBy("is_current", "user_bucket", "change").agg(F.count("*").alias("n")).collect()
+        parts = {(r["is_current"], r["user_bucket"]) for r in groups}
+        added = parts.difference(scopes)
+        just_closed = (F.col("is_current") == 0) & ~F.col("user_bucket").isin(rebuilt_buckets)
+        store.publish(DIM_USERS, staged.where(~just_closed), scopes, parts - added)
+        if added:
+            store.append(DIM_USERS, arranged(staged.where(just_closed), DIM_USERS, len(added)), added)
         new, changed = (sum(r["n"] for r in groups if r["change"] == kind) for kind in ("new", "changed"))
         run.counts.update(dim_users_new=new, dim_users_updated=changed)
         record.update(rows_in=run.counts["silver_rows"], rows_out=new + changed)

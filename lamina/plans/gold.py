@@ -83,6 +83,23 @@ def daily_kpis_for_batch(facts: DataFrame, batch_id: str, own: DataFrame | None
     return _daily_from(_near(facts, batch_id, own), [hit]).where("_hit").drop("_hit")
 
 
+def as_of(current: DataFrame, history: DataFrame, changed_later: DataFrame) -> DataFrame:
+    """Gold as it stood before the deliveries of `changed_later`, its rows (event_date, position, _snapshot_batch).
+
+    A day is what the first of them found there, even where that was nothing; days none of them changed are current.
+    """
+    first = first_changes(changed_later)
+    then = history.join(first, ["event_date", "_snapshot_batch"], "left_semi")
+    since = current.join(first, "event_date", "left_anti")
+    return since.select(*current.columns).unionByName(then.select(*current.columns))
+
+
+def first_changes(changes: DataFrame) -> DataFrame:
+    """The first delivery that changed each day; one row a day of the calendar."""
+    days = changes.where(F.col("event_date").isNotNull())
+    return days.groupBy("event_date").agg(F.min_by("_snapshot_batch", "position").alias("_snapshot_batch"))
+
+
 def snapshot(gold: DataFrame, touched_dates: DataFrame, batch_id: str) -> DataFrame:
     """Gold rows of the touched days as they stand, marked with the delivery.
 

@@ -12,14 +12,14 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.plans import delivery, quality
+from lamina.plans import delivery, gold, quality
 from lamina.schemas import (
     AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, DIM_USERS, EXPORT_DAILY, EXPORT_HOURLY, FACT_EVENTS,
-    QUARANTINE_EVENTS, RPT_DAILY_SUMMARY, RPT_DAILY_SUMMARY_HISTORY, SERVING_DAILY, SERVING_HOURLY, STG_EVENTS,
-    VALIDATION_LOG, TableSpec,
+    DAILY_KEYS, DAILY_MEASURES, DELIVERY_DIFFERENCES, HOURLY_KEYS, HOURLY_MEASURES, QUARANTINE_EVENTS, RPT_DAILY_SUMMARY,
+    RPT_DAILY_SUMMARY_HISTORY, SERVING_DAILY, SERVING_HOURLY, SNAPSHOT_DAYS, STG_EVENTS, VALIDATION_LOG, TableSpec,
 )
 from lamina.session import now
-from lamina.sources.store import Store
+from lamina.sources.store import Store, arranged
 
 
 class DeliveryMismatch(RuntimeError):
@@ -62,10 +62,11 @@ def _merge(store: Store, spec: TableSpec, day: date, rows: DataFrame, upsert) ->
 def check_delivery(store: Store, run_id: str, days: list[tuple], hour: int | None = None) -> DataFrame:
     """Compare gold and serving for whole days or one hour of them; log the comparison, then fail on a difference.
 
-    Besides the totals of each hour every single row is compared.
+    Besides the totals of each hour every single row is compared, by digests of days first. What differs is
+    kept in `catalog.delivery_differences`.
     """
-    def rows(spec: TableSpec) -> DataFrame:
-        found = store.read(spec, days)
+    def rows(spec: TableSpec, scopes: list[tuple] = days) -> DataFrame:
+        found = store.read(spec, scopes)
         return found if hour is None or "event_hour" not in found.columns else found.where(F.col("event_hour") == hour)
 
     hourly, daily, served_hourly, served_daily = map(
@@ -80,17 +81,54 @@ def check_delivery(store: Store, run_id: str, days: list[tuple], hour: int | Non
     # Stays in the log even where the difference found stops a commit.
     store.settled.append(VALIDATION_LOG, log)
     problems = [f"{r['event_date']} {r['event_hour']:02d}h totals" for r in found if r["overall_status"] == "fail"]
-    differing = delivery.mismatches(hourly, served_hourly).select("event_date", "mismatch").unionByName(
-        delivery.daily_mismatches(daily, served_daily).select("event_date", "mismatch")
-    )
-    # At most three kinds a day; every differing row is counted.
-    counted = differing.groupBy("event_date", "mismatch").agg(F.count("*").alias("n")).orderBy("event_date", "mismatch")
-    problems += [f"{r['event_date']} {r['n']} {r['mismatch']} rows" for r in counted.collect()]
+    for spec, served, keys, measures in (
+        (AGG_EVENTS_HOURLY, SERVING_HOURLY, HOURLY_KEYS, HOURLY_MEASURES), (RPT_DAILY_SUMMARY, SERVING_DAILY, DAILY_KEYS, DAILY_MEASURES),
+    ):
+        # Names of partitions, none where all is well.
+        apart = delivery.differing_parts(rows(spec), rows(served), [*keys, *measures], ["event_date"])
+        scopes = sorted(tuple(r) for r in apart.collect())
+        if scopes:
+            found = delivery.differences_below(rows(spec, scopes), rows(served, scopes), keys, measures)
+            problems += _kept(store, run_id, spec, found, measures)
     if problems:
         raise DeliveryMismatch(f"{run_id}: " + "; ".join(problems))
     return log
 
 
+def _kept(store: Store, run_id: str, spec: TableSpec, found: DataFrame, measures: tuple[str, ...]) -> list[str]:
+    """Store the differing rows, measure by measure; returns how many of each kind there are by day."""
+    attempt = f"check-{uuid.uuid4().hex}"
+    staged = store.staged(attempt, "differing", found)
+    # At most three kinds a day; every differing row is counted.
+    counted = staged.groupBy("event_date", "mismatch").agg(F.count("*").alias("n")).orderBy("event_date", "mismatch").collect()
+    absent = {c: dtype for c, dtype, _ in DELIVERY_DIFFERENCES.columns[3:6] if c not in found.columns}
+    kept = delivery.by_measure(staged, measures).select(
+        "*", *[F.lit(None).cast(dtype).alias(c) for c, dtype in absent.items()],
+        F.lit(run_id).alias("run_id"), F.lit(spec.table_id).alias("table_id"), F.lit(now()).alias("validated_at"),
+    )
+    if counted:
+        days = sorted({(r["event_date"],) for r in counted})
+        store.settled.append(DELIVERY_DIFFERENCES, arranged(kept, DELIVERY_DIFFERENCES), days)
+    store.clear_staging(attempt)
+    return [f"{r['event_date']} {r['n']} {r['mismatch']} rows" for r in counted]
+
+
+def gold_as_of(store: Store, table: TableSpec, batch_id: str) -> DataFrame:
+    """The hourly or daily figures as they stood once the delivery `batch_id` had been applied.
+
+    Of the history only the partitions of those later deliveries are read that were the first to change a day.
+    """
+    history = {AGG_EVENTS_HOURLY: AGG_EVENTS_HOURLY_HISTORY, RPT_DAILY_SUMMARY: RPT_DAILY_SUMMARY_HISTORY}[table]
+    pinned = store.snapshot()
+    own = pinned.read(SNAPSHOT_DAYS, [(batch_id,)]).select("position").first()
+    if own is None:
+        raise KeyError(f"{batch_id} has not been applied, or before changed days were noted")
+    later = pinned.read(SNAPSHOT_DAYS).where(F.col("position") > own["position"])
+    # Names of deliveries, at most one a day.
+    first = [tuple(r) for r in gold.first_changes(later).select("_snapshot_batch").distinct().collect()]
+    return gold.as_of(pinned.read(table), pinned.read(history, first), later)
+
+
 def summary(store: Store, batch_id: str, event_date: str) -> DataFrame:
     """Row counts of all layers in one job."""
     tables = (

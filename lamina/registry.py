@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.operators import column_profile
-from lamina.plans import batch_run, bronze, catalog, delivery, gold, quality, scd2, silver
+from lamina.plans import batch_run, bronze, catalog, delivery, gold, quality, scd2, serve, silver
 from lamina.schemas import (
-    AGG_EVENTS_HOURLY, DIM_USERS, EXPORT_DAILY, EXPORT_HOURLY, RPT_DAILY_SUMMARY, SERVING_DAILY, SERVING_HOURLY, STG_EVENTS, TableSpec,
+    AGG_EVENTS_HOURLY, DELIVERY_DIFFERENCES, DIM_USERS, EXPORT_DAILY, EXPORT_HOURLY, RPT_DAILY_SUMMARY, SERVING_DAILY, SERVING_HOURLY, STG_EVENTS, TableSpec,
 )
 from lamina.session import fresh_folder, written
 from lamina.sources import event_feed
@@ -127,6 +127,23 @@ def delivery_mismatches_daily(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def delivery_differences(spark: SparkSession, folder: str) -> DataFrame:
+    """What is kept of a comparison that fails: stored gold against serving tables that were filled before the latest deliveries."""
+    store = Store(spark, fresh_folder(spark, "differences"))
+    now, served = written(facts(spark, folder), "facts"), written(served_facts(spark, folder), "facts")
+    with store.transaction() as inner:
+        for spec, kpis, rows in (
+            (AGG_EVENTS_HOURLY, gold.hourly_kpis, now), (RPT_DAILY_SUMMARY, gold.daily_kpis, now),
+            (SERVING_HOURLY, gold.hourly_kpis, served), (SERVING_DAILY, gold.daily_kpis, served),
+        ):
+            inner.publish(spec, kpis(rows).withColumn(spec.version, F.lit(_REGISTERED_AT)), [()])
+    try:
+        serve.check_delivery(store, "run", [()])
+    except serve.DeliveryMismatch:
+        pass
+    return store.read(DELIVERY_DIFFERENCES).drop("run_id", "validated_at")
+
+
 def layer_sources(spark: SparkSession, folder: str) -> list[tuple[DataFrame, dict[str, Column]]]:
     """The layers as (rows, tables that are parts of them). The facts feed four tables and are written once."""
     now, whole = written(facts(spark, folder), "facts"), F.lit(True)
@@ -341,6 +358,15 @@ def incremental_replay(spark: SparkSession, folder: str) -> DataFrame:
     return store.read(RPT_DAILY_SUMMARY).drop("_updated_at")
 
 
+def gold_hourly_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly figures as they stood after each of the weekly deliveries, all told from the last state and the history."""
+    store = Store(spark, fresh_folder(spark, "as_of"))
+    weeks = batch_run.replay(store, _weekly_feed(spark, folder))
+    return reduce(DataFrame.unionByName, [
+        serve.gold_as_of(store, AGG_EVENTS_HOURLY, week).drop("_updated_at").withColumn("as_of", F.lit(week)) for week in weeks
+    ])
+
+
 class _Interrupted(RuntimeError):
     pass
 
@@ -412,6 +438,7 @@ def queries() -> dict[str, Query]:
         "delivery_validation": delivery_validation,
         "delivery_mismatches": delivery_mismatches,
         "delivery_mismatches_daily": delivery_mismatches_daily,
+        "delivery_differences": delivery_differences,
         "catalog_tables": catalog_tables,
         "catalog_columns": catalog_columns,
         "column_profile": lambda s, d: column_profile(facts(s, d)),
@@ -423,6 +450,7 @@ def queries() -> dict[str, Query]:
         "redelivery_verdicts": redelivery_verdicts,
         "unreadable_rows_aside": unreadable_rows_aside,
         "publish_interrupted": publish_interrupted,
+        "gold_hourly_as_of": gold_hourly_as_of,
         "incremental_replay": incremental_replay,
         "recovery_replay": recovery_replay,
         "stream_replay": stream_replay,

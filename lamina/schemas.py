@@ -134,7 +134,8 @@ DIM_USERS = TableSpec(
         ("user_bucket", INT, "Hash bucket of user_name"),
     ),
     contract="latest", keys=("user_name", "valid_from"), version="valid_to",
-    partition_by=("user_bucket",), sort_by=("user_name", "valid_from"),
+    # Closed versions don't change any more but by corrections, so they lie apart and are only added to.
+    partition_by=("is_current", "user_bucket"), sort_by=("user_name", "valid_from"),
     tags=("dimension", "history"), metrics=("total_events", "total_value"),
     small_partitions=True,
 )
@@ -209,6 +210,16 @@ RPT_DAILY_SUMMARY_HISTORY = TableSpec(
     _DAILY + _SNAPSHOT, partition_by=("_snapshot_batch",), sort_by=DAILY_KEYS,
     tags=("audit", "append-only"), metrics=DAILY_MEASURES,
 )
+SNAPSHOT_DAYS = TableSpec(
+    "gold", "snapshot_days", "Days whose figures a delivery changed, in the order deliveries were applied",
+    (
+        ("event_date", DATE, "Day; empty in one row of each delivery, which stands for the delivery itself"),
+        ("position", LONG, "Deliveries applied before"),
+        ("_snapshot_batch", STRING, "Delivery"),
+    ),
+    keys=("_snapshot_batch", "event_date"), partition_by=("_snapshot_batch",), tags=("audit", "index"), nullable=("event_date",),
+    small_partitions=True,
+)
 
 SERVING_HOURLY = TableSpec(
     "serving", "agg_events_hourly", "Hourly figures as consumers see them",
@@ -344,6 +355,24 @@ VALIDATION_LOG = TableSpec(
     ),
     sort_by=("event_date", "event_hour"), tags=("metadata", "validation"),
 )
+DELIVERY_DIFFERENCES = TableSpec(
+    "catalog", "delivery_differences", "Measures that a comparison of gold with the serving tables found to differ",
+    (
+        ("run_id", STRING, "Run that compared"),
+        ("table_id", STRING, "Gold table compared"),
+        ("event_date", DATE, "Day of the row"),
+        ("event_hour", INT, "Hour of the row, empty for daily rows"),
+        ("category", STRING, "Category of the row, empty for daily rows"),
+        ("source", STRING, "Channel of the row, empty for daily rows"),
+        ("mismatch", STRING, "missing or surplus in the serving table, or different"),
+        ("measure", STRING, "Measure that differs; all of them for missing and surplus rows"),
+        ("gold_value", DOUBLE, "Value in gold"),
+        ("serving_value", DOUBLE, "Value in the serving table"),
+        ("validated_at", TS, "When the comparison ran"),
+    ),
+    partition_by=("event_date",), sort_by=("event_hour", "category", "source", "measure"), tags=("metadata", "validation"),
+    nullable=("event_hour", "category", "source", "gold_value", "serving_value"),
+)
 BENCHMARK_LOG = TableSpec(
     "catalog", "benchmark_log", "Time and throughput of every step",
     (
@@ -371,8 +400,9 @@ BENCHMARK_LOG = TableSpec(
 TABLES: tuple[TableSpec, ...] = (
     STG_EVENTS, FACT_EVENTS, EVENT_KEYS, QUARANTINE_EVENTS, DIM_USERS, USER_ACTIVITY,
     AGG_EVENTS_HOURLY, RPT_DAILY_SUMMARY, AGG_EVENTS_HOURLY_HISTORY, RPT_DAILY_SUMMARY_HISTORY,
-    SERVING_HOURLY, SERVING_DAILY,
-    TABLE_REGISTRY, COLUMN_REGISTRY, DATA_LINEAGE, BATCH_LEDGER, PIPELINE_RUNS, VALIDATION_LOG, BENCHMARK_LOG,
+    SNAPSHOT_DAYS, SERVING_HOURLY, SERVING_DAILY,
+    TABLE_REGISTRY, COLUMN_REGISTRY, DATA_LINEAGE, BATCH_LEDGER, PIPELINE_RUNS, VALIDATION_LOG, DELIVERY_DIFFERENCES,
+    BENCHMARK_LOG,
 )
 
 # The data flows between tables, (source, target, what happens, function).

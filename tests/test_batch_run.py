@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina.functions import user_bucket
-from lamina.plans import batch_run, bronze, delivery, gold, silver
+from lamina.plans import batch_run, bronze, delivery, gold, serve, silver
 from lamina.schemas import (
-    AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, BENCHMARK_LOG, COLUMN_REGISTRY, DATA_LINEAGE, DIM_USERS, EVENT_KEYS, EXPORT_DAILY,
-    EXPORT_HOURLY, FACT_EVENTS, PIPELINE_RUNS, QUARANTINE_EVENTS, RPT_DAILY_SUMMARY, RPT_DAILY_SUMMARY_HISTORY,
+    AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, BENCHMARK_LOG, COLUMN_REGISTRY, DATA_LINEAGE, DELIVERY_DIFFERENCES, DIM_USERS, EVENT_KEYS,
+    EXPORT_DAILY, EXPORT_HOURLY, FACT_EVENTS, PIPELINE_RUNS, QUARANTINE_EVENTS, RPT_DAILY_SUMMARY, RPT_DAILY_SUMMARY_HISTORY,
     SERVING_DAILY, SERVING_HOURLY, STG_EVENTS, TABLE_REGISTRY, TABLES, VALIDATION_LOG,
 )
 from tests.helpers import content, raw_rows, users_of
@@ -161,6 +161,34 @@ def test_sql_access(spark, applied):
     assert "PartitionFilters: [isnotnull(event_date" in plan._jdf.queryExecution().toString()
 
 
+def check_past(spark, store, *batches):
+    """Gold as of each of the deliveries, in the order they were applied, against what had come until then."""
+    for n in range(1, len(batches) + 1):
+        facts = silver.facts_from_raw(feed_of(spark, *batches[:n])).cache()
+        hourly, daily = (serve.gold_as_of(store, spec, batches[n - 1]) for spec in (AGG_EVENTS_HOURLY, RPT_DAILY_SUMMARY))
+        assert content(hourly, "_updated_at") == content(gold.hourly_kpis(facts))
+        assert content(daily, "_updated_at") == content(gold.daily_kpis(facts))
+
+
+def test_gold_as_of_each_delivery(spark, applied):
+    """A day that a delivery leaves empty, days it fills first, and a delivery without events are among them."""
+    store, _ = applied
+    check_past(spark, store, D1, D2, D3, LAST)
+    with pytest.raises(KeyError, match=NOON):
+        serve.gold_as_of(store, RPT_DAILY_SUMMARY, NOON)
+
+
+def test_gold_as_of_reads_only_first_changes(spark, applied):
+    """LAST touches a day of its own, so the state before it needs nothing of the days of D1 and D2 but the tables."""
+    store, _ = applied
+
+    def history_of(batch_id):
+        files = serve.gold_as_of(store, RPT_DAILY_SUMMARY, batch_id).inputFiles()
+        return {f.split("_snapshot_batch=")[1].split("/")[0] for f in files if RPT_DAILY_SUMMARY_HISTORY.name in f}
+
+    assert (history_of(D1), history_of(D2)) == ({D2}, set())
+
+
 def test_late_delivery_rebuilds_the_past(spark, applied):
     """Last in this module, as it adds to the shared store."""
     store, _ = applied
@@ -169,6 +197,49 @@ def test_late_delivery_rebuilds_the_past(spark, applied):
     check(spark, store, D1, NOON, D2, D3, LAST)
     buckets = store.read(DIM_USERS).withColumn("b", user_bucket(F.col("user_name"), 4))
     assert buckets.where("b <> user_bucket").isEmpty()
+    check_past(spark, store, D1, D2, D3, LAST, NOON)
+
+
+def test_closed_versions_are_only_added_to(spark, store):
+    """Nothing that was closed before is written again by deliveries without corrections."""
+    days = [f"batch_2024-01-0{n}" for n in range(1, 6)]
+    rows = [(f"e{day}-{u}", f"user{u}", "view" if (n + u) % 2 else "click", "web", 1.0, f"2024-01-0{n} 10:00", day)
+            for n, day in enumerate(days, 1) for u in range(8)]
+    feed, kept = raw_rows(spark, *rows), {}
+    for day in days:
+        batch_run.run_batch(store, feed, day)
+        live = store.partitions(DIM_USERS)
+        closed = {part: versions for part, versions in live.items() if part[0] == 0}
+        assert all(closed[part][: len(versions)] == versions for part, versions in kept.items())
+        assert all(len(versions) == 1 for part, versions in live.items() if part[0] == 1)
+        kept = closed
+    assert sum(map(len, kept.values())) > len(kept)
+    expected = content(users_of(silver.facts_from_raw(feed)))
+    assert content(store.read(DIM_USERS).drop("value_exact", "value_rest", "user_bucket")) == expected
+    assert store.draw_together(DIM_USERS, 2) == len(kept) and store.draw_together(DIM_USERS, 2) == 0
+    assert content(store.read(DIM_USERS).drop("value_exact", "value_rest", "user_bucket")) == expected
+    # A correction writes the closed versions of its users' buckets anew.
+    again = raw_rows(spark, ("ebatch_2024-01-01-3", "user3", "view", "api", 2.0, "2024-01-01 10:00", "batch_2024-01-06"))
+    batch_run.run_batch(store, again, "batch_2024-01-06")
+    assert content(store.read(DIM_USERS).drop("value_exact", "value_rest", "user_bucket")) == content(users_of(silver.facts_from_raw(feed.union(again))))
+
+
+def test_differing_rows_are_kept(spark, store, monkeypatch):
+    batch_run.replay(store, feed_of(spark, D1, D2))
+    # Equal days are not joined.
+    with monkeypatch.context() as patched:
+        patched.setattr(delivery, "mismatches", lambda *_: pytest.fail("joined"))
+        serve.check_delivery(store, "well", [()])
+    assert store.read(DELIVERY_DIFFERENCES).isEmpty()
+    served = store.read(SERVING_HOURLY)
+    wrong = served.withColumn("event_count", F.when(F.col("category") == "purchase", F.col("event_count") + 2).otherwise(F.col("event_count")))
+    store.publish(SERVING_HOURLY, store.staged("wrong", "rows", wrong), [()])
+    with pytest.raises(serve.DeliveryMismatch, match="2024-01-01 1 different rows"):
+        serve.check_delivery(store, "ill", [()])
+    (row,) = store.read(DELIVERY_DIFFERENCES).collect()
+    assert (row["run_id"], row["table_id"], str(row["event_date"]), row["event_hour"], row["category"], row["source"]) == (
+        "ill", "gold.agg_events_hourly", "2024-01-01", 10, "purchase", "web")
+    assert (row["mismatch"], row["measure"], row["gold_value"], row["serving_value"]) == ("different", "event_count", 1.0, 3.0)
 
 
 def test_catalog_is_registered_once(spark, store):

@@ -5,6 +5,8 @@ from datetime import date
 import pytest
 
 from lamina.plans import delivery
+from lamina.schemas import HOURLY_KEYS, HOURLY_MEASURES
+from tests.helpers import content
 
 HOURLY = "event_date date, event_hour int, category string, source string, event_count long, revenue_events long, total_value double"
 DAILY = "event_date date, total_events long, unique_users long, revenue_events long, total_revenue double, avg_value double"
@@ -22,6 +24,7 @@ def compared(spark):
         report = {r["event_hour"]: r for r in delivery.validate(gold_hourly, gold_daily, *served).collect()}
         found = [r["mismatch"] for r in delivery.mismatches(gold_hourly, served[0]).collect()]
         found += [r["mismatch"] for r in delivery.daily_mismatches(gold_daily, served[1]).collect()]
+        assert content(delivery.differences_below(gold_hourly, served[0])) == content(delivery.mismatches(gold_hourly, served[0]))
         return report, sorted(found)
 
     return run
@@ -71,3 +74,29 @@ def test_daily(compared):
 def test_unchecked_measures_are_checked_by_row(compared):
     _, found = compared(ROWS, [(DAY, 7, 3, 1, 10.0, 4.43)])
     assert found == ["different"]
+
+
+def test_only_parts_that_differ_are_gone_into(spark):
+    other = date(2024, 1, 2)
+    gold = spark.createDataFrame([*ROWS, (other, 1, "a", "web", 3, 1, 10.0), (other, 2, "a", "web", 3, 1, 10.0)], HOURLY)
+    served = spark.createDataFrame([*ROWS[::-1], (other, 1, "a", "web", 4, 1, 10.0), (other, 2, "a", "web", 3, 1, 10.0)], HOURLY)
+    columns = [*HOURLY_KEYS, *HOURLY_MEASURES]
+    assert [tuple(r) for r in delivery.differing_parts(gold, served, columns, ["event_date"]).collect()] == [(other,)]
+    assert [tuple(r) for r in delivery.differing_parts(gold, served, columns, ["event_date", "event_hour"]).collect()] == [(other, 1)]
+
+
+def test_rows_with_the_same_hashes_but_for_where_a_null_is(spark):
+    gold, served = (spark.createDataFrame([(DAY, 1, *names, 1, 0, 1.0)], HOURLY) for names in (("x", None), (None, "x")))
+    assert sorted(r["mismatch"] for r in delivery.differences_below(gold, served).collect()) == ["missing", "surplus"]
+    assert delivery.mismatches(gold, gold).isEmpty()
+
+
+def test_differences_by_measure(spark):
+    gold = spark.createDataFrame(ROWS, HOURLY)
+    found = delivery.mismatches(gold, spark.createDataFrame([*changed(0, event_count=5, total_value=10.001)[:2], (DAY, 3, "a", "api", 1, 0, None)], HOURLY))
+    cells = [(r["event_hour"], r["mismatch"], r["measure"], r["gold_value"], r["serving_value"]) for r in delivery.by_measure(found, HOURLY_MEASURES).collect()]
+    assert sorted(cells, key=repr) == [
+        (1, "different", "event_count", 3.0, 5.0),
+        (2, "missing", "event_count", 1.0, None), (2, "missing", "revenue_events", 0.0, None), (2, "missing", "total_value", 1.0, None),
+        (3, "surplus", "event_count", None, 1.0), (3, "surplus", "revenue_events", None, 0.0), (3, "surplus", "total_value", None, None),
+    ]

@@ -9,7 +9,7 @@ from lamina import registry
 from tests.conftest import SMALL
 
 # These apply five deliveries each; test_batch_run covers the same ground on few rows, checks.compare runs them.
-SLOW = {"incremental_replay", "recovery_replay", "stream_replay"}
+SLOW = {"gold_hourly_as_of", "incremental_replay", "recovery_replay", "stream_replay"}
 NAMES = sorted(set(registry.queries()) - SLOW)
 
 
