@@ -309,6 +309,9 @@ def statements() -> dict[str, str]:
   count(*) filter (version_no > 1) as updated_users from bounds group by valid_from""", _DIM_CTE),
         "gold_hourly_full": _query(hourly("fact")),
         "gold_daily_full": _query(daily("fact")),
+        "gold_daily_from_states": _query(daily("fact")),
+        "gold_weekly_from_states": _query(f"""select event_date as week_start, * exclude (event_date) from ({daily(
+            "(select * replace (cast(date_trunc('week', event_date) as date) as event_date) from fact) f")}) g"""),
         "gold_hourly_for_batch": _query(f"""select * from ({hourly('fact')}) g where exists (select 1 from fact f
   where f.batch_id = '{BATCH}' and f.event_date = g.event_date and f.event_hour = g.event_hour)"""),
         "gold_daily_for_batch": _query(f"""select * from ({daily('fact')}) g where event_date in (

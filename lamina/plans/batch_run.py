@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from lamina.functions import user_bucket
 from lamina.plans import bronze, catalog, delivery, gold, scd2, serve, silver
 from lamina.schemas import (
-    AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, BENCHMARK_LOG, COLUMN_REGISTRY, DATA_LINEAGE, DIM_USERS, EVENT_KEYS,
+    AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, BENCHMARK_LOG, COLUMN_REGISTRY, DAILY_STATES, DATA_LINEAGE, DIM_USERS, EVENT_KEYS,
     EXPORT_DAILY, EXPORT_HOURLY, FACT_EVENTS, PIPELINE_RUNS, QUARANTINE_EVENTS, RPT_DAILY_SUMMARY,
     RPT_DAILY_SUMMARY_HISTORY, SERVING_DAILY, SERVING_HOURLY, SNAPSHOT_DAYS, STG_EVENTS, TABLE_REGISTRY, USER_ACTIVITY,
-    TableSpec,
+    USER_NUMBERS, TableSpec,
 )
 from lamina.session import now
 from lamina.sources.event_feed import delivery_time
@@ -167,11 +167,12 @@ def _transform(run: Run) -> None:
             return pool.submit(inheritable_thread_target(run.store.spark)(job), *arguments)
 
         accounted = start(_quarantine, run)
-        days, activity = _apply_facts(run, accounted)
+        parts, activity = _apply_facts(run, accounted)
+        days = sorted({p[0] for p in parts})
         scopes = [(d,) for d in days]
         users = start(_apply_users, run, activity)
         _note_days(run, days)
-        for figures in [start(_refresh_hourly, run, scopes), start(_refresh_daily, run, scopes)]:
+        for figures in [start(_refresh_hourly, run, scopes), start(_refresh_daily, run, scopes, parts)]:
             figures.result()
         with run.step("validate_delivery", "validation") as record:
             compared = serve.check_delivery(run.store, run.run_id, scopes)
@@ -192,10 +193,10 @@ def _quarantine(run: Run) -> None:
         record.update(rows_in=n["bronze"], rows_out=n["n"])
 
 
-def _apply_facts(run: Run, accounted: Future) -> tuple[list[date], DataFrame]:
+def _apply_facts(run: Run, accounted: Future) -> tuple[list[tuple[date, str]], DataFrame]:
     """Add the delivery's events and take out the versions they replace.
 
-    Returns the touched days and the signed changes of user activity. Nothing is published
+    Returns the written partitions and the signed changes of user activity. Nothing is published
     before the rows are accounted for.
     """
     store, batch_id = run.store, run.batch_id
@@ -242,7 +243,7 @@ def _apply_facts(run: Run, accounted: Future) -> tuple[list[date], DataFrame]:
         _note_keys(run, winners.select("event_id", "event_date", "batch_id"), own_buckets)
         run.counts["silver_rows"] = sum(sizes[p] for p in own)
         record.update(rows_in=run.counts["bronze_rows"], rows_out=run.counts["silver_rows"])
-    return sorted({p[0] for p in [*own, *older]}), activity
+    return [*own, *older], activity
 
 
 def _note_days(run: Run, days: list[date]) -> None:
@@ -340,20 +341,50 @@ def _apply_users(run: Run, activity: DataFrame) -> None:
 
 def _refresh_hourly(run: Run, scopes: list[tuple]) -> None:
     _refresh(
-        run, "hourly", gold.hourly_kpis, AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, EXPORT_HOURLY, SERVING_HOURLY,
+        run, "hourly", lambda: gold.hourly_kpis(run.store.read(FACT_EVENTS, scopes)), AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, EXPORT_HOURLY, SERVING_HOURLY,
         scopes, delivery.export_layout,
     )
 
 
-def _refresh_daily(run: Run, scopes: list[tuple]) -> None:
+def _refresh_daily(run: Run, scopes: list[tuple], parts: list[tuple[date, str]]) -> None:
+    def figures() -> DataFrame:
+        _update_states(run, scopes, parts)
+        return gold.daily_from_states(run.store.read(DAILY_STATES, scopes))
+
     _refresh(
-        run, "daily", gold.daily_kpis, RPT_DAILY_SUMMARY, RPT_DAILY_SUMMARY_HISTORY, EXPORT_DAILY, SERVING_DAILY,
-        scopes, lambda rows: rows,
+        run, "daily", figures, RPT_DAILY_SUMMARY, RPT_DAILY_SUMMARY_HISTORY, EXPORT_DAILY, SERVING_DAILY, scopes, lambda rows: rows,
     )
 
 
+def _update_states(run: Run, scopes: list[tuple], parts: list[tuple[date, str]]) -> None:
+    """Make the daily states of the written fact partitions anew; other deliveries' states of the days stay.
+
+    In a store whose facts are older than the states, those of the touched days are made as well.
+    """
+    store = run.store
+    days = {str(d) for d, in scopes}
+    held = {p for p in store.partitions(FACT_EVENTS) if p[0] in days}
+    known = set(store.partitions(DAILY_STATES))
+    written = {(str(d), b) for d, b in parts}
+    wanted = sorted((written & held) | (held - known))
+    if not wanted:
+        store.publish(DAILY_STATES, store.read(DAILY_STATES, []), written, [])
+        return
+    facts = store.read(FACT_EVENTS, wanted)
+    names = facts.select("user_name").distinct()
+    # Only the buckets of users in these partitions are looked up.
+    buckets = [(r[0],) for r in names.select(user_bucket(F.col("user_name"), store.user_buckets)).distinct().collect()]
+    numbers = store.read(USER_NUMBERS, buckets)
+    fresh = run.staged("numbers", gold.new_user_numbers(names, numbers, store.user_buckets))
+    added = [(r[0],) for r in fresh.select("user_bucket").distinct().collect()]
+    if added:
+        store.append(USER_NUMBERS, arranged(fresh, USER_NUMBERS, len(added)), added)
+    states = run.staged("states", gold.daily_states(facts, numbers.unionByName(fresh)))
+    store.publish(DAILY_STATES, states, written, wanted)
+
+
 def _refresh(
-    run: Run, label: str, kpis: Callable[[DataFrame], DataFrame], table: TableSpec, history: TableSpec,
+    run: Run, label: str, kpis: Callable[[], DataFrame], table: TableSpec, history: TableSpec,
     export: TableSpec, serving: TableSpec, scopes: list[tuple], export_form: Callable[[DataFrame], DataFrame],
 ) -> None:
     """Snapshot, recompute, export and serve the figures of the touched days."""
@@ -365,7 +396,7 @@ def _refresh(
         kept = run.write_own(history, f"snapshot_{label}", before, {"n": F.count(F.lit(1))})["n"]
         record.update(rows_in=kept, rows_out=kept)
     with run.step(f"aggregate_{label}", "gold") as record:
-        fresh = kpis(store.read(FACT_EVENTS, scopes)).withColumn("_updated_at", F.lit(run.at))
+        fresh = kpis().withColumn("_updated_at", F.lit(run.at))
         staged = run.staged(label, fresh.select(*table.column_names))
         exported = export_form(staged)
         # The first measure of both tables counts events.

@@ -13,6 +13,7 @@ from lamina.operators import column_profile
 from lamina.plans import batch_run, bronze, catalog, delivery, gold, quality, scd2, serve, silver
 from lamina.schemas import (
     AGG_EVENTS_HOURLY, DELIVERY_DIFFERENCES, DIM_USERS, EXPORT_DAILY, EXPORT_HOURLY, RPT_DAILY_SUMMARY, SERVING_DAILY, SERVING_HOURLY, STG_EVENTS, TableSpec,
+    USER_NUMBERS,
 )
 from lamina.session import fresh_folder, written
 from lamina.sources import event_feed
@@ -58,6 +59,21 @@ def quarantine_by_reason(spark: SparkSession, folder: str) -> DataFrame:
     return rejected.groupBy("rejection_reason").agg(F.count("*").alias("row_count"))
 
 
+def _states(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily states of every delivery. Users get their numbers in two goes, those up to a day first."""
+    rows, buckets = written(facts(spark, folder), "facts"), 16
+    early = rows.where(F.substring("batch_id", 1, len(BATCH_DAY)) <= BATCH_DAY)
+    first = written(gold.new_user_numbers(early, spark.createDataFrame([], USER_NUMBERS.schema), buckets), "numbers")
+    numbers = written(first.unionByName(gold.new_user_numbers(rows, first, buckets)), "numbers")
+    return written(gold.daily_states(rows, numbers), "states")
+
+
+def gold_weekly_from_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Figures of weeks, each user counted once, from the daily states of all deliveries."""
+    return gold.daily_from_states(_states(spark, folder), F.to_date(F.date_trunc("week", "event_date"))).withColumnRenamed(
+        "event_date", "week_start")
+
+
 def gold_before(spark: SparkSession, folder: str) -> DataFrame:
     """Facts as they stood before the delivery."""
     return silver.facts_from_raw(raw(spark, folder).where(F.col("batch_id") < BATCH))
@@ -424,6 +440,8 @@ def queries() -> dict[str, Query]:
         "dim_users_change_counts": lambda s, d: scd2.version_changes(versions(facts(s, d))),
         "gold_hourly_full": lambda s, d: gold.hourly_kpis(facts(s, d)),
         "gold_daily_full": lambda s, d: gold.daily_kpis(facts(s, d)),
+        "gold_daily_from_states": lambda s, d: gold.daily_from_states(_states(s, d)),
+        "gold_weekly_from_states": gold_weekly_from_states,
         "gold_hourly_for_batch": gold_hourly_for_batch,
         "gold_daily_for_batch": gold_daily_for_batch,
         "snapshot_hourly": snapshot_hourly,

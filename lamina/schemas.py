@@ -140,6 +140,16 @@ DIM_USERS = TableSpec(
     small_partitions=True,
 )
 
+USER_NUMBERS = TableSpec(
+    "silver", "user_numbers", "A number for each user that never changes, for sets of users as bitmaps",
+    (
+        ("user_name", STRING, "Cleaned user name"),
+        ("user_no", LONG, "Place in the hash bucket, times the number of buckets, plus the bucket"),
+        ("user_bucket", INT, "Hash bucket of user_name"),
+    ),
+    keys=("user_name",), partition_by=("user_bucket",), sort_by=("user_name",), tags=("index", "append-only"), small_partitions=True,
+)
+
 USER_ACTIVITY = TableSpec(
     "silver", "user_activity", "Signed per-delivery changes of each user's activity",
     (
@@ -200,6 +210,23 @@ RPT_DAILY_SUMMARY = TableSpec(
     partition_by=("event_date",), tags=("aggregate", "daily"), metrics=DAILY_MEASURES,
     small_partitions=True,
 )
+DAILY_STATES = TableSpec(
+    "gold", "daily_states", "What each delivery adds to the daily figures of a day, in a form that adds up over deliveries and days",
+    (
+        ("event_date", DATE, "Day"),
+        ("batch_id", STRING, "Delivery of the current events"),
+        ("user_block", LONG, "Block of 32,768 user numbers"),
+        ("users", T.BinaryType(), "Bitmap of the block's users with events"),
+        ("total_events", LONG, "Events"),
+        ("revenue_events", LONG, "Revenue events"),
+        ("value_exact", EXACT, "Exact part of the amount"),
+        ("value_rest", DOUBLE, "Part of the amount that is no finite decimal"),
+        ("paid_exact", EXACT, "Exact part of the amount of revenue events"),
+        ("paid_rest", DOUBLE, "Part of that amount that is no finite decimal"),
+    ),
+    keys=("event_date", "batch_id", "user_block"), partition_by=("event_date", "batch_id"), sort_by=("user_block",),
+    tags=("aggregate", "daily", "mergeable"), metrics=("total_events", "revenue_events"),
+)
 AGG_EVENTS_HOURLY_HISTORY = TableSpec(
     "gold", "agg_events_hourly_history", "Hourly figures as they stood before a delivery changed them",
     _HOURLY + _SNAPSHOT, partition_by=("_snapshot_batch",), sort_by=HOURLY_KEYS,
@@ -398,8 +425,8 @@ BENCHMARK_LOG = TableSpec(
 )
 
 TABLES: tuple[TableSpec, ...] = (
-    STG_EVENTS, FACT_EVENTS, EVENT_KEYS, QUARANTINE_EVENTS, DIM_USERS, USER_ACTIVITY,
-    AGG_EVENTS_HOURLY, RPT_DAILY_SUMMARY, AGG_EVENTS_HOURLY_HISTORY, RPT_DAILY_SUMMARY_HISTORY,
+    STG_EVENTS, FACT_EVENTS, EVENT_KEYS, QUARANTINE_EVENTS, DIM_USERS, USER_ACTIVITY, USER_NUMBERS,
+    AGG_EVENTS_HOURLY, RPT_DAILY_SUMMARY, DAILY_STATES, AGG_EVENTS_HOURLY_HISTORY, RPT_DAILY_SUMMARY_HISTORY,
     SNAPSHOT_DAYS, SERVING_HOURLY, SERVING_DAILY,
     TABLE_REGISTRY, COLUMN_REGISTRY, DATA_LINEAGE, BATCH_LEDGER, PIPELINE_RUNS, VALIDATION_LOG, DELIVERY_DIFFERENCES,
     BENCHMARK_LOG,

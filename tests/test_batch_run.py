@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from lamina.functions import user_bucket
 from lamina.plans import batch_run, bronze, delivery, gold, serve, silver
 from lamina.schemas import (
-    AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, BENCHMARK_LOG, COLUMN_REGISTRY, DATA_LINEAGE, DELIVERY_DIFFERENCES, DIM_USERS, EVENT_KEYS,
+    AGG_EVENTS_HOURLY, AGG_EVENTS_HOURLY_HISTORY, BENCHMARK_LOG, COLUMN_REGISTRY, DAILY_STATES, DATA_LINEAGE, DELIVERY_DIFFERENCES, DIM_USERS, EVENT_KEYS,
     EXPORT_DAILY, EXPORT_HOURLY, FACT_EVENTS, PIPELINE_RUNS, QUARANTINE_EVENTS, RPT_DAILY_SUMMARY, RPT_DAILY_SUMMARY_HISTORY,
-    SERVING_DAILY, SERVING_HOURLY, STG_EVENTS, TABLE_REGISTRY, TABLES, VALIDATION_LOG,
+    SERVING_DAILY, SERVING_HOURLY, STG_EVENTS, TABLE_REGISTRY, TABLES, USER_NUMBERS, VALIDATION_LOG,
 )
 from tests.helpers import content, raw_rows, users_of
 
@@ -479,3 +479,38 @@ def test_two_deliveries_within_an_hour(spark, store):
     versions = store.read(DIM_USERS).orderBy("valid_from").collect()
     assert [str(v["valid_from"]) for v in versions] == ["2024-01-05 11:00:00", "2024-01-05 11:30:00"]
     assert len({v["user_key"] for v in versions}) == 2
+
+
+def test_only_states_of_written_partitions_are_made_anew(spark, store):
+    for batch_id in (D1, D3):
+        batch_run.run_batch(store, feed_of(spark, batch_id), batch_id)
+    before, numbers = store.partitions(DAILY_STATES), content(store.read(USER_NUMBERS))
+    batch_run.run_batch(store, feed_of(spark, LAST), LAST)
+    after = store.partitions(DAILY_STATES)
+    assert {p: v for p, v in after.items() if p in before} == before
+    assert set(after) - set(before) == {("2024-01-04", LAST)}
+    # A correction makes those anew that it takes events from; one that is left without events has none.
+    batch_run.run_batch(store, feed_of(spark, D2), D2)
+    corrected = store.partitions(DAILY_STATES)
+    assert corrected[("2024-01-04", LAST)] == after[("2024-01-04", LAST)]
+    assert corrected[("2024-01-01", D1)] != after[("2024-01-01", D1)]
+    assert ("2023-12-31", D1) not in corrected
+    assert set(corrected) == set(store.partitions(FACT_EVENTS))
+    now = content(store.read(USER_NUMBERS))
+    assert [row for row in now if row in numbers] == numbers
+    numbered = store.read(USER_NUMBERS).select("user_no", "user_name").collect()
+    assert len({n for n, _ in numbered}) == len({name for _, name in numbered}) == len(numbered)
+    check(spark, store, D1, D3, LAST, D2)
+
+
+def test_a_store_without_states_has_those_of_touched_days_made(spark, store):
+    for batch_id in (D1, D2):
+        batch_run.run_batch(store, feed_of(spark, batch_id), batch_id)
+    with store.transaction() as inner:
+        for spec in (DAILY_STATES, USER_NUMBERS):
+            inner.publish(spec, inner.read(spec, []), [()], [])
+    assert not store.partitions(DAILY_STATES)
+    batch_run.run_batch(store, feed_of(spark, NOON), NOON)
+    assert {p[0] for p in store.partitions(DAILY_STATES)} == {"2024-01-01"}
+    assert store.partitions(DAILY_STATES).keys() == {p for p in store.partitions(FACT_EVENTS) if p[0] == "2024-01-01"}
+    check(spark, store, D1, D2, NOON)
