@@ -167,10 +167,9 @@ def _transform(run: Run) -> None:
             return pool.submit(inheritable_thread_target(run.store.spark)(job), *arguments)
 
         accounted = start(_quarantine, run)
-        parts, activity = _apply_facts(run, accounted)
+        parts, users = _apply_facts(run, accounted, start)
         days = sorted({p[0] for p in parts})
         scopes = [(d,) for d in days]
-        users = start(_apply_users, run, activity)
         _note_days(run, days)
         for figures in [start(_refresh_hourly, run, scopes), start(_refresh_daily, run, scopes, parts)]:
             figures.result()
@@ -193,11 +192,11 @@ def _quarantine(run: Run) -> None:
         record.update(rows_in=n["bronze"], rows_out=n["n"])
 
 
-def _apply_facts(run: Run, accounted: Future) -> tuple[list[tuple[date, str]], DataFrame]:
+def _apply_facts(run: Run, accounted: Future, start: Callable[..., Future]) -> tuple[list[tuple[date, str]], Future]:
     """Add the delivery's events and take out the versions they replace.
 
-    Returns the written partitions and the signed changes of user activity. Nothing is published
-    before the rows are accounted for.
+    Returns the written partitions and the update of the users, which runs on beside the writing of the facts. Nothing is
+    published before the rows are accounted for.
     """
     store, batch_id = run.store, run.batch_id
     with run.step("transform_silver", "silver") as record:
@@ -216,34 +215,36 @@ def _apply_facts(run: Run, accounted: Future) -> tuple[list[tuple[date, str]], D
             winners = incoming.join(newer, "event_id", "left_anti").select(*incoming.columns)
 
         content = winners.withColumn("_loaded_at", F.lit(run.at)).select(*FACT_EVENTS.column_names)
-        batch_ts = run.batch_time(F.col("batch_id"))
-        activity = scd2.user_activity(winners, batch_ts)
+        # All winners are of this delivery: its time is read from its id once and not for each row.
+        activity = scd2.user_activity(winners, run.batch_time(F.lit(batch_id)))
         if older:
             corrected = hits.where("not newer").select("event_id")
             before = store.read(FACT_EVENTS, older)
             content = content.unionByName(before.join(corrected, "event_id", "left_anti"))
             taken = before.select(*silver.FACT_COLUMNS).join(corrected, "event_id", "left_semi")
-            activity = activity.unionByName(scd2.user_activity(taken, batch_ts, taken_away=True))
+            activity = activity.unionByName(scd2.user_activity(taken, run.batch_time(F.col("batch_id")), taken_away=True))
         activity = activity.withColumn("applied_batch", F.lit(batch_id)).withColumn(
             "user_bucket", user_bucket(F.col("user_name"), store.user_buckets)
-        )
-        # Both are staged before either is published, as they need the table as it was.
-        facts = run.staged("facts", content)
-        activity = run.staged("activity", activity.select(*USER_ACTIVITY.column_names))
+        ).select(*USER_ACTIVITY.column_names)
         accounted.result()
         came, aside = run.counts["bronze_rows"], run.counts["quarantined_rows"]
         if came != seen["valid"] + aside:
             raise RowsLost(f"{batch_id}: {came} rows, {seen['valid']} valid, {aside} set aside")
-        sizes = {
-            (r["event_date"], r["batch_id"]): r["n"]
-            for r in facts.groupBy("event_date", "batch_id").agg(F.count("*").alias("n")).collect()
-        }
-        own = [p for p in sizes if p[1] == batch_id]
-        store.publish(FACT_EVENTS, facts, [*own, *older], sizes)
-        _note_keys(run, winners.select("event_id", "event_date", "batch_id"), own_buckets)
-        run.counts["silver_rows"] = sum(sizes[p] for p in own)
+        # Both name the files of the table as it was, so neither has to wait for the other.
+        facts = start(_publish_facts, run, content, winners, older)
+        users = start(_apply_users, run, activity, facts)
+        own = facts.result()
+        start(_note_keys, run, winners.select("event_id", "event_date", "batch_id"), own_buckets).result()
         record.update(rows_in=run.counts["bronze_rows"], rows_out=run.counts["silver_rows"])
-    return [*own, *older], activity
+    return [*own, *older], users
+
+
+def _publish_facts(run: Run, content: DataFrame, winners: DataFrame, older: list[tuple[date, str]]) -> list[tuple[date, str]]:
+    """Returns the delivery's own partitions."""
+    own = [(r["event_date"], run.batch_id) for r in winners.select("event_date").distinct().collect()]
+    run.store.publish(FACT_EVENTS, content, [*own, *older], [*own, *older])
+    run.counts["silver_rows"] = run.store.read(FACT_EVENTS, own).count()
+    return own
 
 
 def _note_days(run: Run, days: list[date]) -> None:
@@ -290,14 +291,16 @@ def _note_keys(run: Run, entries: DataFrame, buckets: list[tuple]) -> None:
         store.publish(EVENT_KEYS, whole, full, full)
 
 
-def _apply_users(run: Run, activity: DataFrame) -> None:
+def _apply_users(run: Run, activity: DataFrame, facts: Future) -> None:
     """Advance the versions of the delivery's users; rebuild those whose past was corrected.
 
     A delivery that is older than one already applied changes the past of all its users.
     """
     store, batch_id = run.store, run.batch_id
     with run.step("update_dim_users", "silver") as record:
-        store.publish(USER_ACTIVITY, activity, [(batch_id,)])
+        # Grouping has dealt the changes evenly over tasks, so they are written from there, all into one partition.
+        store.append(USER_ACTIVITY, activity.sortWithinPartitions(*USER_ACTIVITY.sort_by), [(batch_id,)])
+        activity = store.read(USER_ACTIVITY, [(batch_id,)])
         others = [(b,) for b in store.first_level(USER_ACTIVITY) if b != batch_id]
         late = not store.spark.createDataFrame(others, "id string").where(run.comes_after(F.col("id"))).isEmpty()
         buckets = {
@@ -336,6 +339,7 @@ def _apply_users(run: Run, activity: DataFrame) -> None:
             store.append(DIM_USERS, arranged(staged.where(just_closed), DIM_USERS, len(added)), added)
         new, changed = (sum(r["n"] for r in groups if r["change"] == kind) for kind in ("new", "changed"))
         run.counts.update(dim_users_new=new, dim_users_updated=changed)
+        facts.result()
         record.update(rows_in=run.counts["silver_rows"], rows_out=new + changed)
 
 

@@ -31,6 +31,9 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # What a task of a rebalanced write gets. A delivery of some million rows compresses to less than the 64 MB Spark
+    # would give one task, which then writes it alone, and alone reads it in every later step.
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
     # Folders of partitions are listed in parallel, a few per core.
     listers = 2 * spark.sparkContext.defaultParallelism
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(listers))

@@ -216,7 +216,7 @@ class Store:
     ) -> None:
         """Make `staged` the whole content of `scopes`; partitions it has no rows for disappear.
 
-        `partitions` are the ones `staged` has rows for, where the caller knows them. Outside a transaction it is one of its own.
+        `partitions` are the ones `staged` may have rows for, where the caller knows them. Outside a transaction it is one of its own.
         """
         if self._pending is None:
             with self.transaction() as inner:
@@ -230,7 +230,9 @@ class Store:
         parts = [self._part(spec, p) for p in partitions]
         version = self._write(spec, arranged(staged.select(*spec.column_names), spec, len(parts))) if parts else None
         gone = {part: [] for part in self._within(spec, scopes)}
-        self._note(spec, Change({**gone, **{part: [version] for part in parts}}, {}))
+        # Without rows there is no folder.
+        held = [part for part in parts if self.exists(self._version_path(spec.table_id, part, version))]
+        self._note(spec, Change({**gone, **{part: [version] for part in held}}, {}))
 
     def append(self, spec: TableSpec, df: DataFrame, partitions: Iterable[Scope] | None = None) -> None:
         """Add rows to a log table; `partitions` as in `publish`."""
@@ -310,11 +312,12 @@ def _clause(folder: str) -> str:
 def arranged(df: DataFrame, spec: TableSpec, partitions: int | None = None) -> DataFrame:
     """Rows brought together by partition and sorted for data skipping.
 
-    Small partitions are hashed to one task each. Elsewhere a partition may hold a large
-    share of the rows, and the rebalance lets AQE split it over several tasks.
+    Small partitions are hashed to one task each, or several to a task where there are many for each core. Elsewhere a
+    partition may hold a large share of the rows, and the rebalance lets AQE split it over several tasks.
     """
     if spec.small_partitions and partitions:
-        tasks = min(partitions, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        spark = df.sparkSession
+        tasks = min(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
         gathered = df.repartition(tasks, *spec.partition_by)
     else:
         gathered = df.hint("rebalance", *spec.partition_by)
