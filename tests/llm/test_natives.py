@@ -237,3 +237,12 @@ def test_records_are_written_as_warc(spark):
         assert data[size : size + 4] == b"\r\n\r\n"
         data = data[size + 4 :]
     assert sorted(read) == sorted((r.header, r.block) for r in records.collect())
+
+
+def test_entities_are_decoded_in_one_pass(spark):
+    html = "<p>a &amp;lt; b &lt;i&gt; &&nbsp;&copy;&#65;&AMP; &amp;amp;  x\t y</p><pre>1</pre><p re>2"
+    out = warc.derivatives(warc.responses_of_pages(spark.createDataFrame([(1, "http://a.b/", html)], "page_id long, url string, html string")))
+    text = out.where("warc_type = 'conversion'")
+    assert text.first()["block"] == "a &lt; b <i> & ©A&AMP; &amp; x y\n1\n2"
+    # No pass over the text for each entity.
+    assert text._jdf.queryExecution().optimizedPlan().toString().count("replace(") - text._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") < len(warc.ENTITIES)
